@@ -122,8 +122,11 @@ CONTRACTS: dict[str, Contract] = {
 }
 
 
-def check_table(name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``(model, column, test, failures)`` of one table's declared tests."""
+def check_table(name: str, tables) -> DataFrame:
+    """``(model, column, test, failures)`` of one table's declared tests.
+
+    ``tables`` gives frames by name: a dict or ``Models``.
+    """
     contract = CONTRACTS[name]
     parents = {fk: (tables[parent], pk) for fk, (parent, pk) in contract.relationships.items()}
     results = table_tests(
@@ -132,8 +135,6 @@ def check_table(name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     return results.select(F.lit(name).alias("model"), "column", "test", "failures")
 
 
-def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Results of all declared tests of the given tables."""
-    return reduce(
-        DataFrame.unionByName, [check_table(n, tables) for n in CONTRACTS if n in tables]
-    )
+def check_tables(tables, names=tuple(CONTRACTS)) -> DataFrame:
+    """Results of the declared tests of the named tables."""
+    return reduce(DataFrame.unionByName, [check_table(name, tables) for name in names])

@@ -43,30 +43,51 @@ CORE = {
 }
 
 
-def stage(bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Staging frames from ``{family: bronze frame}``."""
-    return {name: build(bronze[family]) for name, (build, family) in STAGING.items() if family in bronze}
+SEEDS = {"dim_sport": dim_sport, "dim_league": dim_league}
+MODELS = [*SEEDS, *STAGING, *INTERMEDIATE, *CORE]
 
 
-def derive(tables: Mapping[str, DataFrame], models: Mapping) -> dict[str, DataFrame]:
-    """Add the models whose inputs are all there."""
-    known = dict(tables)
-    for name, (build, inputs) in models.items():
-        if all(i in known for i in inputs):
-            known[name] = build(*[known[i] for i in inputs])
-    return known
-
-
-def silver(spark: SparkSession, bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every model as a lazy frame; nothing runs yet."""
-    seeds = {"dim_sport": dim_sport(spark), "dim_league": dim_league(spark)}
-    return derive(derive({**seeds, **stage(bronze)}, INTERMEDIATE), CORE)
+class Models:
+    """The models over one lake as lazy frames, each defined on first use.
 
+    ``bronze`` gives a family's envelope frame; ``known`` holds frames to use
+    as they are, such as tables that are already stored.
+    """
 
-def create_views(tables: Mapping[str, DataFrame]) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        bronze: Callable[[str], DataFrame],
+        known: Mapping[str, DataFrame] | None = None,
+    ):
+        self._spark = spark
+        self._bronze = bronze
+        self._frames = dict(known or {})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._define(name)
+        return self._frames[name]
+
+    def _define(self, name: str) -> DataFrame:
+        if name in SEEDS:
+            return SEEDS[name](self._spark)
+        if name in STAGING:
+            build, family = STAGING[name]
+            return build(self._bronze(family))
+        build, inputs = (INTERMEDIATE | CORE)[name]
+        return build(*[self[i] for i in inputs])
+
+
+def lake_models(spark: SparkSession, base: str, since=None, until=None) -> Models:
+    """Models over a stored lake, optionally of some ingest dates only."""
+    return Models(spark, lambda family: read_bronze(spark, base, family, since, until))
+
+
+def create_views(models: Models, names: list[str] = MODELS) -> None:
     """Register models for SQL users."""
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
+    for name in names:
+        models[name].createOrReplaceTempView(name)
 
 
 def write_table(df: DataFrame, out: str, name: str) -> DataFrame:
@@ -76,20 +97,16 @@ def write_table(df: DataFrame, out: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def build_silver(
-    spark: SparkSession, base: str, out: str, since=None, until=None
-) -> dict[str, DataFrame]:
+def build_silver(spark: SparkSession, base: str, out: str, since=None, until=None) -> Models:
     """Build the star schema from a lake and store it under ``out``.
 
     Staging is stored first, because several models read the same staging
     table: bodies are then parsed once per family instead of once per reader,
     and later steps start from a table rather than from a long lineage.
     """
-    bronze = {family: read_bronze(spark, base, family, since, until) for _, family in STAGING.values()}
-    seeds = {"dim_sport": dim_sport(spark), "dim_league": dim_league(spark)}
-    stored = {n: write_table(t, f"{out}/staging", n) for n, t in stage(bronze).items()}
-    stored |= {n: write_table(t, f"{out}/core", n) for n, t in seeds.items()}
-    steps = derive(stored, INTERMEDIATE)
-    for name, (build, inputs) in CORE.items():
-        stored[name] = write_table(build(*[steps[i] for i in inputs]), f"{out}/core", name)
-    return stored
+    lake = lake_models(spark, base, since, until)
+    stored = {name: write_table(lake[name], f"{out}/staging", name) for name in STAGING}
+    steps = Models(spark, lambda family: read_bronze(spark, base, family), stored)
+    for name in [*SEEDS, *CORE]:
+        stored[name] = write_table(steps[name], f"{out}/core", name)
+    return Models(spark, lambda family: read_bronze(spark, base, family), stored)
