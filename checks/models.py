@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,13 @@ from pyspark.sql import types as T
 
 from moraine.functions.json import json_len
 from moraine.plans.contracts import check_tables
-from moraine.plans.silver import CORE, INTERMEDIATE, STAGING, Models
+from moraine.plans.silver import CORE, INTERMEDIATE, STAGING, Models, store_models
+from moraine.sources.shared import shared_folder
 
 from . import packed
 
+# Staging models that more than one of the tested tables reads.
+STAGING_READ = ["stg_landing"]
 TESTED = ["dim_player", "fct_game", "fct_game_outcome", "fct_game_lineup"]
 
 
@@ -42,7 +46,9 @@ def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def silver_table_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check_tables(tables(spark, sf_dir), TESTED)
+    out = f"{shared_folder(spark)}/moraine/{uuid.uuid4().hex}"
+    kept = store_models(tables(spark, sf_dir), [*STAGING_READ, "dim_team", *TESTED], lambda name: f"{out}/{name}")
+    return check_tables(kept, TESTED)
 
 
 MODEL_QUERIES = {

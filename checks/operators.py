@@ -29,7 +29,7 @@ from moraine.sources import endpoints as E
 from moraine.sources.bronze import to_envelope
 from moraine.sources.manifest import manifest_rows
 
-from .packed import cents, div, obj, schedule_weeks, table
+from .packed import cents, div, obj, schedule_weeks, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,7 +164,9 @@ def group_explode_union(spark, sf):
     body = obj(
         a=F.when(flag == "A", F.array(part)), n=F.when(flag == "N", F.array(part)), r=F.when(flag == "R", F.array(part, supp))
     )
-    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.to_json(obj(g=body)).alias("body"))
+    items = spread(table(spark, sf, "lineitem")).select(
+        "l_orderkey", "l_linenumber", F.to_json(obj(g=body)).alias("body")
+    )
     groups = [(f"g.{k}", {"position_group": F.lit(v)}) for k, v in (("a", "X"), ("n", "Y"), ("r", "Z"))]
     rows = explode_groups(items, "body", groups, {"l_partkey": "key"})
     return rows.withColumn("l_partkey", F.col("l_partkey").cast("bigint"))
@@ -478,7 +480,7 @@ def declared_total_check(spark, sf):
     total = F.when(key % 13 == 0, F.size(rows) + 1).when(key % 17 != 0, F.size(rows))
     text = F.to_json(obj(data=rows, total=total))
     broken = F.when((key % 19 == 0) & (key % 13 != 0) & (key % 17 != 0), F.substring(text, F.lit(1), F.length(text) - 3)).otherwise(text)
-    bodies = table(spark, sf, "orders").select(key, F.lit("20202021").alias("scope_key"), F.lit(200).alias("status"), broken.alias("response_json"))
+    bodies = spread(table(spark, sf, "orders")).select(key, F.lit("20202021").alias("scope_key"), F.lit(200).alias("status"), broken.alias("response_json"))
     judged = with_reason(bodies, E.SKATER_SUMMARY)
     return judged.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
 
@@ -507,7 +509,7 @@ def _game_bodies(spark, sf):
     text = F.to_json(body)
     broken = F.when(key % 11 == 0, F.substring(text, F.lit(1), F.length(text) - 9)).otherwise(text)
     asked = F.when(key % 17 == 0, game + 1).otherwise(game)
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders")).select(
         "o_orderkey", asked.cast("string").alias("scope_key"), F.lit(200).alias("status"), broken.alias("response_json")
     )
 
@@ -531,7 +533,7 @@ def body_accepts(spark, sf):
 FROM (SELECT *, CASE WHEN k % 2 = 0 THEN 'OFF' ELSE CASE event_type WHEN 'click' THEN 'OFF' WHEN 'view' THEN 'FINAL' WHEN 'purchase' THEN 'LIVE' WHEN 'signup' THEN 'FUT' END END AS state
   FROM (SELECT *, unnest([1, 2, 3]) AS k FROM events)) WHERE state IN ('FINAL', 'OFF')""")
 def schedule_work_list(spark, sf):
-    weeks = schedule_weeks(table(spark, sf, "events"))
+    weeks = schedule_weeks(spread(table(spark, sf, "events")))
     games = schedule_games(weeks, F.to_date("scope_key"), keep=["event_id", "scope_key"])
     return games.select("event_id", "schedule_date", "position", "game_id", "game_type", "game_state")
 
@@ -541,7 +543,7 @@ def schedule_work_list(spark, sf):
 FROM (SELECT *, CASE WHEN k % 2 = 0 THEN 'OFF' ELSE CASE event_type WHEN 'click' THEN 'OFF' WHEN 'view' THEN 'FINAL' WHEN 'purchase' THEN 'LIVE' WHEN 'signup' THEN 'FUT' END END AS state
   FROM (SELECT *, unnest([1, 2, 3]) AS k FROM events)) GROUP BY 1""")
 def daily_summary(spark, sf):
-    weeks = schedule_weeks(table(spark, sf, "events"))
+    weeks = schedule_weeks(spread(table(spark, sf, "events")))
     games = schedule_games(weeks, F.to_date("scope_key"), states=None, keep=["scope_key"])
     return games.groupBy("schedule_date").agg(
         F.count(F.lit(1)).alias("in_schedule"),

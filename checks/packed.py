@@ -16,12 +16,23 @@ from moraine.operators.bodies import envelopes
 from moraine.session import prepare
 from moraine.sources import endpoints as E
 from moraine.sources.bronze import to_envelope
+from moraine.sources.shared import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use every core for the per-row packing when the scan has few splits.
+
+    The given tables are single small files, so one task would do all of it.
+    A scan with enough splits is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b))
 
@@ -447,7 +458,17 @@ PACKED = {
 }
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def bronze(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
-    """One family's bronze, packed from a whole table."""
-    pack, source = PACKED[family]
-    return pack(table(spark, sf_dir, source))
+    """One family's bronze, packed from a whole table and stored once.
+
+    The models read a stored layer, as they do in a lake: the first query that
+    needs a family writes it to the shared folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, family)
+    if key not in _STORED:
+        pack, source = PACKED[family]
+        _STORED[key] = stored(pack(spread(table(spark, sf_dir, source))), family)
+    return _STORED[key]

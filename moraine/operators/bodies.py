@@ -58,17 +58,20 @@ ELEMENTS: dict[str, dict[str, dict[str, str]]] = {
     },
     E.GOALIE_SUMMARY: {"data": dict.fromkeys(("seasonId", "playerId", "gamesPlayed"), "int")},
     E.TEAM_SUMMARY: {"data": dict.fromkeys(("seasonId", "teamId", "gamesPlayed"), "int")},
-    E.SCHEDULE: {"gameWeek": {"date": "date", "games": "objects"}},
+    E.SCHEDULE: {"gameWeek": {"date": "date"}},
 }
 # The date of a scheduled game may be absent, but not malformed.
 _SCHEDULED_GAME = {k: v for k, v in _GAME.items() if k != "gameDate"}
+_DAY = T.StructType(
+    [T.StructField("date", T.StringType()), T.StructField("games", T.ArrayType(path_schema(_GAME)))]
+)
 
 
 def _is(kind: str, text: Column) -> Column:
     """Does the extracted text have this kind? NULL text has none."""
     if kind == "int":
         number = text.try_cast("decimal(38,6)")
-        return number.isNotNull() & (F.floor(number) == number)
+        return text.try_cast("bigint").isNotNull() | (number.isNotNull() & (F.floor(number) == number))
     if kind == "date":
         return text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & text.try_cast("date").isNotNull()
     if kind == "time":
@@ -76,39 +79,37 @@ def _is(kind: str, text: Column) -> Column:
     if kind == "object":
         return text.startswith("{")
     if kind == "objects":
-        items = F.from_json(text, T.ArrayType(T.StringType()))
-        return text.startswith("[") & F.forall(items, lambda e: F.coalesce(e.startswith("{"), F.lit(False)))
+        return text.startswith("[")
     return text.isNotNull()
 
 
-def _rejected(condition: Column, reason: str) -> Column:
-    """``reason`` unless ``condition`` holds; an unknown condition does not hold."""
-    return F.when(~F.coalesce(condition, F.lit(False)), F.lit(reason))
+def _holds(condition: Column) -> Column:
+    """An unknown condition does not hold."""
+    return F.coalesce(condition, F.lit(False))
 
 
-def member_reasons(required: Mapping[str, str], columns: Mapping[str, str]) -> list[Column]:
-    """One reason column per required member, in order."""
-    return [
-        _rejected(_is(kind, F.col(columns[path])), f"missing:{path}") for path, kind in required.items()
-    ]
-
+def _rejected(condition: Column, reason: str) -> Column:
+    """``reason`` unless ``condition`` holds."""
+    return F.when(~_holds(condition), F.lit(reason))
 
-def _element_reasons(family: str, columns: Mapping[str, str]) -> list[Column]:
-    reasons = []
-    for array, members in ELEMENTS.get(family, {}).items():
-        items = F.from_json(F.col(columns[array]), T.ArrayType(path_schema(members)))
 
-        def check(members: Mapping[str, str]):
-            def whole(item: Column) -> Column:
-                held = F.lit(True)
-                for path, kind in members.items():
-                    held = held & F.coalesce(_is(kind, item.getField(path)), F.lit(False))
-                return held
+def _complete(item: Column, members: Mapping[str, str]) -> Column:
+    """Does an element hold every required member?"""
+    held = F.lit(True)
+    for path, kind in members.items():
+        value = item
+        for name in path.split("."):
+            value = value.getField(name)
+        held = held & _holds(_is(kind, value))
+    return held
 
-            return whole
 
-        reasons.append(_rejected(F.forall(items, check(members)), f"incomplete:{array}"))
-    return reasons
+def _array_reason(family: str, array: str, items: Column) -> Column:
+    """Elements must be objects, and hold the members required of them."""
+    members = ELEMENTS.get(family, {}).get(array)
+    if members is None:
+        return _rejected(F.forall(items, lambda e: _holds(e.startswith("{"))), f"missing:{array}")
+    return _rejected(F.forall(items, lambda e: _complete(e, members)), f"incomplete:{array}")
 
 
 def with_reason(df: DataFrame, family: str) -> DataFrame:
@@ -120,9 +121,23 @@ def with_reason(df: DataFrame, family: str) -> DataFrame:
     required = REQUIRED[family]
     columns = {path: f"__m{i}" for i, path in enumerate(required)}
     texts = json_texts(df, "response_json", {c: p for p, c in columns.items()}, df.columns)
-    reasons = member_reasons(required, columns) + _element_reasons(family, columns)
-    member = lambda path: F.col(columns[path])
-    whole = lambda path: member(path).try_cast("decimal(38,6)").try_cast("bigint")
+
+    # Arrays are parsed once, into columns that several checks read.
+    arrays = [path for path, kind in required.items() if kind == "objects"]
+    for array in arrays:
+        members = ELEMENTS.get(family, {}).get(array)
+        element = path_schema(members) if members else T.StringType()
+        if family == E.SCHEDULE:
+            element = _DAY
+        parsed = F.from_json(F.col(columns[array]), T.ArrayType(element))
+        texts = texts.withColumn(f"{columns[array]}_items", parsed)
+    items = {array: F.col(f"{columns[array]}_items") for array in arrays}
+
+    reasons = [
+        _rejected(_is(kind, F.col(columns[path])), f"missing:{path}") for path, kind in required.items()
+    ]
+    reasons += [_array_reason(family, array, items[array]) for array in arrays]
+    whole = lambda path: F.col(columns[path]).try_cast("decimal(38,6)").try_cast("bigint")
     scope = F.col("scope_key")
     if family in E.GAME_FAMILIES:
         reasons.append(
@@ -130,39 +145,27 @@ def with_reason(df: DataFrame, family: str) -> DataFrame:
         )
         reasons.append(_rejected(whole("id") == scope.try_cast("bigint"), "id_not_requested"))
     if family in E.SUMMARY_FAMILIES:
-        reasons.append(
-            _rejected(F.json_array_length(member("data")) == whole("total"), "total_mismatch")
-        )
+        reasons.append(_rejected(F.size(items["data"]) == whole("total"), "total_mismatch"))
     if family == E.CLUB_SCHEDULE:
         requested = F.split_part(scope, F.lit("|"), F.lit(1)).try_cast("bigint")
         reasons.append(_rejected(whole("currentSeason") == requested, "season_not_requested"))
     if family == E.SCHEDULE:
-        reasons.extend(_schedule_reasons(member("gameWeek")))
-    first = F.coalesce(*reasons)
-    malformed = first.isNotNull() & F.json_object_keys("response_json").isNull()
-    return texts.withColumn("reason", F.when(malformed, F.lit("malformed_json")).otherwise(first)).select(
-        *df.columns, "reason"
-    )
+        reasons += _schedule_reasons(items["gameWeek"])
+    judged = texts.withColumn("__first", F.coalesce(*reasons))
+    malformed = F.col("__first").isNotNull() & F.json_object_keys("response_json").isNull()
+    reason = F.when(malformed, F.lit("malformed_json")).otherwise(F.col("__first"))
+    return judged.select(*df.columns, reason.alias("reason"))
 
 
 def _schedule_reasons(week: Column) -> list[Column]:
-    game = path_schema([*_SCHEDULED_GAME, "gameDate"])
-    days = T.ArrayType(T.StructType([T.StructField("games", T.ArrayType(game))]))
-    games = F.flatten(F.transform(F.from_json(week, days), lambda d: d["games"]))
-
-    def path(game: Column, dotted: str) -> Column:
-        for name in dotted.split("."):
-            game = game.getField(name)
-        return game
+    games = F.flatten(F.transform(week, lambda day: day["games"]))
 
     def complete(game: Column) -> Column:
-        held = F.coalesce(game["gameDate"].isNull() | _is("date", game["gameDate"]), F.lit(False))
-        for dotted, kind in _SCHEDULED_GAME.items():
-            held = held & F.coalesce(_is(kind, path(game, dotted)), F.lit(False))
-        return held
+        dated = game["gameDate"].isNull() | _is("date", game["gameDate"])
+        return _holds(dated) & _complete(game, _SCHEDULED_GAME)
 
-    matches = lambda g: F.coalesce(
-        game_id_matches_season(g["id"].try_cast("bigint"), g["season"]), F.lit(False)
+    matches = lambda g: _holds(
+        game_id_matches_season(g["id"].try_cast("bigint"), g["season"])
     )
     return [
         _rejected(F.forall(games, complete), "incomplete:games"),

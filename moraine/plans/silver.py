@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +69,10 @@ class Models:
             self._frames[name] = self._define(name)
         return self._frames[name]
 
+    def using(self, known: Mapping[str, DataFrame]) -> Models:
+        """The same models, with ``known`` in place of their definitions."""
+        return Models(self._spark, self._bronze, known)
+
     def _define(self, name: str) -> DataFrame:
         if name in SEEDS:
             return SEEDS[name](self._spark)
@@ -90,23 +94,29 @@ def create_views(models: Models, names: list[str] = MODELS) -> None:
         models[name].createOrReplaceTempView(name)
 
 
-def write_table(df: DataFrame, out: str, name: str) -> DataFrame:
+def write_table(df: DataFrame, path: str) -> DataFrame:
     """Replace one stored table and return it as stored."""
-    path = f"{out.rstrip('/')}/{name}"
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def build_silver(spark: SparkSession, base: str, out: str, since=None, until=None) -> Models:
-    """Build the star schema from a lake and store it under ``out``.
+def store_models(models: Models, names: Sequence[str], path_of: Callable[[str], str]) -> Models:
+    """Store the named models under ``path_of(name)``, in dependency order.
 
-    Staging is stored first, because several models read the same staging
-    table: bodies are then parsed once per family instead of once per reader,
-    and later steps start from a table rather than from a long lineage.
+    Each one reads the models stored before it, so a staging table that several
+    models read is computed once and no lineage grows long.
     """
-    lake = lake_models(spark, base, since, until)
-    stored = {name: write_table(lake[name], f"{out}/staging", name) for name in STAGING}
-    steps = Models(spark, lambda family: read_bronze(spark, base, family), stored)
-    for name in [*SEEDS, *CORE]:
-        stored[name] = write_table(steps[name], f"{out}/core", name)
-    return Models(spark, lambda family: read_bronze(spark, base, family), stored)
+    kept: dict[str, DataFrame] = {}
+    for name in [m for m in MODELS if m in names]:
+        kept[name] = write_table(models.using(kept)[name], path_of(name))
+    return models.using(kept)
+
+
+def build_silver(spark: SparkSession, base: str, out: str, since=None, until=None) -> Models:
+    """Build the star schema from a lake: ``out/staging/*`` and ``out/core/*``."""
+    layer = lambda name: "staging" if name in STAGING else "core"
+    return store_models(
+        lake_models(spark, base, since, until),
+        [*SEEDS, *STAGING, *CORE],
+        lambda name: f"{out.rstrip('/')}/{layer(name)}/{name}",
+    )
