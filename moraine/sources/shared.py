@@ -12,19 +12,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; on a local master without
-    one, a new temporary folder."""
+    one, a temporary folder of this application."""
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="moraine-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="moraine-")
+    return _LOCAL[app]
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
