@@ -108,7 +108,9 @@ def write_family(load: Load, bodies: DataFrame, family: str, batch: str) -> tupl
     seen = Observation()
     counted = judged.observe(seen, F.count("reason").alias("rejected"))
     valid = counted.where(F.col("reason").isNull())
-    written = write_bronze(envelopes(valid, family), load.base, family, load.ingest_date, batch)
+    written = write_bronze(
+        envelopes(valid, family), load.base, family, load.ingest_date, batch, allow_empty=True
+    )
     rejected = int(seen.get["rejected"] or 0)
     if rejected:
         rejects = judged.where(F.col("reason").isNotNull())

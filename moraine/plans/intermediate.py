@@ -67,8 +67,9 @@ def int_game_events(play_by_play: DataFrame) -> DataFrame:
         number("y_coord").alias("y_coord"),
         "details_json",
         clock_to_seconds(F.col("time_in_period_raw")).alias("period_time_elapsed_s"),
-        first_non_null(*map(number, PRIMARY_PLAYER)).alias("primary_player_id"),
-        first_non_null(*map(number, SECONDARY_PLAYER)).alias("secondary_player_id"),
+        # Pick among the texts, then cast once.
+        to_integer(first_non_null(*map(F.col, PRIMARY_PLAYER))).alias("primary_player_id"),
+        to_integer(first_non_null(*map(F.col, SECONDARY_PLAYER))).alias("secondary_player_id"),
     )
 
 

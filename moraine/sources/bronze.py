@@ -81,14 +81,20 @@ def partition_path(base: str, family: str, ingest_date: date | str, file_id: str
 
 
 def write_bronze(
-    df: DataFrame, base: str, family: str, ingest_date: date | str, file_id: str | None = None
+    df: DataFrame,
+    base: str,
+    family: str,
+    ingest_date: date | str,
+    file_id: str | None = None,
+    allow_empty: bool = False,
 ) -> WriteResult:
     """Write envelope rows under one partition of one family.
 
     Each call owns one dataset folder. A new ``file_id`` is drawn unless one is
     given; writing the same ``file_id`` again replaces exactly those rows.
-    A NULL in a required column fails the write. Row and raw byte counts come
-    from the write itself; the stored size reads file metadata, no column.
+    A NULL in a required column fails the write, and so does empty input unless
+    ``allow_empty``. Row and raw byte counts come from the write itself; the
+    stored size reads file metadata, no column.
     """
     key = partition_path(base, family, ingest_date, file_id or uuid.uuid4().hex)
     required = [f.name for f in ENVELOPE.fields if not f.nullable]
@@ -108,6 +114,8 @@ def write_bronze(
     )
     counted.write.mode("overwrite").options(**ZSTD).parquet(key)
     got = seen.get
+    if not got["rows"] and not allow_empty:
+        raise ValueError(f"no rows to write to {key}")
     return WriteResult(
         key, int(got["rows"]), stored_bytes(df.sparkSession, key), int(got["body_bytes"])
     )

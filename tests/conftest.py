@@ -10,6 +10,6 @@ from moraine.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, 4)
+    session = local_session(4, 2)
     yield session
     session.stop()

@@ -166,8 +166,8 @@ def test_backfill_runs_resumes_and_stops(spark, tmp_path):
     tripped = backfill(spark, tmp_path, threshold=1e-12)
     assert tripped.aborted and "above" in tripped.aborted_reason and len(tripped.phases) == 1
     for mode in ("warn", "off"):
-        free = backfill(spark, tmp_path, threshold=1e-12, cost_check=mode)
-        assert not free.aborted and len(free.phases) == 3 and free.projections[-1]["tripped"]
+        free = backfill(spark, tmp_path, loader="season-summaries", threshold=1e-12, cost_check=mode)
+        assert not free.aborted and free.projections[-1]["tripped"]
 
 
 @pytest.mark.parametrize("bad", [{"loader": "everything"}, {"seasons": ["2025-27"]}])

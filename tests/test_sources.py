@@ -77,6 +77,14 @@ def test_null_in_required_column_fails(spark, tmp_path):
         br.write_bronze(bad, str(tmp_path), "f", "2026-04-25")
 
 
+def test_empty_write_is_refused(spark, tmp_path):
+    none = envelope_rows(spark, 1).limit(0)
+    with pytest.raises(ValueError, match="no rows"):
+        br.write_bronze(none, str(tmp_path), "f", "2026-04-25")
+    done = br.write_bronze(none, str(tmp_path), "f", "2026-04-25", allow_empty=True)
+    assert (done.rows, done.bytes, done.compression) == (0, 0, 0.0)
+
+
 def test_partition_and_column_pruning(spark, tmp_path):
     br.write_bronze(envelope_rows(spark, 2), str(tmp_path), "f", "2026-04-25")
     narrow = br.read_bronze(spark, str(tmp_path), "f", since="2026-04-25").where("season = '20252026'").select("entity_id")
