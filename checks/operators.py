@@ -18,7 +18,7 @@ from moraine.functions.text import (
     winner,
 )
 from moraine.operators import joins
-from moraine.operators.bodies import split_bodies, with_reason
+from moraine.operators.bodies import found, split_bodies, with_reason
 from moraine.operators.dedup import duplicate_keys, latest_by
 from moraine.operators.quality import table_tests
 from moraine.operators.unnest import explode_groups, union_facts, unnest_json, unpivot
@@ -36,11 +36,10 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def case(sql: str | None) -> Callable[[Query], Query]:
+def case(sql: str) -> Callable[[Query], Query]:
     def register(query: Query) -> Query:
-        QUERIES[query.__name__] = query
-        if sql is not None:
-            SQL[query.__name__] = sql
+        name = query.__name__.removeprefix("q_")  # the prefix avoids a clash with what it calls
+        QUERIES[name], SQL[name] = query, sql
         return query
 
     return register
@@ -286,7 +285,7 @@ def fk_violations(spark, sf):
 
 
 @case("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'now' ELSE replace(o_orderpriority, '-', '_') END AS kind FROM orders""")
-def alias_or_replace_text(spark, sf):
+def q_alias_or_replace(spark, sf):
     kind = alias_or_replace(F.col("o_orderpriority"), {"1-URGENT": "now"}, "-", "_")
     return table(spark, sf, "orders").select("o_orderkey", kind.alias("kind"))
 
@@ -294,7 +293,7 @@ def alias_or_replace_text(spark, sf):
 @case("""SELECT l_orderkey, l_partkey, l_suppkey, concat(CAST(l_orderkey AS VARCHAR), '_', CAST(n AS VARCHAR)) AS skipping,
   CAST(l_orderkey AS VARCHAR) || ' ' || CAST(n AS VARCHAR) AS propagating
 FROM (SELECT *, CASE WHEN l_partkey % 4 <> 0 THEN l_linenumber END AS n FROM lineitem)""")
-def surrogate_keys(spark, sf):
+def q_surrogate_key(spark, sf):
     line = F.when(F.col("l_partkey") % 4 != 0, F.col("l_linenumber"))
     key = F.col("l_orderkey")
     return table(spark, sf, "lineitem").select(
@@ -447,7 +446,7 @@ def not_null_counts(spark, sf):
 
 @case("""SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1""")
-def duplicate_line_keys(spark, sf):
+def q_duplicate_keys(spark, sf):
     return duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
@@ -515,7 +514,7 @@ def _game_bodies(spark, sf):
 
 
 @case(f"SELECT o_orderkey, {_REJECTS} AS reason FROM orders WHERE {_REJECTS} IS NOT NULL")
-def body_rejects(spark, sf):
+def body_reject_split(spark, sf):
     _, rejects = split_bodies(with_reason(_game_bodies(spark, sf), E.LANDING))
     return rejects.select("o_orderkey", "reason")
 
@@ -526,6 +525,14 @@ def body_accepts(spark, sf):
     return valid.select("o_orderkey")
 
 
+@case(f"""SELECT reason, CAST(count(*) AS BIGINT) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys
+FROM (SELECT *, {_REJECTS} AS reason FROM orders WHERE o_orderkey % 4 <> 0) GROUP BY 1""")
+def missing_resource_skip(spark, sf):
+    status = F.when(F.col("o_orderkey") % 4 == 0, 404).when(F.col("o_orderkey") % 4 == 1, 200)
+    judged = with_reason(found(_game_bodies(spark, sf).withColumn("status", status)), E.LANDING)
+    return judged.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
 # Work lists, costs, reports
 
 
@@ -596,6 +603,73 @@ def phase_counts(spark, sf):
     return worklists.phase_counts(_planned(spark, sf), ["season"])
 
 
+def _finished(spark, sf):
+    """Finished games of the schedule weeks, and a manifest that lacks some endpoints."""
+    weeks = schedule_weeks(spread(table(spark, sf, "events")))
+    games = schedule_games(weeks, F.to_date("scope_key"), keep=["scope_key"]).select(
+        "schedule_date", "game_id", F.col("game_id").cast("string").alias("scope_key")
+    )
+    logged = games.select(
+        "scope_key",
+        "game_id",
+        F.posexplode(F.array(*map(F.lit, E.templates_of(E.GAME_FAMILIES)))).alias("i", "endpoint"),
+    )
+    status = F.when((F.col("game_id") * 7 + F.col("i")) % 5 != 0, "ok").otherwise("failed")
+    return games, logged.withColumn("status", status)
+
+
+_FINISHED = """SELECT CAST(ts AS DATE) AS schedule_date, 2023000000 + event_id * 10 + k AS game_id
+FROM (SELECT *, CASE WHEN k % 2 = 0 THEN 'OFF' ELSE CASE event_type WHEN 'click' THEN 'OFF' WHEN 'view' THEN 'FINAL' END END AS state
+  FROM (SELECT *, unnest([1, 2, 3]) AS k FROM events)) WHERE state IN ('FINAL', 'OFF')"""
+
+
+@case(f"""SELECT schedule_date, game_id FROM ({_FINISHED})
+WHERE (game_id * 7) % 5 = 0 OR (game_id * 7 + 1) % 5 = 0 OR (game_id * 7 + 2) % 5 = 0""")
+def daily_pending_games(spark, sf):
+    games, manifest = _finished(spark, sf)
+    pending = joins.pending_units(games, manifest, E.templates_of(E.GAME_FAMILIES))
+    return pending.select("schedule_date", "game_id")
+
+
+def _summaries(spark, sf):
+    """Season units against a manifest in which a season lacks an endpoint."""
+    orders = table(spark, sf, "orders")
+    endpoints = F.array(*map(F.lit, E.templates_of(E.SUMMARY_FAMILIES)))
+    kept = F.when(F.year("o_orderdate") % 2 == 0, 3).otherwise(2)
+    logged = orders.select(
+        cal.season_id(F.year("o_orderdate")).alias("scope_key"),
+        F.element_at(endpoints, (F.col("o_orderkey") % kept + 1).cast("int")).alias("endpoint"),
+        F.lit("ok").alias("status"),
+    )
+    units = worklists.summary_units(logged.select(F.col("scope_key").alias("season")).distinct())
+    return worklists.plan_units(units, logged, E.templates_of(E.SUMMARY_FAMILIES))
+
+
+_SEASONS = """SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) || (year(o_orderdate) + 1) AS season,
+  CASE WHEN year(o_orderdate) % 2 = 0 THEN 'skipped' ELSE 'loaded' END AS state FROM orders"""
+
+
+@case(f"SELECT season, season AS scope_key, state FROM ({_SEASONS})")
+def summary_plan(spark, sf):
+    return _summaries(spark, sf)
+
+
+@case(_PLAN + f""", phases AS (SELECT 'team-season' AS phase, state FROM planned
+  UNION ALL SELECT 'season-summaries', state FROM ({_SEASONS})
+  UNION ALL SELECT 'games', CASE WHEN (game_id * 7) % 5 = 0 OR (game_id * 7 + 1) % 5 = 0 OR (game_id * 7 + 2) % 5 = 0 THEN 'loaded' ELSE 'skipped' END FROM ({_FINISHED}))
+SELECT phase, CAST(count(*) AS BIGINT) AS attempted, CAST(count(*) FILTER (WHERE state = 'skipped') AS BIGINT) AS skipped,
+  CAST(count(*) FILTER (WHERE state = 'loaded') AS BIGINT) AS loaded, CAST(count(*) FILTER (WHERE state = 'waiting') AS BIGINT) AS waiting FROM phases GROUP BY 1""")
+def backfill_phases(spark, sf):
+    games, manifest = _finished(spark, sf)
+    planned = {
+        "team-season": _planned(spark, sf),
+        "season-summaries": _summaries(spark, sf),
+        "games": worklists.plan_units(games, manifest, E.templates_of(E.GAME_FAMILIES)),
+    }
+    states = [plan.select(F.lit(phase).alias("phase"), "state") for phase, plan in planned.items()]
+    return worklists.phase_counts(union_facts(*states))
+
+
 @case("""SELECT lang AS endpoint, CAST(doc_id // 3 AS VARCHAR) AS scope_key, CAST(count(*) AS BIGINT) AS rows,
   CAST(sum(strlen(text)) AS BIGINT) AS bytes, 'run' AS run_id, 'ok' AS status FROM documents GROUP BY 1, 2""")
 def manifest_build(spark, sf):

@@ -107,7 +107,8 @@ def json_text(col: Column | str, path: str) -> Column:
 def json_len(col: Column | str, path: str = "") -> Column:
     """Length of the JSON array at ``path``: 0 for another kind, NULL if absent."""
     found = json_text(col, path) if path else (F.col(col) if isinstance(col, str) else col)
-    return F.when(found.isNotNull(), F.coalesce(F.json_array_length(found), F.lit(0))).cast("bigint")
+    other = F.when(found.isNotNull(), F.lit(0))
+    return F.coalesce(F.json_array_length(found), other).cast("bigint")
 
 
 def json_object(**values: Column) -> Column:
