@@ -41,46 +41,56 @@ def cast_text(text: Column, kind: str, strict: bool = True) -> Column:
     return text.cast(kind) if strict else text.try_cast(kind)
 
 
-def path_schema(paths: Iterable[str], leaf: T.DataType | None = None) -> T.StructType:
-    """Nested schema whose leaves sit at the dotted ``paths`` (text by default).
+def path_schema(
+    paths: Iterable[str], leaf: T.DataType | None = None, types: Mapping[str, T.DataType] | None = None
+) -> T.StructType:
+    """Nested schema whose leaves sit at the dotted ``paths``.
 
-    A path may not run through another path's leaf.
+    Leaves are text, or ``leaf``, or what ``types`` says for a path. A path may
+    not run through another path's leaf.
     """
+    given = types or {}
     tree: dict = {}
     for path in dict.fromkeys(paths):
         *parents, last = path.split(".")
         node = tree
         for name in parents:
             node = node.setdefault(name, {})
-            if node is None:
+            if not isinstance(node, dict):
                 raise ValueError(f"{path!r} runs through a leaf")
         if last in node:
             raise ValueError(f"{path!r} is also a parent")
-        node[last] = None
+        node[last] = given.get(path) or leaf or T.StringType()
 
-    def build(node: dict) -> T.StructType:
-        return T.StructType(
-            [T.StructField(k, build(v) if v else leaf or T.StringType()) for k, v in node.items()]
-        )
+    def build(node: dict | T.DataType) -> T.DataType:
+        if not isinstance(node, dict):
+            return node
+        return T.StructType([T.StructField(k, build(v)) for k, v in node.items()])
 
     return build(tree)
 
 
-def json_texts(df: DataFrame, json_col: str, paths: Mapping[str, str], keep: Iterable[str] = ()) -> DataFrame:
+def json_texts(
+    df: DataFrame,
+    json_col: str,
+    paths: Mapping[str, str],
+    keep: Iterable[str] = (),
+    types: Mapping[str, T.DataType] | None = None,
+) -> DataFrame:
     """Pull ``{output name: dotted path}`` as text columns with one parse.
 
     ``keep`` names the input columns to carry along. A missing path and a JSON
-    null both give NULL.
+    null both give NULL. ``types`` names outputs that the same parse should
+    give as another type, such as an array of structs.
     """
-    parsed = "__parsed"
-    # inline() keeps the parse in one place: filters on the extracted columns
+    kinds = {paths[name]: kind for name, kind in (types or {}).items()}
+    schema = path_schema(paths.values(), types=kinds)
+    # explode() keeps the parse in one place: filters on the extracted columns
     # stay above it, so Catalyst cannot copy the parse into a pushed-down filter.
-    schema = path_schema(paths.values())
-    body = F.from_json(F.col(json_col), schema)
+    body = F.explode(F.array(F.from_json(F.col(json_col), schema))).alias("__parsed")
     carried = [F.col(c) for c in keep]
-    opened = df.select(*carried, F.explode(F.array(body)).alias(parsed))
-    return opened.select(
-        *carried, *[F.col(f"{parsed}.{path}").alias(name) for name, path in paths.items()]
+    return df.select(*carried, body).select(
+        *carried, *[F.col(f"__parsed.{path}").alias(name) for name, path in paths.items()]
     )
 
 

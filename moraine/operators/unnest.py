@@ -27,13 +27,13 @@ def unnest_json(
     ``keep`` limits the carried columns; by default all but the array text.
     """
     carried = [c for c in df.columns if c != json_col] if keep is None else list(keep)
-    elements = F.from_json(F.col(json_col), T.ArrayType(_element_type(out)))
+    elements = F.from_json(F.col(json_col), T.ArrayType(element_type(out)))
     if position is None:
         rows = df.select(*carried, F.explode(elements).alias("__element"))
     else:
         rows = df.select(*carried, F.posexplode(elements).alias(position, "__element"))
         carried = [*carried, position]
-    return rows.select(*carried, *_element_columns("__element", out))
+    return rows.select(*carried, *element_columns("__element", out))
 
 
 def explode_groups(
@@ -53,30 +53,46 @@ def explode_groups(
     run over the groups in the order listed.
     """
     carried = [c for c in df.columns if c != json_col] if keep is None else list(keep)
-    element = _element_type(out)
-    schema = path_schema([path for path, _ in groups], T.ArrayType(element))
+    schema = path_schema([path for path, _ in groups], T.ArrayType(element_type(out)))
     parsed = df.withColumn("__doc", F.from_json(F.col(json_col), schema))
+    arrays = [(F.col(f"__doc.{path}"), tags) for path, tags in groups]
+    return explode_arrays(parsed, arrays, out, position, carried)
 
-    def tagged(path: str, tags: Mapping[str, Column]) -> Column:
-        members = F.coalesce(F.col(f"__doc.{path}"), F.array().cast(T.ArrayType(element)))
+
+def explode_arrays(
+    df: DataFrame,
+    arrays: Sequence[tuple[Column, Mapping[str, Column]]],
+    out: str | Mapping[str, str],
+    position: str | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``explode_groups`` for arrays that are parsed already, with elements of
+    ``element_type(out)``."""
+    kind = T.ArrayType(element_type(out))
+
+    def tagged(array: Column, tags: Mapping[str, Column]) -> Column:
         labels = [value.alias(name) for name, value in tags.items()]
+        members = F.coalesce(array, F.array().cast(kind))
         return F.transform(members, lambda e: F.struct(*labels, e.alias("__element")))
 
-    rows = F.flatten(F.array(*[tagged(path, tags) for path, tags in groups]))
+    rows = F.flatten(F.array(*[tagged(array, tags) for array, tags in arrays]))
+    carried = list(keep)
     if position is None:
-        exploded = parsed.select(*carried, F.explode(rows).alias("__row"))
+        exploded = df.select(*carried, F.explode(rows).alias("__row"))
     else:
-        exploded = parsed.select(*carried, F.posexplode(rows).alias(position, "__row"))
+        exploded = df.select(*carried, F.posexplode(rows).alias(position, "__row"))
         carried = [*carried, position]
-    labels = [F.col(f"__row.{name}").alias(name) for name in groups[0][1]]
-    return exploded.select(*carried, *labels, *_element_columns("__row.__element", out))
+    labels = [F.col(f"__row.{name}").alias(name) for name in arrays[0][1]]
+    return exploded.select(*carried, *labels, *element_columns("__row.__element", out))
 
 
-def _element_type(out: str | Mapping[str, str]) -> T.DataType:
+def element_type(out: str | Mapping[str, str]) -> T.DataType:
+    """Text, or a struct that covers the paths of ``{column: dotted path}``."""
     return T.StringType() if isinstance(out, str) else path_schema(out.values())
 
 
-def _element_columns(element: str, out: str | Mapping[str, str]) -> list[Column]:
+def element_columns(element: str, out: str | Mapping[str, str]) -> list[Column]:
+    """The output columns of one element."""
     if isinstance(out, str):
         return [F.col(element).alias(out)]
     return [F.col(f"{element}.{path}").alias(name) for name, path in out.items()]

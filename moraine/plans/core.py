@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.json import json_object
 from ..functions.text import alias_or_replace, surrogate_key, winner
-from .intermediate import game_players
 
 # Fixed values.
 LEAGUE_ID = 1
@@ -87,9 +86,8 @@ def fct_game_event(game_events: DataFrame) -> DataFrame:
     )
 
 
-def fct_game_lineup(boxscore: DataFrame) -> DataFrame:
+def fct_game_lineup(players: DataFrame) -> DataFrame:
     """Skaters and goalies; read in one pass rather than as a union of two."""
-    players = game_players(boxscore)
     return players.select(
         surrogate_key(F.col("game_id"), F.col("player_id")).alias("lineup_id"),
         "game_id",

@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.json import json_texts, to_integer
 from ..functions.text import clock_to_seconds, first_non_null, joined_name
 from ..operators.dedup import latest_by
 from ..operators.joins import enrich_left, spine_left_join
-from ..operators.unnest import explode_groups, unnest_json, unpivot
+from ..operators.unnest import (
+    element_columns,
+    element_type,
+    explode_arrays,
+    explode_groups,
+    unnest_json,
+    unpivot,
+)
+from .staging import latest_games
 
 # Members of a play's details, in the order they name a participant.
 PRIMARY_PLAYER = [
@@ -33,20 +42,46 @@ FORWARD_CODES = ["C", "L", "R"]
 DEFENSE_CODE = "D"
 
 
+# Members read of a play, and of a player's line in a boxscore.
+PLAY = {
+    "type_desc_key": "typeDescKey",
+    "period_type": "periodDescriptor.periodType",
+    "time_in_period_raw": "timeInPeriod",
+    "event_sequence": "eventId",
+    "period": "periodDescriptor.number",
+    "details_json": "details",
+}
+PLAYER_LINE = {
+    "player_id": "playerId",
+    "toi": "toi",
+    "goals": "goals",
+    "assists": "assists",
+    "shots": "sog",
+    "saves": "saves",
+    "goals_against": "goalsAgainst",
+}
+# Array of players in a boxscore side, position type.
+BOXSCORE_GROUPS = {"forwards": "F", "defense": "D", "goalies": "G"}
+SIDES = ("away", "home")
+
+
 def int_game_events(play_by_play: DataFrame) -> DataFrame:
     """One row per play. Plays without details have no team, place or players."""
-    plays = unnest_json(
-        play_by_play.select("game_id", "plays_json"),
-        "plays_json",
-        {
-            "type_desc_key": "typeDescKey",
-            "period_type": "periodDescriptor.periodType",
-            "time_in_period_raw": "timeInPeriod",
-            "event_sequence": "eventId",
-            "period": "periodDescriptor.number",
-            "details_json": "details",
-        },
-    )
+    return _events(unnest_json(play_by_play.select("game_id", "plays_json"), "plays_json", PLAY))
+
+
+def bronze_game_events(bronze: DataFrame) -> DataFrame:
+    """``int_game_events`` straight from bronze.
+
+    Where staging is not stored, going through its JSON text would parse the
+    plays a second time. Here the plays are read in the body's only parse.
+    """
+    plays = latest_games(bronze, {"plays": "plays"}, {"plays": T.ArrayType(element_type(PLAY))})
+    rows = plays.select("game_id", F.explode("plays").alias("__play"))
+    return _events(rows.select("game_id", *element_columns("__play", PLAY)))
+
+
+def _events(plays: DataFrame) -> DataFrame:
     numbers = {
         "event_team_id": "eventOwnerTeamId",
         "x_coord": "xCoord",
@@ -54,17 +89,17 @@ def int_game_events(play_by_play: DataFrame) -> DataFrame:
         **{p: p for p in PRIMARY_PLAYER + SECONDARY_PLAYER},
     }
     opened = json_texts(plays, "details_json", numbers, plays.columns)
-    number = lambda name: to_integer(F.col(name))
+    number = lambda name: to_integer(F.col(name)).alias(name)
     return opened.select(
         "game_id",
         "type_desc_key",
         "period_type",
         "time_in_period_raw",
-        number("event_sequence").alias("event_sequence"),
-        number("period").alias("period"),
-        number("event_team_id").alias("event_team_id"),
-        number("x_coord").alias("x_coord"),
-        number("y_coord").alias("y_coord"),
+        number("event_sequence"),
+        number("period"),
+        number("event_team_id"),
+        number("x_coord"),
+        number("y_coord"),
         "details_json",
         clock_to_seconds(F.col("time_in_period_raw")).alias("period_time_elapsed_s"),
         # Pick among the texts, then cast once.
@@ -80,24 +115,42 @@ def game_players(boxscore: DataFrame) -> DataFrame:
     """
     groups = [
         (f"{side}Team.{array}", {"team_id": F.col(f"{side}_team_id"), "position_type": F.lit(role)})
-        for side in ("away", "home")
-        for array, role in (("forwards", "F"), ("defense", "D"), ("goalies", "G"))
+        for side in SIDES
+        for array, role in BOXSCORE_GROUPS.items()
     ]
     rows = explode_groups(
         boxscore.select("game_id", "away_team_id", "home_team_id", "player_by_game_stats_json"),
         "player_by_game_stats_json",
         groups,
-        {
-            "player_id": "playerId",
-            "toi": "toi",
-            "goals": "goals",
-            "assists": "assists",
-            "shots": "sog",
-            "saves": "saves",
-            "goals_against": "goalsAgainst",
-        },
+        PLAYER_LINE,
         keep=["game_id"],
     )
+    return _players(rows)
+
+
+def bronze_game_players(bronze: DataFrame) -> DataFrame:
+    """``game_players`` straight from bronze, with the body's only parse.
+
+    Just the members that are read travel through the dedup's shuffle.
+    """
+    teams = {f"{side}_team_id": f"{side}Team.id" for side in SIDES}
+    arrays = {
+        f"{side}_{array}": f"playerByGameStats.{side}Team.{array}"
+        for side in SIDES
+        for array in BOXSCORE_GROUPS
+    }
+    kind = T.ArrayType(element_type(PLAYER_LINE))
+    games = latest_games(bronze, teams | arrays, dict.fromkeys(arrays, kind))
+    typed = games.withColumns({team: to_integer(F.col(team)) for team in teams})
+    groups = [
+        (F.col(f"{side}_{array}"), {"team_id": F.col(f"{side}_team_id"), "position_type": F.lit(role)})
+        for side in SIDES
+        for array, role in BOXSCORE_GROUPS.items()
+    ]
+    return _players(explode_arrays(typed, groups, PLAYER_LINE, keep=["game_id"]))
+
+
+def _players(rows: DataFrame) -> DataFrame:
     goalie = F.col("position_type") == "G"
 
     def stat(name: str, for_goalie: bool):
@@ -114,18 +167,14 @@ def game_players(boxscore: DataFrame) -> DataFrame:
     )
 
 
-def int_game_skater_stats(boxscore: DataFrame) -> DataFrame:
+def int_game_skater_stats(players: DataFrame) -> DataFrame:
     """One row per (game, skater)."""
-    return game_players(boxscore).where(F.col("position_type") != "G").drop("saves", "goals_against")
+    return players.where(F.col("position_type") != "G").drop("saves", "goals_against")
 
 
-def int_game_goalie_stats(boxscore: DataFrame) -> DataFrame:
+def int_game_goalie_stats(players: DataFrame) -> DataFrame:
     """One row per (game, goalie); goalies who did not play keep their zeros."""
-    return (
-        game_players(boxscore)
-        .where(F.col("position_type") == "G")
-        .drop("goals", "assists", "shots")
-    )
+    return players.where(F.col("position_type") == "G").drop("goals", "assists", "shots")
 
 
 def int_player_spine(roster: DataFrame, skater_summary: DataFrame, goalie_summary: DataFrame) -> DataFrame:

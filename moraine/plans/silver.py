@@ -25,8 +25,9 @@ STAGING: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
 # Model, its function, the models it reads; in an order that respects them.
 INTERMEDIATE = {
     "int_game_events": (intermediate.int_game_events, ["stg_play_by_play"]),
-    "int_game_skater_stats": (intermediate.int_game_skater_stats, ["stg_boxscore"]),
-    "int_game_goalie_stats": (intermediate.int_game_goalie_stats, ["stg_boxscore"]),
+    "int_game_players": (intermediate.game_players, ["stg_boxscore"]),
+    "int_game_skater_stats": (intermediate.int_game_skater_stats, ["int_game_players"]),
+    "int_game_goalie_stats": (intermediate.int_game_goalie_stats, ["int_game_players"]),
     "int_player_spine": (
         intermediate.int_player_spine,
         ["stg_roster", "stg_skater_summary", "stg_goalie_summary"],
@@ -39,7 +40,13 @@ CORE = {
     "fct_game": (core.fct_game, ["stg_landing"]),
     "fct_game_outcome": (core.fct_game_outcome, ["stg_landing"]),
     "fct_game_event": (core.fct_game_event, ["int_game_events"]),
-    "fct_game_lineup": (core.fct_game_lineup, ["stg_boxscore"]),
+    "fct_game_lineup": (core.fct_game_lineup, ["int_game_players"]),
+}
+# Model, how to build it straight from bronze, the family, the staging model
+# that is used instead if it is stored.
+DIRECT = {
+    "int_game_events": (intermediate.bronze_game_events, E.PLAY_BY_PLAY, "stg_play_by_play"),
+    "int_game_players": (intermediate.bronze_game_players, E.BOXSCORE, "stg_boxscore"),
 }
 
 
@@ -62,7 +69,8 @@ class Models:
     ):
         self._spark = spark
         self._bronze = bronze
-        self._frames = dict(known or {})
+        self._known = dict(known or {})
+        self._frames = dict(self._known)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -79,6 +87,9 @@ class Models:
         if name in STAGING:
             build, family = STAGING[name]
             return build(self._bronze(family))
+        if name in DIRECT and DIRECT[name][2] not in self._known:
+            build, family, _ = DIRECT[name]
+            return build(self._bronze(family))
         build, inputs = (INTERMEDIATE | CORE)[name]
         return build(*[self[i] for i in inputs])
 

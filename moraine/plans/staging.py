@@ -12,6 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.json import cast_text, json_len, json_text, json_texts, to_integer
 from ..operators.dedup import latest_by
@@ -136,14 +137,25 @@ def _typed(df: DataFrame, fields: Mapping[str, Field], keep: list[str], done: tu
     return df.select(*keep, *casts)
 
 
-def _games(bronze: DataFrame, fields: Mapping[str, Field]) -> DataFrame:
-    """Latest fetch per game. The type filter runs on every fetch, before the
-    dedup: a game whose type changed keeps its latest *competitive* fetch."""
-    texts = json_texts(bronze, BODY, _paths(fields), FETCH)
+def latest_games(
+    bronze: DataFrame, paths: Mapping[str, str], types: Mapping[str, T.DataType] | None = None
+) -> DataFrame:
+    """Latest fetch per game with the wanted members of its body, as text.
+
+    ``game_id`` and ``game_type`` come typed. The type filter runs on every
+    fetch, before the dedup: a game whose type changed keeps its latest
+    *competitive* fetch. ``types`` is as for ``json_texts``.
+    """
+    wanted = {**_paths({k: GAME_FIELDS[k] for k in ("game_id", "game_type")}), **paths}
+    texts = json_texts(bronze, BODY, wanted, FETCH, types)
     keyed = texts.withColumns(
         {"game_id": to_integer(F.col("game_id"), "bigint"), "game_type": to_integer(F.col("game_type"))}
     ).where(F.col("game_type").isin(*COMPETITIVE_TYPES))
-    latest = latest_by(keyed, ["game_id"], "fetched_at_utc", ["response_sha256"])
+    return latest_by(keyed, ["game_id"], "fetched_at_utc", ["response_sha256"])
+
+
+def _games(bronze: DataFrame, fields: Mapping[str, Field]) -> DataFrame:
+    latest = latest_games(bronze, _paths(fields))
     return _typed(latest, fields, ["ingest_date", "fetched_at_utc"], done=("game_id", "game_type"))
 
 

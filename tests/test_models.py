@@ -88,6 +88,20 @@ def test_game_events(spark):
     assert row(7).details_json == '{"playerId":1}'
 
 
+def test_bronze_shortcuts_equal_the_staged_way(spark):
+    games = [(GAME, b.boxscore(), b.at(1)), (GAME, b.boxscore(awayTeam=b.team(99, "X")), b.at(2)), (GAME + 1, b.boxscore(GAME + 1, gameType=1))]
+    box = b.bronze(spark, E.BOXSCORE, games)
+    same = lambda x, y: sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
+    direct = intermediate.bronze_game_players(box)
+    assert direct.count() == 7 and same(direct, intermediate.game_players(staging.stg_boxscore(box)))
+    pbp = b.bronze(spark, E.PLAY_BY_PLAY, [(GAME, b.play_by_play(plays=[]), b.at(1)), (GAME, b.play_by_play(), b.at(2))])
+    events = intermediate.bronze_game_events(pbp)
+    assert events.count() == 8 and same(events, intermediate.int_game_events(staging.stg_play_by_play(pbp)))
+    parses = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+    staged = intermediate.int_game_events(staging.stg_play_by_play(pbp))
+    assert parses(events) == parses(staged) - 1
+
+
 def test_no_plays_no_events(spark):
     stage = staging.stg_play_by_play(b.bronze(spark, E.PLAY_BY_PLAY, [(GAME, b.play_by_play(plays=[]))]))
     assert only(stage).play_count == 0 and intermediate.int_game_events(stage).count() == 0
@@ -98,10 +112,11 @@ def test_lineup_is_the_union_of_both_roles(spark):
     del body["playerByGameStats"]["homeTeam"]["defense"]
     stage = staging.stg_boxscore(b.bronze(spark, E.BOXSCORE, [(GAME, body)]))
     assert (only(stage).last_period_type, only(stage).ot_periods) == ("OT", 1)
-    skaters, goalies = intermediate.int_game_skater_stats(stage), intermediate.int_game_goalie_stats(stage)
+    players = intermediate.game_players(stage)
+    skaters, goalies = intermediate.int_game_skater_stats(players), intermediate.int_game_goalie_stats(players)
     assert skaters.columns == ["game_id", "team_id", "position_type", "player_id", "toi_s", "goals", "assists", "shots"]
     assert goalies.columns == ["game_id", "team_id", "position_type", "player_id", "toi_s", "saves", "goals_against"]
-    lineup = core.fct_game_lineup(stage)
+    lineup = core.fct_game_lineup(players)
     both = union_facts(skaters, goalies)
     assert sorted(map(tuple, lineup.drop("lineup_id").select(*both.columns).collect())) == sorted(map(tuple, both.collect()))
     rows = {r.lineup_id: r for r in lineup.collect()}
