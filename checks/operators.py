@@ -28,6 +28,7 @@ from moraine.plans.schedule import schedule_games
 from moraine.sources import endpoints as E
 from moraine.sources.bronze import to_envelope
 from moraine.sources.manifest import manifest_rows
+from moraine.sources.shared import stored
 
 from .packed import cents, div, obj, schedule_weeks, spread, table
 
@@ -78,7 +79,7 @@ SELECT sha256(line) AS line_sha, doc_id, i AS position FROM rows
 QUALIFY row_number() OVER (PARTITION BY line ORDER BY doc_id DESC, i) = 1""")
 def two_stage_dedup(spark, sf):
     body = F.to_json(F.split("text", "\n"))
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents")).select(
         "source", div(F.col("doc_id"), 4).alias("unit"), "doc_id", body.alias("lines")
     )
     fetched = latest_by(docs, ["source", "unit"], "doc_id")
@@ -126,7 +127,7 @@ def json_subtree_text(spark, sf):
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)""")
 def json_array_unnest(spark, sf):
     rows = F.transform(F.split("text", "\n"), lambda x: obj(line=x, n=F.length(x)))
-    docs = table(spark, sf, "documents").select("doc_id", F.to_json(rows).alias("lines"))
+    docs = spread(table(spark, sf, "documents")).select("doc_id", F.to_json(rows).alias("lines"))
     out = unnest_json(docs, "lines", {"line": "line", "n": "n"}, position="position")
     return out.select("doc_id", F.col("position").cast("bigint").alias("position"), "line", F.col("n").cast("bigint").alias("n"))
 
@@ -135,7 +136,7 @@ def json_array_unnest(spark, sf):
   CASE WHEN doc_id % 3 <> 0 THEN CAST(0 AS BIGINT) END AS n_other FROM documents""")
 def json_array_count(spark, sf):
     body = F.to_json(obj(words=F.split("text", " "), other=F.when(F.col("doc_id") % 3 != 0, obj(n=F.lit(1)))))
-    docs = table(spark, sf, "documents").select("doc_id", body.alias("body"))
+    docs = spread(table(spark, sf, "documents")).select("doc_id", body.alias("body"))
     return docs.select("doc_id", json_len("body", "words").alias("n_words"), json_len("body", "other").alias("n_other"))
 
 
@@ -609,6 +610,7 @@ def _finished(spark, sf):
     games = schedule_games(weeks, F.to_date("scope_key"), keep=["scope_key"]).select(
         "schedule_date", "game_id", F.col("game_id").cast("string").alias("scope_key")
     )
+    games = stored(games, "games")  # read as units and as the manifest
     logged = games.select(
         "scope_key",
         "game_id",
