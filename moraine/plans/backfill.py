@@ -14,6 +14,7 @@ the staging dedup keeps the latest fetch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
@@ -39,6 +40,8 @@ from .worklists import (
     team_season_units,
 )
 
+LITERAL_KEYS = 1000
+
 
 class RejectedBodies(ValueError):
     """A strict load met responses that fail their checks."""
@@ -119,6 +122,18 @@ def write_family(load: Load, bodies: DataFrame, family: str, batch: str) -> tupl
     return manifest_rows(stored, load.run_id, scope_of(family), written.compression), rejected
 
 
+def only_pending(pending: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A filter of responses to pending units.
+
+    A few keys become literals that a columnar scan can skip by; at most
+    ``LITERAL_KEYS + 1`` rows reach the driver. More keys are joined.
+    """
+    few = [row.scope_key for row in pending.limit(LITERAL_KEYS + 1).collect()]
+    if len(few) <= LITERAL_KEYS:
+        return lambda bodies: bodies.where(F.col("scope_key").isin(few) if few else F.lit(False))
+    return lambda bodies: bodies.join(pending, "scope_key", "left_semi")
+
+
 def run_phase(load: Load, phase: str, units: DataFrame) -> PhaseResult:
     """Load one phase's pending units of whatever families have arrived."""
     families = E.PHASE_FAMILIES[phase]
@@ -134,10 +149,10 @@ def run_phase(load: Load, phase: str, units: DataFrame) -> PhaseResult:
     plan = load.spark.read.schema("scope_key string, state string").parquet(plan_path)
     pending = plan.where(F.col("state") == LOADED).select("scope_key")
 
+    wanted = only_pending(pending)
     logs, rejected = [], 0
     for family in families:
-        bodies = load.landed(family).join(pending, "scope_key", "left_semi")
-        log, bad = write_family(load, bodies, family, batch)
+        log, bad = write_family(load, wanted(load.landed(family)), family, batch)
         logs.append(log)
         rejected += bad
     if rejected and load.strict:

@@ -4,7 +4,9 @@ Two layouts, both split by a ``family=`` folder so that a job reads only the
 families it loads:
 
 * ``json`` / ``parquet``: many responses per file, columns ``scope_key``,
-  ``status``, ``fetched_at_utc``, ``response_json``. The one to use at scale.
+  ``status``, ``fetched_at_utc``, ``response_json``. Parquet is the one to use
+  at scale: planning reads the scope keys alone, and a load of few units can
+  skip row groups.
 * ``text``: one file per response, everything but the body in the path:
   ``family=../scope_key=../status=../fetched_at_utc=../<any name>``.
 """

@@ -19,10 +19,10 @@ GAME = 2025020001
 DAY = "2025-10-07"
 
 
-def save(spark, path, family, rows):
+def save(spark, path, family, rows, fmt="json"):
     """Add saved responses to a landing folder."""
     df = b.landed(spark, rows).withColumn("family", F.lit(family))
-    df.coalesce(1).write.mode("append").partitionBy("family").json(str(path))
+    df.coalesce(1).write.mode("append").partitionBy("family").format(fmt).save(str(path))
 
 
 def save_game(spark, path, game_id, families=E.GAME_FAMILIES, **changes):
@@ -64,6 +64,31 @@ def test_a_day_then_the_same_day_again(spark, tmp_path):
     assert logged(spark, tmp_path).count() == 6 and rows_in(spark, tmp_path, E.LANDING).count() == 2
 
 
+@pytest.mark.parametrize("literal_keys", [1000, 0])
+def test_parquet_landing_by_literals_or_join(spark, tmp_path, monkeypatch, literal_keys):
+    monkeypatch.setattr(bf, "LITERAL_KEYS", literal_keys)
+    landing = tmp_path / "landing"
+    for family, body in zip(E.SUMMARY_FAMILIES, (b.skater_row, b.goalie_row, b.team_row)):
+        save(spark, landing, family, [(s, b.summary(body(1, int(s)))) for s in ("20232024", "20242025")], "parquet")
+    load = load_of(spark, tmp_path, "run", landing_format="parquet", manifest_format="parquet")
+    for wanted in (1, 0):
+        units = spark.createDataFrame([("20242025",), ("20252026",)], "scope_key string")
+        result = bf.run_phase(load, "season-summaries", units)
+        assert (result.loaded, result.skipped, result.waiting) == (wanted, 1 - wanted, 1)
+        load = load_of(spark, tmp_path, "again", landing_format="parquet", manifest_format="parquet")
+    assert {r.entity_id for r in rows_in(spark, tmp_path, E.TEAM_SUMMARY).collect()} == {"20242025"}
+
+
+def test_few_pending_keys_are_pushed_to_the_scan(spark, tmp_path):
+    save(spark, tmp_path, E.LANDING, [(GAME, b.landing(GAME))], "parquet")
+    load = bf.Load(spark, str(tmp_path), str(tmp_path), "run", date(2026, 4, 25), "parquet")
+    pending = spark.createDataFrame([(str(GAME),)], "scope_key string")
+    bodies = bf.only_pending(pending)(load.landed(E.LANDING))
+    plan = bodies._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo(scope_key,{GAME})" in plan and "Join" not in plan
+    assert "PartitionFilters: [isnotnull(family" in plan
+
+
 def test_a_partly_logged_game_is_loaded_whole(spark, tmp_path):
     landing = tmp_path / "landing"
     save_week(spark, landing)
