@@ -299,6 +299,7 @@ MODEL_SQL: dict[str, str] = {
       'Zone/' || segment AS club_timezone, '-04:00' AS club_utc_offset,
       CASE WHEN c % 9 <> 0 THEN c % 7 END AS game_count FROM club_latest""",
     "int_game_events": f"WITH {EVENTS} SELECT * FROM game_events",
+    "int_game_players": f"WITH {PLAYERS} SELECT * FROM players",
     "int_game_skater_stats": f"WITH {PLAYERS} SELECT * EXCLUDE (saves, goals_against) FROM players WHERE position_type <> 'G'",
     "int_game_goalie_stats": f"WITH {PLAYERS} SELECT * EXCLUDE (goals, assists, shots) FROM players WHERE position_type = 'G'",
     "int_player_spine": f"WITH {PLAYER_SPINE} SELECT * FROM player_spine",
