@@ -16,8 +16,8 @@ SEASON_SENTINEL = (10, 1)
 GAME_DAY_ZONE = "America/Toronto"
 
 # Team code, first season's start year, first start year after the
-# last season (None while active). 2015 is the earliest season covered.
-FIRST_COVERED_YEAR = 2015
+# last season (None while active). Right for seasons from 2015-16 on; teams that
+# played before then start at 0.
 TEAM_INTERVALS: list[tuple[str, int, int | None]] = [
     ("ANA", 0, None), ("ARI", 0, 2024), ("BOS", 0, None), ("BUF", 0, None), ("CAR", 0, None),
     ("CBJ", 0, None), ("CGY", 0, None), ("CHI", 0, None), ("COL", 0, None), ("DAL", 0, None),
