@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import duplicate_keys
-from .joins import orphans
+from .unnest import unpivot
 
 
-def _long(df: DataFrame, counts: Mapping[tuple[str, str], Column]) -> DataFrame:
-    """Count several conditions in one scan, one output row per condition."""
-    slots = {f"c{i}": label for i, label in enumerate(counts)}
-    totals = df.agg(*[F.count_if(cond).alias(slot) for slot, cond in zip(slots, counts.values())])
+def _long(df: DataFrame, failures: Mapping[tuple[str, str], Column]) -> DataFrame:
+    """Several aggregates in one scan, as one output row per (column, test)."""
+    slots = {f"c{i}": label for i, label in enumerate(failures)}
+    totals = df.agg(*[value.alias(slot) for slot, value in zip(slots, failures.values())])
     rows = [
         F.struct(F.lit(column).alias("column"), F.lit(test).alias("test"), F.col(slot).alias("failures"))
         for slot, (column, test) in slots.items()
@@ -23,6 +23,19 @@ def _long(df: DataFrame, counts: Mapping[tuple[str, str], Column]) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
+def _orphan_counts(df: DataFrame, columns: Sequence[str], parent: DataFrame, pk: str) -> DataFrame:
+    """Orphans of several foreign keys to one parent, in one pass.
+
+    Keys are counted per value before the join, so a hot key is one row.
+    """
+    sides = [{"column": F.lit(c), "fk": F.col(c)} for c in columns]
+    keys = unpivot(df, sides).where(F.col("fk").isNotNull())
+    counted = keys.groupBy("column", "fk").agg(F.count(F.lit(1)).alias("n"))
+    lost = counted.join(parent.select(F.col(pk).alias("fk")).distinct(), "fk", "left_anti")
+    of = lambda c: F.sum(F.when(F.col("column") == c, F.col("n")))
+    return _long(lost, {(c, "relationships"): F.coalesce(of(c), F.lit(0)) for c in columns})
+
+
 def table_tests(
     df: DataFrame,
     not_null: Sequence[str] = (),
@@ -34,28 +47,29 @@ def table_tests(
 
     ``failures`` counts rows, except for ``unique``, which counts key values
     that occur more than once. NULLs pass every test but ``not_null``.
-    All NULL and value checks share one scan with map-side partial counts.
+    All NULL and value checks share one scan with map-side partial counts, and
+    so do all foreign keys to the same parent.
     """
     parts: list[DataFrame] = []
     simple: dict[tuple[str, str], Column] = {}
     for name in not_null:
-        simple[(name, "not_null")] = F.col(name).isNull()
+        simple[(name, "not_null")] = F.count_if(F.col(name).isNull())
     for name, values in (accepted or {}).items():
-        simple[(name, "accepted_values")] = F.col(name).isNotNull() & ~F.col(name).isin(list(values))
+        other = F.col(name).isNotNull() & ~F.col(name).isin(list(values))
+        simple[(name, "accepted_values")] = F.count_if(other)
     if simple:
         parts.append(_long(df, simple))
     for name in unique:
-        parts.append(
-            duplicate_keys(df.select(name), [name])
-            .agg(F.count(F.lit(1)).alias("failures"))
-            .select(F.lit(name).alias("column"), F.lit("unique").alias("test"), "failures")
-        )
+        repeated = duplicate_keys(df.select(name), [name])
+        parts.append(_long(repeated, {(name, "unique"): F.count(F.lit(1))}))
+    shared: dict[tuple, list[str]] = {}
+    parents = {}
     for name, (parent, pk) in (relationships or {}).items():
-        parts.append(
-            orphans(df.select(name), name, parent, pk)
-            .agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failures"))
-            .select(F.lit(name).alias("column"), F.lit("relationships").alias("test"), "failures")
-        )
+        key = (id(parent), pk, df.schema[name].dataType.simpleString())
+        parents[key] = (parent, pk)
+        shared.setdefault(key, []).append(name)
+    for key, names in shared.items():
+        parts.append(_orphan_counts(df, names, *parents[key]))
     if not parts:
         raise ValueError("no tests given")
     return reduce(DataFrame.unionByName, parts)
