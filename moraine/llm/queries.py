@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, line_dedup, sharding, toxicity
+from . import bpe, decontamination, line_dedup, sharding, toxicity
 
 QUERIES = {
     "op3_sharding": sharding.op3_sharding,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
     "op9_bpe": bpe.op9_bpe,
+    "op10_decontamination": decontamination.op10_decontamination,
 }
 
 SQL = {"op4_line_dedup": line_dedup.ORACLE}
