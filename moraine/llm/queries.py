@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, html_text, line_dedup, sharding, toxicity
+from . import bpe, decontamination, html_text, line_dedup, quality, sharding, toxicity
 
 QUERIES = {
     "op3_sharding": sharding.op3_sharding,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op7_quality_rules": quality.op7_quality_rules,
     "op8_html_extraction": html_text.op8_html_extraction,
     "op9_bpe": bpe.op9_bpe,
     "op10_decontamination": decontamination.op10_decontamination,
