@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, html_text, line_dedup, quality, sharding, toxicity
+from . import bpe, chat, decontamination, html_text, line_dedup, quality, sharding, toxicity
 
 QUERIES = {
+    "op1_chat_formatting": chat.op1_chat_formatting,
     "op3_sharding": sharding.op3_sharding,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
