@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontamination, html_text, line_dedup, quality, sharding, toxicity
+from . import bpe, chat, decontamination, html_text, jaccard, line_dedup, quality, sharding, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
     "op3_sharding": sharding.op3_sharding,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_ngram_jaccard_join": jaccard.op6_ngram_jaccard_join,
     "op7_quality_rules": quality.op7_quality_rules,
     "op8_html_extraction": html_text.op8_html_extraction,
     "op9_bpe": bpe.op9_bpe,
