@@ -21,8 +21,10 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
 
-from .batches import SLICE, mix, slices, span_hashes, utf8
+from .batches import SLICE, slices, span_hashes, utf8
 
 # Symbols.
 LETTER, NUMBER, OTHER, SHORT, LONG, SPACE_RUN, SPACE_LAST, BLANK_LAST, END = range(9)
@@ -126,8 +128,6 @@ def pre_tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     at = np.flatnonzero((body & 0xC0) != 0x80)
     starts = np.flatnonzero(first)
     spans = np.append(at[starts], len(body))
-    own = first[ends]
-    assert own.all()
     real = np.ones(len(starts), bool)
     real[np.searchsorted(starts, ends)] = False
     return body, spans[:-1][real], spans[1:][real], np.searchsorted(ends, starts[real], side="right")
@@ -142,6 +142,7 @@ class Ranks:
         self.token = [b""] * (max(self.rank.values()) + 1)
         for token, rank in self.rank.items():
             self.token[rank] = token
+        self.sizes = np.array([len(t) for t in self.token], np.int64)
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
         left, right, made = [], [], []
         for token, rank in self.rank.items():
@@ -309,16 +310,26 @@ class Encoder:
                 known[int(distinct[i])] = ids
         return found, which, owner, starts
 
+    def arrays(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cuts, ids, offsets): the ids of all texts in a row, where each text's begin,
+        and the byte of its text that each id starts at."""
+        found, which, owner, _ = self.pieces(texts)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        values = np.concatenate([*found, np.zeros(0, np.int32)])
+        size = counts[which]
+        stop = np.cumsum(size)
+        first = (np.cumsum(counts) - counts)[which]
+        ids = values[np.repeat(first - (stop - size), size) + np.arange(size.sum())]
+        cuts = np.concatenate([[0], stop])[np.searchsorted(owner, np.arange(len(texts) + 1))]
+        ends = np.cumsum(self.ranks.sizes[ids])
+        starts = np.concatenate([[0], ends])
+        return cuts, ids, starts[:-1] - np.repeat(starts[cuts[:-1]], np.diff(cuts))
+
     def encode(self, texts: list[str]):
         """For each text (ids, byte offset of each id)."""
-        found, which, owner, _ = self.pieces(texts)
-        sizes = [np.array([len(self.ranks.token[i]) for i in ids], np.int64) for ids in found]
-        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            own = which[a:b].tolist()
-            ids = np.concatenate([found[k] for k in own]) if own else np.zeros(0, np.int32)
-            size = np.concatenate([sizes[k] for k in own]) if own else np.zeros(0, np.int64)
-            yield ids, np.cumsum(size) - size
+        cuts, ids, offsets = self.arrays(texts)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield ids[a:b], offsets[a:b]
 
     def decode(self, ids) -> bytes:
         token = self.ranks.token
@@ -333,10 +344,12 @@ def _text_slices(batch: pa.RecordBatch, column: str):
         yield slice(a, b), [t or "" for t in strings.slice(a, b - a).to_pylist()]
 
 
-def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids, offsets): token ids of each whole text and the byte each starts at.
+def encode(
+    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None
+) -> DataFrame:
+    """(doc struct, n_tokens, ids, offsets): token ids of each whole text and the byte each starts at.
 
-    One row per input row, in place; repeated rows repeat. A null or empty
+    ``doc`` holds every input column, or those in ``carry``. One row per input row, in place; repeated rows repeat. A null or empty
     text has no ids. Special tokens are ordinary text. Texts of any length are
     read whole; a text longer than a slice makes a slice of its own.
     """
@@ -345,34 +358,34 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         encoder = Encoder(path)
         for batch in batches:
             for rows, texts in _text_slices(batch, "text"):
-                ids, offsets = zip(*encoder.encode(texts))
+                cuts, ids, offsets = encoder.arrays(texts)
+                cuts = pa.array(cuts, pa.int32())
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in (ids, offsets)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id")[rows],
-                        pa.array(ids, pa.list_(pa.int32())),
-                        pa.array(offsets, pa.list_(pa.int64())),
-                    ],
-                    names=["doc_id", "ids", "offsets"],
+                    [batch.column("doc")[rows], pa.array(np.diff(cuts)), *lists], names=schema.names
                 )
 
-    chosen = docs.selectExpr(f"`{doc_id}` as doc_id", f"`{text}` as text")
-    kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, ids array<int>, offsets array<bigint>")
+    chosen = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("doc"), F.col(text).alias("text")
+    )
+    schema = StructType().add("doc", chosen.schema["doc"].dataType).add("n_tokens", LongType())
+    schema = schema.add("ids", ArrayType(IntegerType())).add("offsets", ArrayType(LongType()))
+    return chosen.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, bytes) from ``encode``'s rows."""
+    """(doc struct, bytes) from ``encode``'s rows."""
 
     def run(batches):
         token = ranks(path).token
         for batch in batches:
             bodies = [b"".join([token[i] for i in ids or ()]) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(bodies, pa.binary())], names=["doc_id", "bytes"]
+                [batch.column("doc"), pa.array(bodies, pa.binary())], names=["doc", "bytes"]
             )
 
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, bytes binary")
+    schema = StructType().add("doc", encoded.schema["doc"].dataType).add("bytes", BinaryType())
+    return encoded.select("doc", "ids").mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontamination, html_text, jaccard, line_dedup, quality, sharding, toxicity
+from . import bpe, chat, decontamination, html_text, jaccard, line_dedup, quality, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
+    "op2_suffix_array_dedup": suffix_dedup.op2_suffix_array_dedup,
     "op3_sharding": sharding.op3_sharding,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
