@@ -359,10 +359,10 @@ def encode(
         for batch in batches:
             for rows, texts in _text_slices(batch, "text"):
                 cuts, ids, offsets = encoder.arrays(texts)
-                cuts = pa.array(cuts, pa.int32())
+                counts, cuts = pa.array(np.diff(cuts)), pa.array(cuts, pa.int32())
                 lists = [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in (ids, offsets)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc")[rows], pa.array(np.diff(cuts)), *lists], names=schema.names
+                    [batch.column("doc")[rows], counts, *lists], names=schema.names
                 )
 
     chosen = docs.select(
