@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 MIN_DOCS = 10
 MIN_CHARS = 1
+SALTS = 32  # parts a very common line's places are dealt into
 _SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -62,9 +63,13 @@ def dropped_positions(
         F.xxhash64(text).alias("text_hash"),
         F.posexplode(_digests(F.col(text), min_chars)).alias("pos", "h"),
     ).where("h is not null")
-    hits = lines.withColumn("digest", F.unhex("h")).drop("h").join(
-        frequent_lines(docs, text, min_docs, min_chars), "digest"
+    salted = lines.select(
+        "id", "text_hash", "pos", F.unhex("h").alias("digest"), F.pmod(F.xxhash64("id", "pos"), F.lit(SALTS)).cast("int").alias("salt")
     )
+    frequent = frequent_lines(docs, text, min_docs, min_chars).select(
+        "digest", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    )
+    hits = salted.join(frequent, ["digest", "salt"])
     return hits.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
 
 
