@@ -135,7 +135,7 @@ class LabelModel:
     P(vote | class, parent's vote), which carries the correlations.
     """
 
-    def __init__(self, votes: np.ndarray, anchor: np.ndarray, rounds: int = 12, smooth: float = 0.5):
+    def __init__(self, votes: np.ndarray, anchor: np.ndarray, rounds: int = 60, smooth: float = 0.5):
         n, k = votes.shape
         votes = votes.astype(np.float32)
         # The given label is one more voter, whose errors are estimated too.
@@ -145,7 +145,7 @@ class LabelModel:
         for turn in range(rounds):
             weight = np.stack([1 - q, q])
             prior = weight.sum(1) / n
-            if k > 1 and turn % 4 == 0:
+            if k > 1 and turn % 10 == 0:
                 self._tree(votes, weight)
             mother = votes[:, np.maximum(self.parent, 0)] * (self.parent >= 0)
             seen = np.empty((2, 2, k))
@@ -161,7 +161,9 @@ class LabelModel:
             self.right = right
             logit = self.evidence(votes)
             label = np.where(anchor == 1, np.log(right[1] / (1 - right[0])), np.log((1 - right[1]) / right[0]))
-            q = 1 / (1 + np.exp(-np.clip(logit + label, -30, 30)))
+            before, q = q, 1 / (1 + np.exp(-np.clip(logit + label, -30, 30)))
+            if np.abs(q - before).mean() < 1e-5:
+                break
         self.posterior = q
 
     def evidence(self, votes: np.ndarray) -> np.ndarray:
