@@ -32,8 +32,9 @@ _MARKER = re.compile(
     re.I,
 )
 TURNS = 64  # consecutive turns of one conversation that are decoded together
-_STAY = np.log(0.999)
-_MOVE = np.log(0.0005)
+# Inside a row, a line without a marker all but never changes the speaker.
+_STAY = np.log(1 - 2e-6)
+_MOVE = np.log(1e-6)
 # Kinds of evidence a line gives, each with its values.
 _SHAPES = 6
 _LENGTHS = 10
