@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
+from moraine.sources.shared import stored
+
 from .batches import LOWER, NOT_SPACE, mix, slices, span_hashes, utf8, word_spans
 
 SHINGLE = 5
@@ -173,9 +175,11 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int)
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")).where("text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
-        yield k == blocks - 1, sorted(map(tuple, part.collect()), key=lambda r: (r[0] is None, r[0], r[1]))
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    used = sorted(r.block for r in items.select("block").distinct().collect()) or [0]
+    for k in used:
+        part = items.where(F.col("block") == k).select("item_id", "text")
+        yield k == used[-1], sorted(map(tuple, part.collect()), key=lambda r: (r[0] is None, r[0], r[1]))
 
 
 def decontaminate(
@@ -205,8 +209,10 @@ def decontaminate(
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("doc"), F.col(text).alias("text")
     )
-    for last, items in item_blocks(benchmark, item_id, item_text, block_bytes):
+    for k, (last, items) in enumerate(item_blocks(benchmark, item_id, item_text, block_bytes)):
         index = Index(items)
+        if k and k % 8 == 0:
+            rows = stored(rows, "decontaminated")  # keeps the plan of many blocks short
         rows = rows.mapInArrow(_scan(index, least, match, last), _schema(rows, match, last))
     return rows
 
