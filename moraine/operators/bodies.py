@@ -10,10 +10,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.calendar import game_id_matches_season, season_start
-from ..functions.json import json_texts, path_schema
+from ..functions.json import json_texts
 from ..sources import endpoints as E
 from ..sources.bronze import to_envelope
 
@@ -62,25 +61,42 @@ ELEMENTS: dict[str, dict[str, dict[str, str]]] = {
 }
 # The date of a scheduled game may be absent, but not malformed.
 _SCHEDULED_GAME = {k: v for k, v in _GAME.items() if k != "gameDate"}
-_DAY = T.StructType(
-    [T.StructField("date", T.StringType()), T.StructField("games", T.ArrayType(path_schema(_GAME)))]
-)
 
 
-def _is(kind: str, text: Column) -> Column:
-    """Does the extracted text have this kind? NULL text has none."""
+def _text(body: Column, path: str) -> Column:
+    return F.try_variant_get(body, f"$.{path}", "string")
+
+
+def _array(body: Column, path: str) -> Column:
+    """The elements of a member that is an array, NULL for anything else."""
+    return F.try_variant_get(body, f"$.{path}", "array<variant>")
+
+
+def _object(body: Column, path: str = "") -> Column:
+    """Is the member, or the value itself, an object?"""
+    return F.try_variant_get(body, f"$.{path}" if path else "$", "map<string,variant>").isNotNull()
+
+
+def _is(kind: str, body: Column, path: str) -> Column:
+    """Does the member have this kind? An absent or null member has none.
+
+    Numbers may be written as text, texts must be JSON strings.
+    """
+    if kind == "object":
+        return _object(body, path)
+    if kind == "objects":
+        return _array(body, path).isNotNull()
+    text = _text(body, path)
     if kind == "int":
         number = text.try_cast("decimal(38,6)")
         return text.try_cast("bigint").isNotNull() | (number.isNotNull() & (F.floor(number) == number))
+    string = F.schema_of_variant(F.try_variant_get(body, f"$.{path}", "variant")) == "STRING"
     if kind == "date":
-        return text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & text.try_cast("date").isNotNull()
+        return string & text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & text.try_cast("date").isNotNull()
     if kind == "time":
-        return text.try_cast("timestamp").isNotNull()
-    if kind == "object":
-        return text.startswith("{")
-    if kind == "objects":
-        return text.startswith("[")
-    return text.isNotNull()
+        dated = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}")
+        return string & dated & text.try_cast("timestamp").isNotNull()
+    return string
 
 
 def _holds(condition: Column) -> Column:
@@ -97,10 +113,7 @@ def _complete(item: Column, members: Mapping[str, str]) -> Column:
     """Does an element hold every required member?"""
     held = F.lit(True)
     for path, kind in members.items():
-        value = item
-        for name in path.split("."):
-            value = value.getField(name)
-        held = held & _holds(_is(kind, value))
+        held = held & _holds(_is(kind, item, path))
     return held
 
 
@@ -108,7 +121,7 @@ def _array_reason(family: str, array: str, items: Column) -> Column:
     """Elements must be objects, and hold the members required of them."""
     members = ELEMENTS.get(family, {}).get(array)
     if members is None:
-        return _rejected(F.forall(items, lambda e: _holds(e.startswith("{"))), f"missing:{array}")
+        return _rejected(F.forall(items, lambda e: _holds(_object(e))), f"missing:{array}")
     return _rejected(F.forall(items, lambda e: _complete(e, members)), f"incomplete:{array}")
 
 
@@ -116,28 +129,20 @@ def with_reason(df: DataFrame, family: str) -> DataFrame:
     """Add ``reason`` to saved responses of one family.
 
     ``df`` has ``scope_key``, ``status`` and ``response_json``. What was
-    requested is read from the scope key and compared with what came back.
+    requested is read from the scope key and compared with what came back. The
+    body is parsed once, into a variant that keeps the kind of every member;
+    a second, shallow pass refuses text after the body's end.
     """
     required = REQUIRED[family]
-    columns = {path: f"__m{i}" for i, path in enumerate(required)}
-    texts = json_texts(df, "response_json", {c: p for p, c in columns.items()}, df.columns)
-
-    # Arrays are parsed once, into columns that several checks read.
+    # Behind a generator, so that the many checks do not copy the parse.
+    parsed = df.select(*df.columns, F.explode(F.array(F.try_parse_json("response_json"))).alias("__body"))
+    body = F.col("__body")
     arrays = [path for path, kind in required.items() if kind == "objects"]
-    for array in arrays:
-        members = ELEMENTS.get(family, {}).get(array)
-        element = path_schema(members) if members else T.StringType()
-        if family == E.SCHEDULE:
-            element = _DAY
-        parsed = F.from_json(F.col(columns[array]), T.ArrayType(element))
-        texts = texts.withColumn(f"{columns[array]}_items", parsed)
-    items = {array: F.col(f"{columns[array]}_items") for array in arrays}
-
-    reasons = [
-        _rejected(_is(kind, F.col(columns[path])), f"missing:{path}") for path, kind in required.items()
-    ]
+    items = {array: _array(body, array) for array in arrays}
+
+    reasons = [_rejected(_is(kind, body, path), f"missing:{path}") for path, kind in required.items()]
     reasons += [_array_reason(family, array, items[array]) for array in arrays]
-    whole = lambda path: F.col(columns[path]).try_cast("decimal(38,6)").try_cast("bigint")
+    whole = lambda path: _text(body, path).try_cast("decimal(38,6)").try_cast("bigint")
     scope = F.col("scope_key")
     if family in E.GAME_FAMILIES:
         reasons.append(
@@ -151,21 +156,22 @@ def with_reason(df: DataFrame, family: str) -> DataFrame:
         reasons.append(_rejected(whole("currentSeason") == requested, "season_not_requested"))
     if family == E.SCHEDULE:
         reasons += _schedule_reasons(items["gameWeek"])
-    judged = texts.withColumn("__first", F.coalesce(*reasons))
+    judged = parsed.withColumn("__first", F.coalesce(*reasons))
+    alone = F.json_array_length(F.concat(F.lit("["), "response_json", F.lit("]"))) == 1
     malformed = F.col("__first").isNotNull() & F.json_object_keys("response_json").isNull()
-    reason = F.when(malformed, F.lit("malformed_json")).otherwise(F.col("__first"))
+    reason = F.when(malformed | ~_holds(alone), F.lit("malformed_json")).otherwise(F.col("__first"))
     return judged.select(*df.columns, reason.alias("reason"))
 
 
 def _schedule_reasons(week: Column) -> list[Column]:
-    games = F.flatten(F.transform(week, lambda day: day["games"]))
+    games = F.flatten(F.transform(week, lambda day: _array(day, "games")))
 
     def complete(game: Column) -> Column:
-        dated = game["gameDate"].isNull() | _is("date", game["gameDate"])
+        dated = _text(game, "gameDate").isNull() | _is("date", game, "gameDate")
         return _holds(dated) & _complete(game, _SCHEDULED_GAME)
 
     matches = lambda g: _holds(
-        game_id_matches_season(g["id"].try_cast("bigint"), g["season"])
+        game_id_matches_season(_text(g, "id").try_cast("bigint"), _text(g, "season"))
     )
     return [
         _rejected(F.forall(games, complete), "incomplete:games"),

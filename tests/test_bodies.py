@@ -89,6 +89,33 @@ BAD = [
     (E.SCHEDULE, "2026-04-24", b.schedule({"2026-04-24": [without(b.scheduled(GAME), "gameState")]}), "incomplete:games"),
     (E.SCHEDULE, "2026-04-24", b.schedule({"2026-04-24": [b.scheduled(GAME, season=20242025)]}), "id_season_mismatch"),
     (E.SCHEDULE, "2026-04-24", {}, "missing:gameWeek"),
+    # Members of the wrong JSON kind, and text after the body.
+    (E.LANDING, GAME, b.landing(gameState=5), "missing:gameState"),
+    (E.LANDING, GAME, b.landing(gameState=True), "missing:gameState"),
+    (E.LANDING, GAME, b.landing(gameDate=20260424), "missing:gameDate"),
+    (E.LANDING, GAME, b.landing(startTimeUTC="T10:00:00"), "missing:startTimeUTC"),
+    (E.LANDING, GAME, b.landing(startTimeUTC={"x": 1}), "missing:startTimeUTC"),
+    (E.LANDING, GAME, b.landing(gameType=[3]), "missing:gameType"),
+    (E.LANDING, GAME, b.landing(homeTeam={"id": 1, "abbrev": {"x": 1}}), "missing:homeTeam.abbrev"),
+    (E.LANDING, GAME, b.landing(homeTeam="x"), "missing:homeTeam.id"),
+    (E.LANDING, GAME, b.text(b.landing()) + " xx", "malformed_json"),
+    (E.LANDING, GAME, b.text(b.landing()) + "}", "malformed_json"),
+    (E.BOXSCORE, GAME, b.boxscore(playerByGameStats="{}"), "missing:playerByGameStats"),
+    (E.PLAY_BY_PLAY, GAME, b.play_by_play(plays="[]"), "missing:plays"),
+    (E.PLAY_BY_PLAY, GAME, b.play_by_play(plays=["{}"]), "missing:plays"),
+    (E.ROSTER, "20242025|TOR", b.roster([{**b.person(1), "positionCode": 5}]), "incomplete:forwards"),
+    (E.ROSTER, "20242025|TOR", {**b.roster(), "goalies": "[]"}, "missing:goalies"),
+    (E.CLUB_SCHEDULE, "20242025|TOR", {**b.club_schedule(), "nextSeason": {}}, "missing:nextSeason"),
+    (E.CLUB_SCHEDULE, "20242025|TOR", {**b.club_schedule(), "games": {}}, "missing:games"),
+    (E.SKATER_SUMMARY, "20242025", {**b.summary(), "data": "[]"}, "missing:data"),
+    (E.SKATER_SUMMARY, "20242025", b.summary({**b.skater_row(1), "goals": [1]}), "incomplete:data"),
+    (E.GOALIE_SUMMARY, "20242025", b.summary({**b.goalie_row(1), "gamesPlayed": "x"}), "incomplete:data"),
+    (E.TEAM_SUMMARY, "20242025", {**b.summary(), "total": {}}, "missing:total"),
+    (E.TEAM_SUMMARY, "20242025", b.summary({**b.team_row(1), "teamId": True}), "incomplete:data"),
+    (E.SCHEDULE, "2026-04-24", {"gameWeek": [{"date": 5, "games": []}]}, "incomplete:gameWeek"),
+    (E.SCHEDULE, "2026-04-24", {"gameWeek": [{"date": "2026-04-24", "games": "[]"}]}, "incomplete:games"),
+    (E.SCHEDULE, "2026-04-24", b.schedule({"2026-04-24": [b.scheduled(GAME, 5)]}), "incomplete:games"),
+    (E.SCHEDULE, "2026-04-24", b.text(b.schedule({"2026-04-24": []})) + " {}", "malformed_json"),
 ]
 
 
