@@ -9,12 +9,12 @@ point:
 3. the manifest rows are counted from the bronze just written and appended.
 
 A crash before step 3 leaves units pending; the next run loads them again and
-the staging dedup keeps the latest fetch.
+the staging dedup keeps the latest fetch. A body that is stored and logged is
+not appended again, however often its unit is tried.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
@@ -26,7 +26,7 @@ from ..operators.bodies import envelopes, found, scope_of, with_reason
 from ..operators.dedup import latest_by
 from ..operators.unnest import union_facts
 from ..sources import endpoints as E
-from ..sources.bronze import ENVELOPE, write_bronze
+from ..sources.bronze import ENVELOPE, bronze_digests, write_bronze
 from ..sources.landed import read_landed
 from ..sources.manifest import append_manifest, manifest_rows, new_run_id, read_manifest
 from .costs import THRESHOLD_USD, CostCheckTripped, check_cost, project_cost
@@ -40,8 +40,6 @@ from .worklists import (
     team_season_units,
 )
 
-LITERAL_KEYS = 1000
-
 
 class RejectedBodies(ValueError):
     """A strict load met responses that fail their checks."""
@@ -56,6 +54,7 @@ class PhaseResult:
     waiting: int
     rejected: int
     appended: int
+    refused: int = 0
 
 
 @dataclass
@@ -122,20 +121,26 @@ def write_family(load: Load, bodies: DataFrame, family: str, batch: str) -> tupl
     return manifest_rows(stored, load.run_id, scope_of(family), written.compression), rejected
 
 
-def only_pending(pending: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """A filter of responses to pending units.
+def not_loaded(load: Load, bodies: DataFrame, family: str, batch: str) -> DataFrame:
+    """Bodies without those that an earlier load has stored and logged.
 
-    A few keys become literals that a columnar scan can skip by; at most
-    ``LITERAL_KEYS + 1`` rows reach the driver. More keys are joined.
+    What this very batch wrote before a crash does not count: it is replaced.
     """
-    few = [row.scope_key for row in pending.limit(LITERAL_KEYS + 1).collect()]
-    if len(few) <= LITERAL_KEYS:
-        return lambda bodies: bodies.where(F.col("scope_key").isin(few) if few else F.lit(False))
-    return lambda bodies: bodies.join(pending, "scope_key", "left_semi")
+    logged = load.manifest().where((F.col("endpoint") == E.TEMPLATES[family]) & (F.col("status") == "ok"))
+    stored = bronze_digests(load.spark, load.base, family, f"/{batch}.parquet/").select(
+        scope_of(family).alias("scope_key"), F.col("response_sha256").alias("__digest")
+    )
+    known = stored.join(logged.select("scope_key").distinct(), "scope_key", "left_semi")
+    digested = bodies.withColumn("__digest", F.sha2("response_json", 256))
+    return digested.join(known, ["scope_key", "__digest"], "left_anti").select(*bodies.columns)
 
 
 def run_phase(load: Load, phase: str, units: DataFrame) -> PhaseResult:
-    """Load one phase's pending units of whatever families have arrived."""
+    """Load one phase's pending units of whatever families have arrived.
+
+    ``loaded`` counts units of which something was logged, ``refused`` units of
+    which everything new was rejected, ``waiting`` the other pending ones.
+    """
     families = E.PHASE_FAMILIES[phase]
     batch = f"{load.run_id}-{phase}"
     arrived = union_facts(*[load.landed(f).select("scope_key") for f in families])
@@ -149,21 +154,26 @@ def run_phase(load: Load, phase: str, units: DataFrame) -> PhaseResult:
     plan = load.spark.read.schema("scope_key string, state string").parquet(plan_path)
     pending = plan.where(F.col("state") == LOADED).select("scope_key")
 
-    wanted = only_pending(pending)
-    logs, rejected = [], 0
+    logs, rejects, rejected = [], [], 0
     for family in families:
-        log, bad = write_family(load, wanted(load.landed(family)), family, batch)
+        arrived = load.landed(family).join(pending, "scope_key", "left_semi")
+        log, bad = write_family(load, not_loaded(load, arrived, family, batch), family, batch)
         logs.append(log)
         rejected += bad
+        if bad:
+            rejects.append(load.spark.read.parquet(f"{load.paths.rejects(family)}/{batch}.parquet").select("scope_key"))
     if rejected and load.strict:
         raise RejectedBodies(f"{rejected} responses rejected in phase {phase}, run {load.run_id}")
-    appended = append_manifest(
-        union_facts(*logs), load.paths.manifest, load.manifest_format, batch=batch
-    )
+    logged = union_facts(*logs)
+    appended = append_manifest(logged, load.paths.manifest, load.manifest_format, batch=batch)
+    done = logged.select("scope_key").distinct()
+    loaded = done.count()
+    refused = 0
+    if rejects:
+        refused = union_facts(*rejects).distinct().join(done, "scope_key", "left_anti").count()
     counts = phase_counts(plan, keys=[]).first()
-    return PhaseResult(
-        phase, counts.attempted, counts.skipped, counts.loaded, counts.waiting, rejected, appended
-    )
+    waiting = counts.attempted - counts.skipped - loaded - refused
+    return PhaseResult(phase, counts.attempted, counts.skipped, loaded, waiting, rejected, appended, refused)
 
 
 def _scheduled(load: Load, days: DataFrame) -> DataFrame:

@@ -123,11 +123,15 @@ def store_models(models: Models, names: Sequence[str], path_of: Callable[[str],
     return models.using(kept)
 
 
-def build_silver(spark: SparkSession, base: str, out: str, since=None, until=None) -> Models:
-    """Build the star schema from a lake: ``out/staging/*`` and ``out/core/*``."""
+def build_silver(spark: SparkSession, base: str, out: str) -> Models:
+    """Build the star schema from a whole lake: ``out/staging/*`` and ``out/core/*``.
+
+    Tables are replaced whole, so they are built from all ingest dates;
+    ``lake_models`` reads a period without storing it.
+    """
     layer = lambda name: "staging" if name in STAGING else "core"
     return store_models(
-        lake_models(spark, base, since, until),
+        lake_models(spark, base),
         [*SEEDS, *STAGING, *CORE],
         lambda name: f"{out.rstrip('/')}/{layer(name)}/{name}",
     )

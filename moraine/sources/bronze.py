@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,3 +146,20 @@ def read_bronze(
     if until is not None:
         df = df.where(F.col("ingest_date") <= F.lit(str(until)).cast("date"))
     return df
+
+
+def bronze_digests(spark: SparkSession, base: str, family: str, without: str) -> DataFrame:
+    """Keys and digests of a family's stored rows, except files whose path holds ``without``.
+
+    A family of which nothing is stored yet has no rows.
+    """
+    try:
+        stored = read_bronze(spark, base, family)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "entity_id string, season string, response_sha256 string")
+    rows = stored.select(
+        "entity_id", "season", "response_sha256", F.col("_metadata.file_path").alias("path")
+    )
+    return rows.where(~F.col("path").contains(without)).drop("path")

@@ -9,7 +9,8 @@ from moraine.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, 2)
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session(4, 2, **{"spark.checkpoint.dir": str(shared)})
     yield session
     session.stop()

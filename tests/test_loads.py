@@ -64,9 +64,7 @@ def test_a_day_then_the_same_day_again(spark, tmp_path):
     assert logged(spark, tmp_path).count() == 6 and rows_in(spark, tmp_path, E.LANDING).count() == 2
 
 
-@pytest.mark.parametrize("literal_keys", [1000, 0])
-def test_parquet_landing_by_literals_or_join(spark, tmp_path, monkeypatch, literal_keys):
-    monkeypatch.setattr(bf, "LITERAL_KEYS", literal_keys)
+def test_parquet_landing(spark, tmp_path):
     landing = tmp_path / "landing"
     for family, body in zip(E.SUMMARY_FAMILIES, (b.skater_row, b.goalie_row, b.team_row)):
         save(spark, landing, family, [(s, b.summary(body(1, int(s)))) for s in ("20232024", "20242025")], "parquet")
@@ -79,13 +77,10 @@ def test_parquet_landing_by_literals_or_join(spark, tmp_path, monkeypatch, liter
     assert {r.entity_id for r in rows_in(spark, tmp_path, E.TEAM_SUMMARY).collect()} == {"20242025"}
 
 
-def test_few_pending_keys_are_pushed_to_the_scan(spark, tmp_path):
+def test_pending_keys_are_joined_whatever_their_number(spark, tmp_path):
     save(spark, tmp_path, E.LANDING, [(GAME, b.landing(GAME))], "parquet")
     load = bf.Load(spark, str(tmp_path), str(tmp_path), "run", date(2026, 4, 25), "parquet")
-    pending = spark.createDataFrame([(str(GAME),)], "scope_key string")
-    bodies = bf.only_pending(pending)(load.landed(E.LANDING))
-    plan = bodies._jdf.queryExecution().executedPlan().toString()
-    assert f"EqualTo(scope_key,{GAME})" in plan and "Join" not in plan
+    plan = load.landed(E.LANDING)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(family" in plan
 
 
@@ -100,9 +95,24 @@ def test_a_partly_logged_game_is_loaded_whole(spark, tmp_path):
     second = bf.load_day(load_of(spark, tmp_path, "two"), date(2025, 10, 7))
     assert (second.skipped, second.loaded) == (1, 1)
     new = logged(spark, tmp_path).where("run_id = 'two'").collect()
-    assert {(e.scope_key, e.endpoint) for e in new} == {(str(GAME), t) for t in E.templates_of(E.GAME_FAMILIES)}
-    # The first game's landing was written twice; the models keep one.
-    assert rows_in(spark, tmp_path, E.LANDING).where(F.col("entity_id") == str(GAME)).count() == 2
+    assert {(e.scope_key, e.endpoint) for e in new} == {(str(GAME), t) for t in E.templates_of([E.PLAY_BY_PLAY])}
+    # What was stored and logged before is not appended again.
+    assert rows_in(spark, tmp_path, E.LANDING).where(F.col("entity_id") == str(GAME)).count() == 1
+
+
+def test_reruns_with_an_absent_sibling_change_nothing(spark, tmp_path):
+    landing = tmp_path / "landing"
+    save_week(spark, landing, games=[b.scheduled(GAME)])
+    save_game(spark, landing, GAME, [E.LANDING, E.BOXSCORE])
+    counts = []
+    for run in ("one", "two", "three"):
+        result = bf.load_day(load_of(spark, tmp_path, run), date(2025, 10, 7))
+        counts.append((result.loaded, logged(spark, tmp_path).count(), rows_in(spark, tmp_path, E.LANDING).count()))
+    assert counts == [(1, 2, 1), (0, 2, 1), (0, 2, 1)]
+    # A changed body is new.
+    save(spark, landing, E.LANDING, [(GAME, b.landing(GAME, regPeriods=4))])
+    assert bf.load_day(load_of(spark, tmp_path, "four"), date(2025, 10, 7)).loaded == 1
+    assert rows_in(spark, tmp_path, E.LANDING).count() == 2
 
 
 def test_rerun_of_a_crashed_run_replaces_its_own_output(spark, tmp_path):
@@ -124,7 +134,7 @@ def test_rejected_bodies_stay_out(spark, tmp_path):
     load = load_of(spark, tmp_path, "run")
     units = bf.game_units(load, spark.createDataFrame([(DAY,)], "scope_key string"))
     result = bf.run_phase(load, "games", units)
-    assert (result.loaded, result.rejected, result.appended) == (2, 3, 3)
+    assert (result.loaded, result.refused, result.rejected, result.appended) == (1, 1, 3, 3)
     assert [r.entity_id for r in rows_in(spark, tmp_path, E.BOXSCORE).collect()] == [str(GAME + 1)]
     saved = spark.read.parquet(f"{load.paths.rejects(E.LANDING)}/run-games.parquet").collect()
     assert [(r.scope_key, r.reason) for r in saved] == [(str(GAME), "id_season_mismatch")]
@@ -183,7 +193,7 @@ def test_backfill_runs_resumes_and_stops(spark, tmp_path):
     # Resume: only the pair with a missing resource is tried again.
     second = backfill(spark, tmp_path, run_id="two")
     again = {p.phase: (p.skipped, p.loaded, p.appended) for p in second.phases}
-    assert again == {"team-season": (2, 1, 1), "season-summaries": (1, 0, 0), "games": (3, 0, 0)}
+    assert again == {"team-season": (2, 0, 0), "season-summaries": (1, 0, 0), "games": (3, 0, 0)}
     assert rows_in(spark, tmp_path, E.ROSTER).count() == 2
 
     # One phase alone, and a cost trip in each mode.
@@ -257,6 +267,31 @@ def test_stream_ingests_new_files_once(spark, tmp_path):
     assert rows_in(spark, tmp_path, E.PLAY_BY_PLAY).count() == 2
 
 
+def test_stream_reads_each_batch_once_and_files_by_run_date(spark, tmp_path):
+    landing, lake, checkpoint = (str(tmp_path / n) for n in ("landing", "lake", "checkpoint"))
+    save_game(spark, landing, GAME)
+    late = b.FETCHED.replace(year=2099)
+    save(spark, landing, E.LANDING, [(GAME + 1, b.landing(GAME + 1), late)])
+    query = ingest_stream(spark, landing, lake, checkpoint, manifest_format="parquet", ingest_date=date(2026, 5, 1))
+    query.awaitTermination(120)
+    assert query.exception() is None
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 4
+    assert {r.ingest_date for r in rows_in(spark, tmp_path, E.LANDING).collect()} == {date(2026, 5, 1)}
+    # A second stream over the same lake reads its Parquet manifest.
+    save_game(spark, landing, GAME + 2)
+    query = ingest_stream(spark, landing, lake, checkpoint, manifest_format="parquet", ingest_date=date(2026, 5, 2))
+    query.awaitTermination(120)
+    assert query.exception() is None
+    assert read_manifest(spark, E.LakePaths(lake).manifest, "parquet").count() == 7
+    assert not (tmp_path / "lake" / "_arriving").exists() or not list((tmp_path / "lake" / "_arriving").iterdir())
+
+
+def test_strict_batches_fail_on_rejects(spark, tmp_path):
+    batch = b.landed(spark, [(GAME + 9, b.landing(GAME))]).withColumn("family", F.lit(E.LANDING))
+    with pytest.raises(bf.RejectedBodies):
+        ingest_batch(batch, 0, str(tmp_path / "lake"), strict=True)
+
+
 def test_replayed_batch_replaces_itself(spark, tmp_path):
     lake = str(tmp_path / "lake")
     batch = b.landed(spark, [(GAME, b.landing(GAME))]).withColumn("family", F.lit(E.LANDING))
