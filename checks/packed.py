@@ -24,13 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Use every core for the per-row packing when the scan has few splits.
+    """Deal rows over all cores for the per-row packing.
 
-    The given tables are single small files, so one task would do all of it.
-    A scan with enough splits is left alone.
+    The given tables are single files, which one task would read and pack.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism)
 
 
 def div(a: Column, b: int) -> Column:
