@@ -6,7 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..sources.shared import stored
+
+ROWS = 100_000  # rows of a rolling mean that one task sees, about
 RECURRING_LENGTH = 7  # YYYY-MM; one-off entries carry a full date
 
 
@@ -26,43 +30,49 @@ def total_like(df: DataFrame, period: str, pattern: str, value: str, out: str =
 
 
 def rolling_mean(
-    df: DataFrame, order: str, value: str, n: int = 3, out: str = "rolling_mean", blocks: int = 64
+    df: DataFrame, order: str, value: str, n: int = 3, out: str = "rolling_mean", rows: int = ROWS
 ) -> DataFrame:
     """Mean of ``value`` over the current and the ``n - 1`` preceding rows.
 
     ``order`` is unique. The frame spans the whole table without a grouping
-    key, which as a plain window would be one task. Instead the rows are cut
-    into ordered blocks, each block is given copies of the ``n - 1`` rows
-    before it, and the frame runs inside each block.
+    key, which as a plain window would be one task. Instead every row gets its
+    rank, ranks are cut into blocks of ``rows`` (``n`` at least), and the last
+    ``n - 1`` rows of a block are copied into the next one. Whole numbers and
+    decimals are summed by running totals, whatever ``n`` is; floating point
+    values, which those would blur, by Spark's sliding frame.
     """
-    cuts = _cuts(df, order, blocks)
-    block = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(order)))
-    rows = df.withColumn("__block", block if cuts else F.lit(0)).withColumn("__copy", F.lit(False))
-    if cuts and n > 1:
-        rows = rows.unionByName(_carried(rows, order, n))
-    frame = Window.partitionBy("__block").orderBy(order).rowsBetween(1 - n, 0)
-    means = rows.withColumn(out, F.avg(value).over(frame))
-    return means.where(~F.col("__copy")).drop("__block", "__copy")
-
-
-def _cuts(df: DataFrame, order: str, blocks: int) -> list:
-    """At most ``blocks - 1`` values that cut the rows into ranges of like size."""
-    ranges = df.select(order).repartitionByRange(blocks, order)
-    starts = ranges.groupBy(F.spark_partition_id()).agg(F.min(order).alias("start"))
-    return sorted(row["start"] for row in starts.collect() if row["start"] is not None)[1:]
-
-
-def _carried(rows: DataFrame, order: str, n: int) -> DataFrame:
-    """For each block, copies of the ``n - 1`` rows before it.
-
-    Only the last ``n - 1`` rows of each block take part, so the window without
-    a partition below sees at most ``blocks * (n - 1)`` rows.
+    ranked = _ranked(df, order)
+    size = F.lit(max(n, rows)).cast("bigint")
+    block = F.call_function("div", F.col("__rank"), size)
+    later = F.call_function("div", F.col("__rank") + (n - 1), size)
+    blocks = F.when(later > block, F.array(block, block + 1)).otherwise(F.array(block))
+    dealt = ranked.select("*", F.posexplode(blocks).alias("__copy", "__block"))
+    within = Window.partitionBy("__block").orderBy("__rank")
+    kind = df.select(F.avg(value).alias("m")).schema["m"].dataType
+    if isinstance(df.schema[value].dataType, (T.IntegralType, T.DecimalType)):
+        so_far = within.rowsBetween(Window.unboundedPreceding, 0)
+        exact = F.col(value).cast(f"decimal(38,{getattr(df.schema[value].dataType, 'scale', 0)})")
+        dealt = dealt.withColumns({"__sum": F.sum(exact).over(so_far), "__n": F.count(value).over(so_far)})
+        span = lambda c: F.coalesce(c, F.lit(0)) - F.coalesce(F.lag(c, n).over(within), F.lit(0))
+        count = span(F.col("__n"))
+        total = span(F.col("__sum"))
+        total = total.cast(kind) if isinstance(kind, T.DoubleType) else total
+        mean = F.when(count > 0, total / count).cast(kind)
+    else:
+        mean = F.avg(value).over(within.rowsBetween(1 - n, 0))
+    return dealt.withColumn(out, mean).where(F.col("__copy") == 0).select(*df.columns, out)
+
+
+def _ranked(df: DataFrame, order: str) -> DataFrame:
+    """The rows, stored once in ranges of ``order``, with ``__rank`` from 0.
+
+    A row's rank is its place in its range plus the rows of earlier ranges;
+    one task sees the count of each range, no more.
     """
-    from_end = Window.partitionBy("__block").orderBy(F.col(order).desc())
-    tails = rows.withColumn("__end", F.row_number().over(from_end)).where(F.col("__end") <= n - 1)
-    up_to_here = Window.orderBy(order).rowsBetween(2 - n, 0)
-    last = tails.withColumn(
-        "__before", F.collect_list(F.struct(*rows.columns)).over(up_to_here)
-    ).where(F.col("__end") == 1)
-    copies = last.select((F.col("__block") + 1).alias("__next"), F.inline("__before"))
-    return copies.withColumns({"__block": F.col("__next"), "__copy": F.lit(True)}).drop("__next")
+    ranges = stored(df.repartitionByRange(F.col(order)).withColumn("__range", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy("__range").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(order)) - 1
+    ranked = ranges.withColumn("__place", place).join(starts, "__range")
+    return ranked.withColumn("__rank", F.col("__before") + F.col("__place")).drop("__range", "__before", "__place")

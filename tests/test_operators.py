@@ -150,12 +150,13 @@ def test_singular_assertion(spark):
         assert_no_rows(spark.range(1), "too many")
 
 
-@pytest.mark.parametrize("size, n, blocks", [(1, 3, 4), (2, 3, 4), (50, 3, 8), (50, 1, 8), (40, 5, 30), (7, 4, 7), (100, 3, 1)])
-def test_rolling_mean_matches_brute_force(spark, size, n, blocks):
+@pytest.mark.parametrize("kind", ["long", "double"])
+@pytest.mark.parametrize("size, n, rows", [(1, 3, 4), (2, 3, 4), (50, 3, 8), (50, 1, 8), (40, 5, 30), (7, 4, 2), (100, 30, 1)])
+def test_rolling_mean_matches_brute_force(spark, size, n, rows, kind):
     rng = random.Random(size)
     data = [(f"{2000 + i // 12}-{i % 12 + 1:02d}", rng.randrange(1000)) for i in range(size)]
-    df = spark.createDataFrame(rng.sample(data, size), "period string, total long")
-    got = [(r.period, r.total, r.rolling_mean) for r in reports.rolling_mean(df, "period", "total", n, blocks=blocks).orderBy("period").collect()]
+    df = spark.createDataFrame(rng.sample(data, size), "period string, total long").withColumn("total", F.col("total").cast(kind))
+    got = [(r.period, r.total, r.rolling_mean) for r in reports.rolling_mean(df, "period", "total", n, rows=rows).orderBy("period").collect()]
     values = [v for _, v in data]
     want = [
         (p, v, sum(values[max(0, i - n + 1) : i + 1]) / len(values[max(0, i - n + 1) : i + 1]))
