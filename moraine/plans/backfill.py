@@ -88,6 +88,8 @@ class Load:
     landing_format: str = "json"
     manifest_format: str = "json"
     strict: bool = False
+    since: date | None = None  # days of arrival that the load looks at
+    until: date | None = None
 
     @property
     def paths(self) -> E.LakePaths:
@@ -97,7 +99,7 @@ class Load:
         return read_manifest(self.spark, self.paths.manifest, self.manifest_format)
 
     def landed(self, family: str) -> DataFrame:
-        return read_landed(self.spark, self.landing, family, self.landing_format)
+        return read_landed(self.spark, self.landing, family, self.landing_format, self.since, self.until)
 
 
 def write_family(load: Load, bodies: DataFrame, family: str, batch: str) -> tuple[DataFrame, int]:

@@ -7,12 +7,18 @@ families it loads:
   ``status``, ``fetched_at_utc``, ``response_json``. Parquet is the one to use
   at scale: planning reads the scope keys alone, and a load of few units can
   skip row groups.
+Below the family a landing may have a folder for each day of arrival
+(``family=../arrived=YYYY-MM-DD``); ``since`` and ``until`` then open the days
+asked for and no other. Responses outside such folders are read always.
+
 * ``text``: one file per response, everything but the body in the path:
   ``family=../scope_key=../status=../fetched_at_utc=../<any name>``.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +32,8 @@ LANDED = T.StructType(
         T.StructField("family", T.StringType()),
     ]
 )
-_TEXT = "value string, family string, scope_key string, status int, fetched_at_utc string"
+_FILES = T.StructType([*LANDED.fields, T.StructField("arrived", T.DateType())])
+_TEXT = "value string, family string, scope_key string, status int, fetched_at_utc string, arrived date"
 
 
 def _shaped(df: DataFrame, fmt: str) -> DataFrame:
@@ -46,13 +53,30 @@ def _configured(reader, fmt: str):
         return reader.format("text").option("wholetext", True).schema(_TEXT)
     if fmt == "json":
         reader = reader.option("mode", "FAILFAST")
-    return reader.format(fmt).schema(LANDED)
+    return reader.format(fmt).schema(_FILES)
 
 
-def read_landed(spark: SparkSession, path: str, family: str | None = None, fmt: str = "json") -> DataFrame:
-    """Saved responses, optionally of one family (prunes the other folders)."""
-    df = _shaped(_configured(spark.read, fmt).load(path), fmt)
-    return df if family is None else df.where(F.col("family") == family)
+def read_landed(
+    spark: SparkSession,
+    path: str,
+    family: str | None = None,
+    fmt: str = "json",
+    since: date | str | None = None,
+    until: date | str | None = None,
+) -> DataFrame:
+    """Saved responses, optionally of one family and of some days of arrival (both inclusive).
+
+    Both choices prune folders before a file is opened.
+    """
+    df = _configured(spark.read, fmt).load(path)
+    if family is not None:
+        df = df.where(F.col("family") == family)
+    undated = F.col("arrived").isNull()
+    if since is not None:
+        df = df.where(undated | (F.col("arrived") >= F.lit(str(since)).cast("date")))
+    if until is not None:
+        df = df.where(undated | (F.col("arrived") <= F.lit(str(until)).cast("date")))
+    return _shaped(df, fmt)
 
 
 def stream_landed(

@@ -10,6 +10,7 @@ from moraine.functions.calendar import active_members, season_range
 from moraine.sources import endpoints as E
 from moraine.sources import manifest as mf
 from moraine.sources.bronze import read_bronze
+from moraine.sources.landed import read_landed
 from moraine.sources.manifest import read_manifest
 from moraine.streaming.ingest import ingest_batch, ingest_stream
 
@@ -84,6 +85,20 @@ def test_pending_keys_are_joined_whatever_their_number(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(family" in plan
 
 
+def test_a_later_day_opens_no_file_of_an_earlier_one(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for day, game in (("2026-04-24", GAME), ("2026-04-25", GAME + 1)):
+        rows = b.landed(spark, [(game, b.landing(game))]).withColumns({"family": F.lit(E.LANDING), "arrived": F.lit(day)})
+        rows.write.mode("append").partitionBy("family", "arrived").json(str(landing))
+    load = load_of(spark, tmp_path, "run", since=date(2026, 4, 25))
+    rows = load.landed(E.LANDING)
+    assert [r.scope_key for r in rows.collect()] == [str(GAME + 1)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "arrived" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert rows.select(F.input_file_name()).distinct().count() == 1
+    assert read_landed(spark, str(landing), E.LANDING, until="2026-04-24").count() == 1
+
+
 def test_a_partly_logged_game_is_loaded_whole(spark, tmp_path):
     landing = tmp_path / "landing"
     save_week(spark, landing)
