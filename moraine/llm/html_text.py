@@ -63,12 +63,14 @@ _BAD = re.compile(
     r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|notification|alert|comments?|comment\w*|"
     r"disqus|replies|reply|respond|sidebar|side|widget\w*|menu\w*|nav\w*|footer|foot|header|masthead|breadcrumb\w*|crumbs|share|sharing|social|"
     r"related|recommend\w*|popular|trending|newsletter|subscribe|subscription|signup|login|popup|modal|overlay|toolbar|pagination|pager|"
-    r"tags?|tagcloud|byline|legal|copyright|disclaimer|skip|search\w*|form|toc)(?=$|[^a-z])",
+    r"tagcloud|legal|copyright|disclaimer|skip|search\w*|form|toc)(?=$|[^a-z])",
     re.I,
 )
 _GOOD = re.compile(r"(?:^|[^a-z])(?:article\w*|content|post|entry|story|body|main|text|page)(?=$|[^a-z])", re.I)
 # Names such as "with-sidebar" say what lies beside an element, not what it is.
 _MODIFIER = re.compile(r"(?:^|(?<=\s))(?:has|with|no|is)-\S+", re.I)
+# Parts of an article by name: its own heading is no page header.
+_OWN_PART = re.compile(r"(?<![a-z])(?:entry|article|post|story|content)-(?:header|heading|title|body|text|main|content)(?![a-z])", re.I)
 _SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
 
 
@@ -87,7 +89,7 @@ def _bits(tag: str, attributes: str, above: int) -> int:
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id", "aria-label"):
-                value = _MODIFIER.sub(" ", value.replace("_", "-"))
+                value = _OWN_PART.sub("content", _MODIFIER.sub(" ", value.replace("_", "-")))
                 if _BAD.search(value):
                     bits |= BAD_NAME
                 elif _GOOD.search(value):
