@@ -3,11 +3,11 @@
 import json
 from datetime import datetime, timezone
 
-FETCHED = datetime(2026, 4, 25, 12, 0, 0, 123456, tzinfo=timezone.utc)
+FETCHED = datetime(2026, 5, 12, 12, 0, 0, 123456, tzinfo=timezone.utc)
 
 
 def at(hour: int, minute: int = 0) -> datetime:
-    return datetime(2026, 4, 25, hour, minute, tzinfo=timezone.utc)
+    return datetime(2026, 5, 12, hour, minute, tzinfo=timezone.utc)
 
 
 def team(team_id, abbrev, score=None):
@@ -15,21 +15,21 @@ def team(team_id, abbrev, score=None):
     return ref if score is None else {**ref, "score": score}
 
 
-def game(game_id=2025030123, **changes):
+def game(game_id=2025030457, **changes):
     body = {
         "id": game_id,
         "season": 20252026,
         "gameType": 3,
-        "gameDate": "2026-04-24",
+        "gameDate": "2026-05-11",
         "gameState": "OFF",
-        "startTimeUTC": "2026-04-24T23:00:00Z",
+        "startTimeUTC": "2026-05-11T23:00:00Z",
         "awayTeam": team(14, "TBL", 2),
         "homeTeam": team(8, "MTL", 3),
     }
     return {**body, **changes}
 
 
-def landing(game_id=2025030123, **changes):
+def landing(game_id=2025030457, **changes):
     body = game(
         game_id,
         venue={"default": "Centre"},
@@ -71,7 +71,7 @@ def goalie(player_id, toi="60:05", saves=20, against=2):
     }
 
 
-def boxscore(game_id=2025030123, **changes):
+def boxscore(game_id=2025030457, **changes):
     body = game(
         game_id,
         gameOutcome={"lastPeriodType": "OT", "otPeriods": 1},
@@ -97,7 +97,7 @@ def play(event_id, kind, clock="00:00", period=1, **details):
     return {**body, "details": details} if details else body
 
 
-def play_by_play(game_id=2025030123, plays=None, **changes):
+def play_by_play(game_id=2025030457, plays=None, **changes):
     some = [
         play(1, "period-start"),
         play(2, "faceoff", "00:00", winningPlayerId=1, losingPlayerId=6, eventOwnerTeamId=14, xCoord=0, yCoord=0),
@@ -213,7 +213,7 @@ def schedule(days):
     week = [
         {"date": d, "dayAbbrev": "FRI", "numberOfGames": len(g), "games": g} for d, g in days.items()
     ]
-    return {"gameWeek": week, "previousStartDate": "2026-04-17", "nextStartDate": "2026-05-01"}
+    return {"gameWeek": week, "previousStartDate": "2026-05-04", "nextStartDate": "2026-05-18"}
 
 
 def text(body) -> str:

@@ -8,7 +8,7 @@ from moraine.sources import endpoints as E
 
 from . import bodies as b
 
-GAME = 2025030123
+GAME = 2025030457
 
 
 def without(body, path):
@@ -46,8 +46,8 @@ GOOD = [
     (E.SKATER_SUMMARY, "20242025", b.summary()),
     (E.GOALIE_SUMMARY, "20242025", b.summary(b.goalie_row(1))),
     (E.TEAM_SUMMARY, "20242025", b.summary(b.team_row(1))),
-    (E.SCHEDULE, "2026-04-24", b.schedule({"2026-04-24": [b.scheduled(GAME)], "2026-04-25": []})),
-    (E.SCHEDULE, "2026-04-24", b.schedule({"2026-04-24": [without(b.scheduled(GAME), "gameDate")]})),
+    (E.SCHEDULE, "2026-05-11", b.schedule({"2026-05-11": [b.scheduled(GAME)], "2026-05-12": []})),
+    (E.SCHEDULE, "2026-05-11", b.schedule({"2026-05-11": [without(b.scheduled(GAME), "gameDate")]})),
 ]
 
 
@@ -84,11 +84,11 @@ BAD = [
     (E.SKATER_SUMMARY, "20242025", {"data": [5], "total": 1}, "incomplete:data"),
     (E.GOALIE_SUMMARY, "20242025", b.summary(b.goalie_row(None)), "incomplete:data"),
     (E.TEAM_SUMMARY, "20242025", b.summary(without(b.team_row(1), "teamId")), "incomplete:data"),
-    (E.SCHEDULE, "2026-04-24", {"gameWeek": [{"games": []}]}, "incomplete:gameWeek"),
-    (E.SCHEDULE, "2026-04-24", {"gameWeek": [{"date": "2026-04-24"}]}, "incomplete:games"),
-    (E.SCHEDULE, "2026-04-24", b.schedule({"2026-04-24": [without(b.scheduled(GAME), "gameState")]}), "incomplete:games"),
-    (E.SCHEDULE, "2026-04-24", b.schedule({"2026-04-24": [b.scheduled(GAME, season=20242025)]}), "id_season_mismatch"),
-    (E.SCHEDULE, "2026-04-24", {}, "missing:gameWeek"),
+    (E.SCHEDULE, "2026-05-11", {"gameWeek": [{"games": []}]}, "incomplete:gameWeek"),
+    (E.SCHEDULE, "2026-05-11", {"gameWeek": [{"date": "2026-05-11"}]}, "incomplete:games"),
+    (E.SCHEDULE, "2026-05-11", b.schedule({"2026-05-11": [without(b.scheduled(GAME), "gameState")]}), "incomplete:games"),
+    (E.SCHEDULE, "2026-05-11", b.schedule({"2026-05-11": [b.scheduled(GAME, season=20242025)]}), "id_season_mismatch"),
+    (E.SCHEDULE, "2026-05-11", {}, "missing:gameWeek"),
     # Members of the wrong JSON kind, and text after the body.
     (E.LANDING, GAME, b.landing(gameState=5), "missing:gameState"),
     (E.LANDING, GAME, b.landing(gameState=True), "missing:gameState"),
@@ -112,10 +112,10 @@ BAD = [
     (E.GOALIE_SUMMARY, "20242025", b.summary({**b.goalie_row(1), "gamesPlayed": "x"}), "incomplete:data"),
     (E.TEAM_SUMMARY, "20242025", {**b.summary(), "total": {}}, "missing:total"),
     (E.TEAM_SUMMARY, "20242025", b.summary({**b.team_row(1), "teamId": True}), "incomplete:data"),
-    (E.SCHEDULE, "2026-04-24", {"gameWeek": [{"date": 5, "games": []}]}, "incomplete:gameWeek"),
-    (E.SCHEDULE, "2026-04-24", {"gameWeek": [{"date": "2026-04-24", "games": "[]"}]}, "incomplete:games"),
-    (E.SCHEDULE, "2026-04-24", b.schedule({"2026-04-24": [b.scheduled(GAME, 5)]}), "incomplete:games"),
-    (E.SCHEDULE, "2026-04-24", b.text(b.schedule({"2026-04-24": []})) + " {}", "malformed_json"),
+    (E.SCHEDULE, "2026-05-11", {"gameWeek": [{"date": 5, "games": []}]}, "incomplete:gameWeek"),
+    (E.SCHEDULE, "2026-05-11", {"gameWeek": [{"date": "2026-05-11", "games": "[]"}]}, "incomplete:games"),
+    (E.SCHEDULE, "2026-05-11", b.schedule({"2026-05-11": [b.scheduled(GAME, 5)]}), "incomplete:games"),
+    (E.SCHEDULE, "2026-05-11", b.text(b.schedule({"2026-05-11": []})) + " {}", "malformed_json"),
 ]
 
 
@@ -142,7 +142,7 @@ def test_envelopes_of_each_kind(spark):
     }
     got = {f: envelopes(b.landed(spark, [row]), f).withColumn("scope", scope_of(f)).first() for f, row in made.items()}
     game, team, season = got[E.LANDING], got[E.ROSTER], got[E.GOALIE_SUMMARY]
-    assert (game.entity_id, game.season, game.event_date) == (str(GAME), "20252026", date(2026, 4, 24))
+    assert (game.entity_id, game.season, game.event_date) == (str(GAME), "20252026", date(2026, 5, 11))
     assert game.endpoint_params_json == f'{{"gameId": {GAME}}}' and game.endpoint == "/v1/gamecenter/{gameId}/landing"
     assert (team.entity_id, team.season, team.event_date) == ("TOR", "20242025", date(2024, 10, 1))
     assert team.endpoint_params_json == '{"season": "20242025", "team": "TOR"}'
@@ -158,19 +158,19 @@ def test_schedule_games(spark):
 
     week = b.schedule(
         {
-            "2026-04-24": [b.scheduled(GAME)],
-            "2026-04-25": [b.scheduled(GAME + 3, "LIVE"), b.scheduled(GAME + 2), b.scheduled(GAME + 1, "FINAL", gameType=4)],
-            "2026-04-26": [],
+            "2026-05-11": [b.scheduled(GAME)],
+            "2026-05-12": [b.scheduled(GAME + 3, "LIVE"), b.scheduled(GAME + 2), b.scheduled(GAME + 1, "FINAL", gameType=4)],
+            "2026-05-13": [],
         }
     )
-    df = b.landed(spark, [("2026-04-25", week)])
+    df = b.landed(spark, [("2026-05-12", week)])
     got = schedule_games(df, F.to_date("scope_key")).orderBy("position").collect()
     assert [(r.position, r.game_id, r.game_type, r.game_state) for r in got] == [
         (1, GAME + 2, 3, "OFF"),
         (2, GAME + 1, 4, "FINAL"),
     ]
-    assert schedule_games(df, F.lit("2026-04-25").cast("date"), states=None).count() == 3
-    assert schedule_games(df, F.lit("2026-04-26").cast("date")).count() == 0
+    assert schedule_games(df, F.lit("2026-05-12").cast("date"), states=None).count() == 3
+    assert schedule_games(df, F.lit("2026-05-13").cast("date")).count() == 0
     require_days(df, F.to_date("scope_key"))
     with pytest.raises(ScheduleDayNotFound, match="2026-05-01"):
         require_days(b.landed(spark, [("2026-05-01", week)]), F.to_date("scope_key"))

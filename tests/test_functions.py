@@ -167,8 +167,8 @@ def test_team_codes(spark, text, want):
 @pytest.mark.parametrize(
     "instant, want",
     [
-        ("2026-04-25T12:00:00Z", date(2026, 4, 24)),
-        ("2026-04-25T03:59:00Z", date(2026, 4, 23)),
+        ("2026-05-12T12:00:00Z", date(2026, 5, 11)),
+        ("2026-05-12T03:59:00Z", date(2026, 5, 10)),
         ("2026-01-15T04:59:00Z", date(2026, 1, 13)),
         ("2026-01-15T05:00:00Z", date(2026, 1, 14)),
     ],
@@ -179,4 +179,4 @@ def test_previous_local_day(spark, instant, want):
 
 def test_game_id_encoding(spark):
     ok = lambda g, s: one(spark, cal.game_id_matches_season(F.lit(g).cast("bigint"), F.lit(s)))
-    assert ok(2025030123, "20252026") and not ok(2024030123, "20252026")
+    assert ok(2025030457, "20252026") and not ok(2024030123, "20252026")

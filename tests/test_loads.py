@@ -38,7 +38,7 @@ def save_week(spark, path, day=DAY, games=None):
 
 
 def load_of(spark, tmp_path, run, **options):
-    return bf.Load(spark, str(tmp_path / "landing"), str(tmp_path / "lake"), run, date(2026, 4, 25), **options)
+    return bf.Load(spark, str(tmp_path / "landing"), str(tmp_path / "lake"), run, date(2026, 5, 12), **options)
 
 
 def rows_in(spark, tmp_path, family):
@@ -80,23 +80,23 @@ def test_parquet_landing(spark, tmp_path):
 
 def test_pending_keys_are_joined_whatever_their_number(spark, tmp_path):
     save(spark, tmp_path, E.LANDING, [(GAME, b.landing(GAME))], "parquet")
-    load = bf.Load(spark, str(tmp_path), str(tmp_path), "run", date(2026, 4, 25), "parquet")
+    load = bf.Load(spark, str(tmp_path), str(tmp_path), "run", date(2026, 5, 12), "parquet")
     plan = load.landed(E.LANDING)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(family" in plan
 
 
 def test_a_later_day_opens_no_file_of_an_earlier_one(spark, tmp_path):
     landing = tmp_path / "landing"
-    for day, game in (("2026-04-24", GAME), ("2026-04-25", GAME + 1)):
+    for day, game in (("2026-05-11", GAME), ("2026-05-12", GAME + 1)):
         rows = b.landed(spark, [(game, b.landing(game))]).withColumns({"family": F.lit(E.LANDING), "arrived": F.lit(day)})
         rows.write.mode("append").partitionBy("family", "arrived").json(str(landing))
-    load = load_of(spark, tmp_path, "run", since=date(2026, 4, 25))
+    load = load_of(spark, tmp_path, "run", since=date(2026, 5, 12))
     rows = load.landed(E.LANDING)
     assert [r.scope_key for r in rows.collect()] == [str(GAME + 1)]
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "arrived" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert rows.select(F.input_file_name()).distinct().count() == 1
-    assert read_landed(spark, str(landing), E.LANDING, until="2026-04-24").count() == 1
+    assert read_landed(spark, str(landing), E.LANDING, until="2026-05-11").count() == 1
 
 
 def test_a_partly_logged_game_is_loaded_whole(spark, tmp_path):
@@ -192,7 +192,7 @@ def fill_season(spark, landing):
 
 
 def backfill(spark, tmp_path, **options):
-    settings = {"seasons": ["2025-26"], "ingest_date": date(2026, 4, 25), **options}
+    settings = {"seasons": ["2025-26"], "ingest_date": date(2026, 5, 12), **options}
     return bf.run_backfill(spark, str(tmp_path / "landing"), str(tmp_path / "lake"), **settings)
 
 

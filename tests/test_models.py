@@ -12,7 +12,7 @@ from moraine.sources.bronze import write_bronze
 
 from . import bodies as b
 
-GAME = 2025030123
+GAME = 2025030457
 
 
 def only(df):
@@ -24,13 +24,13 @@ def only(df):
 def test_landing_to_outcome(spark):
     df = staging.stg_landing(b.bronze(spark, E.LANDING, [(GAME, b.landing())]))
     row = only(df)
-    assert (row.game_id, row.game_type, row.game_date) == (GAME, 3, date(2026, 4, 24))
-    assert row.start_time_utc == datetime(2026, 4, 24, 23) and row.season == "20252026"
+    assert (row.game_id, row.game_type, row.game_date) == (GAME, 3, date(2026, 5, 11))
+    assert row.start_time_utc == datetime(2026, 5, 11, 23) and row.season == "20252026"
     assert (row.reg_periods, row.ot_in_use, row.shootout_in_use, row.venue_name) == (3, True, False, "Centre")
     outcome = only(core.fct_game_outcome(df))
     assert tuple(outcome) == (GAME, 3, 2, "OT", 8, True)
     fact = only(core.fct_game(df))
-    assert tuple(fact) == (GAME, 1, "20252026", datetime(2026, 4, 24, 23), 8, 14, 8, 3, "OFF")
+    assert tuple(fact) == (GAME, 1, "20252026", datetime(2026, 5, 11, 23), 8, 14, 8, 3, "OFF")
 
 
 def test_latest_fetch_wins_and_type_filter_comes_first(spark):
@@ -249,7 +249,7 @@ def lake(spark, tmp_path_factory):
         E.TEAM_SUMMARY: ("20252026", b.summary(b.team_row(8, 20252026))),
     }
     for family, row in bodies.items():
-        write_bronze(b.bronze(spark, family, [row]), base, family, "2026-04-25")
+        write_bronze(b.bronze(spark, family, [row]), base, family, "2026-05-12")
     return base
 
 
