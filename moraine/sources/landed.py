@@ -33,7 +33,7 @@ LANDED = T.StructType(
     ]
 )
 _FILES = T.StructType([*LANDED.fields, T.StructField("arrived", T.DateType())])
-_TEXT = "value string, family string, scope_key string, status int, fetched_at_utc string, arrived date"
+_TEXT = "value string, family string, scope_key string, status int, fetched_at_utc string"
 
 
 def _shaped(df: DataFrame, fmt: str) -> DataFrame:
@@ -71,6 +71,8 @@ def read_landed(
     df = _configured(spark.read, fmt).load(path)
     if family is not None:
         df = df.where(F.col("family") == family)
+    if "arrived" not in df.columns:  # text files may hold one column and their folders' names
+        df = df.withColumn("arrived", F.lit(None).cast("date"))
     undated = F.col("arrived").isNull()
     if since is not None:
         df = df.where(undated | (F.col("arrived") >= F.lit(str(since)).cast("date")))
