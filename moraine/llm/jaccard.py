@@ -11,9 +11,11 @@ hash range, and classes meet in the groups of shingles they share:
   fewer than that many), so hot groups need not be paired at all.
 * The few classes left, made of hot shingles mostly, post all their shingles
   among themselves. Those that are still hot after that are clusters of near
-  copies: each hot group is compared with its least class, and only pairs that
-  this leaves in doubt (by the triangle inequality of the Jaccard distance,
-  across components) are compared as well.
+  copies: each hot group is compared with its least edited class, and pairs are
+  compared only where that leaves them in doubt: in different components, near
+  enough by the triangle inequality of the Jaccard distance, and similar enough
+  if they share all hot shingles of the poorer one (pairs that share others have
+  met in a small group).
 
 Candidates are verified on whole sets with a prefix tree: the partners of a
 class go into a trie in shingle order, one traversal counts overlaps on shared
@@ -354,40 +356,59 @@ def _dense_links(dense: DataFrame, met: DataFrame, sets: DataFrame, links: DataF
     own = met.where("hot").select(F.col("a").alias("cls"), "b").join(dense, "cls")
     own = own.groupBy("cls", "n", "hot").agg(F.sort_array(F.collect_set(flipped)).alias("tokens"))
     lacking = F.expr(f"cast(({_PREFIX}) - (n - hot) as int)")
-    groups = stored(own.select("cls", "n", F.explode(F.slice("tokens", 1, lacking)).alias("token")), "groups")
-    leaders = groups.groupBy("token").agg(F.min("cls").alias("leader"))
-    star = groups.join(leaders, "token").where("cls != leader").select(F.col("leader").alias("a"), F.col("cls").alias("b"))
-    seen = verify(star, sets)
+    # `left` counts a class's hot shingles from the group's on: all that a pair can share
+    # if this shingle is the first that it shares.
+    groups = own.select("cls", "n", "hot", F.posexplode(F.slice("tokens", 1, lacking)).alias("place", "token"))
+    groups = groups.withColumn("left", F.col("hot") - F.col("place"))
+    # The class with the largest share of hot shingles is the least edited: the others are likest to it.
+    least_edited = F.max(F.struct((F.col("hot") / F.col("n")).alias("share"), "cls", "n", "left")).alias("leader")
+    groups = stored(groups, "groups")
+    groups = groups.join(groups.groupBy("token").agg(least_edited), "token")
+    groups = stored(groups.select("token", "cls", "n", "left", *[F.col(f"leader.{c}").alias(f"leader_{c}") for c in ("cls", "n", "left")]), "led")
+    # Pairs that share other shingles met in small groups; here they can share hot ones at most.
+    star = groups.where("cls != leader_cls").where(_may_link("left", "leader_left", "n", "leader_n"))
+    seen = verify(star.select(F.col("leader_cls").alias("a"), F.col("cls").alias("b")), sets)
     links = links.unionAll(linked(seen))
     roots = components(links)
 
-    # Members of groups that still are in several components, with their distance from the leader.
+    # Members of groups that still are in several components, with their distance from the leader:
+    # exact, or at least so much, or nothing known.
     near = seen.select(
-        F.col("a").alias("leader"),
+        F.col("a").alias("leader_cls"),
         F.col("b").alias("cls"),
         (1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("far"),
         "exact",
     )
+    leads = F.col("cls") == F.col("leader_cls")
     placed = (
-        groups.join(leaders, "token")
-        .join(near, ["leader", "cls"], "left")
+        groups.join(near, ["leader_cls", "cls"], "left")
         .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("token", "cls", "n", F.coalesce("root", "cls").alias("root"), F.coalesce("far", F.lit(0.0)).alias("far"), F.coalesce("exact", F.lit(True)).alias("exact"))
-    )
+        .select(
+            "token", "cls", "n", "left",
+            F.coalesce("root", "cls").alias("root"),
+            F.coalesce("far", F.lit(0.0)).alias("far"),
+            F.coalesce("exact", leads).alias("exact"),
+        )
+    )
     split = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("token")
     placed = stored(placed.join(split, "token"), "placed")
-    left, right = placed.alias("x"), placed.alias("y")
     gap = (100 - PERCENT) / 100 + 1e-9
-    open_pairs = left.join(right, "token").where(
+    apart = f"(x.exact and y.far - x.far > {gap}) or (y.exact and x.far - y.far > {gap})"
+    open_pairs = placed.alias("x").join(placed.alias("y"), "token").where(
         (F.col("x.root") < F.col("y.root"))
         & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * PERCENT)
-        & (~F.col("x.exact") | (F.col("y.far") - F.col("x.far") <= gap) & (~F.col("y.exact") | (F.col("x.far") - F.col("y.far") <= gap)))
-        & (F.col("x.exact") | ~F.col("y.exact") | (F.col("x.far") - F.col("y.far") <= gap))
+        & _may_link("x.left", "y.left", "x.n", "y.n")
+        & ~F.expr(apart)
     )
     pairs = open_pairs.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
     return links.unionAll(linked(verify(pairs, sets)))
 
 
+def _may_link(left_a: str, left_b: str, n_a: str, n_b: str):
+    """Whether two classes that share at most so many shingles can be similar enough."""
+    return F.least(left_a, left_b) * (100 + PERCENT) >= (F.col(n_a) + F.col(n_b)) * PERCENT
+
+
 def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for each input row.
 
