@@ -7,6 +7,11 @@ all fingerprints within the Hamming radius (of 7 differing bits one block has
 at most one), and each candidate is then verified at full item length by the
 exact similarity of weighted five-word shingles.
 
+Edited passages may lie outside the radius, so an exact complement finds the
+rest: a passage as similar as asked shares a shingle with any part of the
+item's shingles that outweighs what it may lack. The rarest such part is
+looked up in every text, and all places of the item around a hit are compared.
+
 The benchmark is the query set: it is read in blocks of bounded size, each
 sent to the tasks whole, and all documents pass each block.
 """
@@ -14,6 +19,7 @@ sent to the tasks whole, and all documents pass each block.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -73,12 +79,18 @@ def shingles(words: np.ndarray, lengths: np.ndarray) -> dict[int, int]:
     n = min(SHINGLE, len(words))
     if not n:
         return {}
+    h, w = _rolled(words, lengths, n)
+    return dict(zip(h.tolist(), w.tolist()))
+
+
+def _rolled(words: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and weight of the ``n`` words from each place on."""
     h = np.zeros(len(words) - n + 1, np.uint64)
     w = np.zeros(len(h), np.int64)
     for k in range(n):
         h = h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(h)]
         w += lengths[k : k + len(h)]
-    return dict(zip(mix(h + np.uint64(n)).tolist(), w.tolist()))
+    return mix(h + np.uint64(n)), w
 
 
 def similarity(a: dict[int, int], b: dict[int, int]) -> float:
@@ -91,8 +103,8 @@ def similarity(a: dict[int, int], b: dict[int, int]) -> float:
 class Index:
     """Items and the multi-index over their windows' fingerprints."""
 
-    def __init__(self, items: list[tuple]):
-        self.ids, self.sets, self.sizes = [], [], []
+    def __init__(self, items: list[tuple], least: float = SIMILARITY):
+        self.ids, self.sets, self.sizes, self.least = [], [], [], least
         windows: dict[int, list[tuple[int, int, int]]] = {}
         for item_id, text in items:
             body = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
@@ -107,6 +119,81 @@ class Index:
             for at in {0, len(words) - size}:
                 windows.setdefault(size, []).append((int(prints[at]), k, at))
         self.windows = {size: self._blocks(rows) for size, rows in windows.items()}
+        self.weights = [sum(s.values()) for s in self.sets]
+        self.hashes = [np.sort(np.fromiter(s, np.uint64, len(s))) for s in self.sets]
+        self.keys = self._keys()
+
+    def _keys(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per shingle length a filter by low bits, and (shingle, item) of each item's rarest shingles.
+
+        They weigh more than a share of 1 - ``least`` of the item: a passage
+        without any of them holds less than ``least`` of the item.
+        """
+        holders = Counter(h for s in self.sets for h in s)
+        found: dict[int, list[tuple[int, int]]] = {}
+        for k, own in enumerate(self.sets):
+            spare = (1 - self.least) * self.weights[k] + 1e-6 * self.weights[k]
+            for h in sorted(own, key=lambda h: (holders[h], h)):
+                found.setdefault(min(SHINGLE, self.sizes[k]), []).append((h, k))
+                spare -= own[h]
+                if spare < 0:
+                    break
+        out = {}
+        for n, rows in found.items():
+            rows.sort()
+            shingle = np.array([h for h, _ in rows], np.uint64)
+            low = np.zeros(1 << max(16, (16 * len(rows)).bit_length()), bool)
+            low[shingle & np.uint64(len(low) - 1)] = True
+            out[n] = low, shingle, np.array([k for _, k in rows])
+        return out
+
+    def _places(self, words: np.ndarray, lengths: np.ndarray, row: np.ndarray, cuts: np.ndarray):
+        """(text, item, first word, similarity) of the best place around the hits of each item in each text."""
+        for n, (low, shingle, item_of) in self.keys.items():
+            if len(words) < n:
+                continue
+            h, w = _rolled(words, lengths, n)
+            inside = row[: len(h)] == row[n - 1 :]
+            at = np.flatnonzero(low[h & np.uint64(len(low) - 1)] & inside)
+            first = np.searchsorted(shingle, h[at], "left")
+            count = np.searchsorted(shingle, h[at], "right") - first
+            owner = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            item, at = item_of[owner], np.repeat(at, count)
+            order = np.lexsort((at, item, row[at]))
+            item, at = item[order], at[order]
+            if not len(at):
+                continue
+            reach = np.array(self.sizes)[item] - n
+            new = (np.diff(item) != 0) | (np.diff(row[at]) != 0) | (np.diff(at) > reach[1:])
+            firsts = np.concatenate([[0], np.flatnonzero(new) + 1])
+            lasts = np.append(firsts[1:], len(at)) - 1
+            for a, b in zip(firsts.tolist(), lasts.tolist()):
+                text, k, reach_k = int(row[at[a]]), int(item[a]), int(reach[a])
+                start = max(int(at[a]) - reach_k, int(cuts[text]))
+                stop = min(int(at[b]) + reach_k + 1, int(cuts[text + 1]) - n + 1)
+                score = self._scores(h[start:stop], w[start:stop], k, reach_k)[: int(at[b]) + 1 - start]
+                best = int(score.argmax())
+                yield text, k, start + best, float(score[best])
+
+    def _scores(self, h: np.ndarray, w: np.ndarray, item: int, reach: int) -> np.ndarray:
+        """Similarity to the item of each window of ``reach`` + 1 shingles, or of those left at the end.
+
+        A shingle counts once in a window: in those that start after its
+        previous place and hold its own.
+        """
+        place = np.arange(len(h))
+        order = np.argsort(h, kind="stable")
+        since = np.maximum(place - reach, 0)
+        again = np.flatnonzero(h[order][1:] == h[order][:-1])
+        since[order[again + 1]] = np.maximum(since[order[again + 1]], order[again] + 1)
+        own = self.hashes[item]
+        shared = own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h
+        whole, common = np.zeros(len(h) + 1, np.int64), np.zeros(len(h) + 1, np.int64)
+        for out, weight in ((whole, w), (common, w * shared)):
+            np.add.at(out, since, weight)
+            np.subtract.at(out, place + 1, weight)
+        whole, common = np.cumsum(whole[:-1]), np.cumsum(common[:-1])
+        return common / (self.weights[item] + whole - common)
 
     @staticmethod
     def _blocks(rows):
@@ -167,6 +254,10 @@ class Index:
                     start -= int(cuts[text])
                     if score >= least and (score, -start) > best.get((text, item), (0.0, 0)):
                         best[text, item] = (score, -start)
+        for text, item, start, score in self._places(words, lengths, row, cuts):
+            start -= int(cuts[text])
+            if score >= least and (score, -start) > best.get((text, item), (0.0, 0)):
+                best[text, item] = (score, -start)
         return sorted((text, item, -at, score) for (text, item), (score, at) in best.items())
 
 
@@ -210,7 +301,7 @@ def decontaminate(
         F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("doc"), F.col(text).alias("text")
     )
     for k, (last, items) in enumerate(item_blocks(benchmark, item_id, item_text, block_bytes)):
-        index = Index(items)
+        index = Index(items, least)
         if k and k % 8 == 0:
             rows = stored(rows, "decontaminated")  # keeps the plan of many blocks short
         rows = rows.mapInArrow(_scan(index, least, match, last), _schema(rows, match, last))

@@ -204,6 +204,32 @@ def test_decontamination_finds_changed_passages():
     assert due > 50 and found >= 0.95 * due
 
 
+def test_decontamination_finds_every_passage_from_the_bound_up():
+    rng = random.Random(18)
+    words = [f"w{k}" for k in range(3000)]
+    weigh = lambda shingles: sum(len(w) for s in shingles for w in s)
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(5, 120)))) for i in range(150)]
+    items += [(150, "w1 w2 w3"), (151, " ".join(["w4 w5"] * 30))]
+    index = decontamination.Index(items)
+    due = 0
+    for i, text in items:
+        n = len(text.split())
+        changed = text.split() + (["w6"] if n > 9 else [])
+        for _ in range(rng.randint(0, max(1, n // 40)) if n > 20 else 0):
+            changed[rng.randrange(len(changed))] = "changed"
+        doc = rng.choices(words, k=rng.randint(0, 50)) + changed + rng.choices(words, k=rng.randint(0, 50))
+        own = plain.shingle_set(text)
+        want = (0, 0)
+        for a in range(len(doc)):
+            part = plain.shingle_set(" ".join(doc[a : a + n]))
+            want = max(want, (weigh(own & part) / weigh(own | part), -a))
+        body = np.frombuffer(" ".join(doc).encode(), np.uint8)
+        got = {m[1]: (m[3], -m[2]) for m in index.matches(body, np.array([0, len(body)]), 0.75)}
+        due += 0.75 <= want[0] < 0.8
+        assert got.get(i) == (want if want[0] >= 0.75 else None)
+    assert due > 10
+
+
 def test_index_returns_all_within_the_radius():
     rng = random.Random(2)
     items = [(i, " ".join(f"v{rng.randint(0, 400)}" for _ in range(30))) for i in range(200)]
