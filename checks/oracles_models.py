@@ -313,6 +313,34 @@ MODEL_SQL: dict[str, str] = {
 }
 
 
+def _box_side(shift: int) -> str:
+    def group(g: int, mod: int, own: str) -> str:
+        player = (
+            f"""'{{"playerId":' || (cust * 100 + {(shift * 3 + g) * 10} + i) || ',"toi":"' || """
+            "lpad(CAST((ok + i) % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST((ok * 7 + i) % 60 AS VARCHAR), 2, '0') || '\"' || "
+            f"{own} || '}}'"
+        )
+        return f"'[' || coalesce(array_to_string([{player} for i in range(1, 1 + (ok + {shift}) % {mod})], ','), '') || ']'"
+
+    skater = """',"goals":' || (i % 3) || ',"assists":' || ((ok + i) % 4) || ',"sog":' || ((ok * 5 + i) % 9)"""
+    goalie = """',"goalsAgainst":' || ((ok + i) % 6) || ',"saves":' || ((ok * 3 + i) % 40)"""
+    return f"""'{{"forwards":' || {group(0, 4, skater)} || CASE WHEN ok % 10 <> 0 THEN ',"defense":' || {group(1, 3, skater)} ELSE '' END
+      || ',"goalies":' || {group(2, 2, goalie)} || '}}'"""
+
+
+# The staged bodies themselves, beside the other columns.
+MODEL_SQL["stg_boxscore_whole"] = f"""
+  SELECT x.* EXCLUDE (away_forwards), b.player_by_game_stats_json FROM ({MODEL_SQL["stg_boxscore"]}) AS x
+  JOIN (WITH {GAMES} SELECT game_id, '{{"awayTeam":' || {_box_side(0)} || ',"homeTeam":' || {_box_side(1)} || '}}' AS player_by_game_stats_json
+    FROM games) AS b USING (game_id)"""
+MODEL_SQL["stg_play_by_play_whole"] = f"""
+  SELECT x.*, b.plays_json FROM ({MODEL_SQL["stg_play_by_play"]}) AS x
+  JOIN (WITH {EVENTS} SELECT game_id, '[' || string_agg('{{"eventId":' || event_sequence || ',"typeDescKey":"' || type_desc_key
+      || '","timeInPeriod":"' || time_in_period_raw || '","periodDescriptor":{{"number":' || period || ',"periodType":"REG"}}'
+      || coalesce(',"details":' || details_json, '') || '}}', ',' ORDER BY event_sequence) || ']' AS plays_json
+    FROM game_events GROUP BY game_id) AS b USING (game_id)"""
+
+
 def _tests_sql() -> str:
     """Long-form results of the declared tests of four core tables."""
     nulls = {

@@ -36,3 +36,9 @@ def test_every_query_has_an_oracle_over_given_tables():
     assert set(OWN) <= set(sql) <= set(driver.queries())
     for text in sql.values():
         assert any(re.search(rf"\b{t}\b", text) for t in TABLES)
+
+
+def test_staged_bodies_are_compared(spark):
+    for name, column in (("stg_boxscore_whole", "player_by_game_stats_json"), ("stg_play_by_play_whole", "plays_json")):
+        assert column in driver.queries()[name](spark, SF).columns
+        assert column in driver.oracle_sql()[name]
