@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moraine.functions.json import json_len
-from moraine.plans.contracts import check_tables
+from moraine.plans.contracts import CONTRACTS, check_tables
 from moraine.plans.silver import CORE, INTERMEDIATE, STAGING, Models, store_models
 from moraine.sources.shared import shared_folder
 
@@ -60,8 +60,16 @@ def silver_table_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_tables(kept, TESTED)
 
 
+def silver_all_table_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared tests of every contract, over models stored once."""
+    out = f"{shared_folder(spark)}/moraine/{uuid.uuid4().hex}"
+    kept = store_models(tables(spark, sf_dir), [*CONTRACTS, "int_game_players"], lambda name: f"{out}/{name}")
+    return check_tables(kept)
+
+
 MODEL_QUERIES = {
     **{name: _model(name) for name in [*STAGING, *INTERMEDIATE, *CORE]},
     **{f"{name}_whole": _whole(name) for name in WHOLE},
     "silver_table_tests": silver_table_tests,
+    "silver_all_table_tests": silver_all_table_tests,
 }

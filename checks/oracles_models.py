@@ -389,3 +389,82 @@ def _tests_sql() -> str:
 
 
 MODEL_SQL["silver_table_tests"] = _tests_sql()
+
+# Test, then the columns it holds for by table; stated apart from the package's own list.
+_GAME_COLUMNS = (
+    "game_id season game_type game_date game_state start_time_utc away_team_id away_team_abbrev home_team_id "
+    "home_team_abbrev ingest_date fetched_at_utc"
+)
+_ALL_NULLS = {
+    "dim_sport": "sport_id sport_name sport_slug",
+    "dim_league": "league_id sport_id league_name league_abbreviation country_code",
+    "stg_landing": _GAME_COLUMNS,
+    "stg_boxscore": f"{_GAME_COLUMNS} player_by_game_stats_json",
+    "stg_play_by_play": f"{_GAME_COLUMNS} play_count plays_json",
+    "stg_skater_summary": "season player_id games_played goals assists points ingest_date fetched_at_utc",
+    "stg_goalie_summary": "season player_id games_played ingest_date fetched_at_utc",
+    "stg_team_summary": "season team_id games_played ingest_date fetched_at_utc",
+    "stg_roster": "season team_abbrev player_id position_group ingest_date fetched_at_utc",
+    "stg_club_schedule_season": "season team_abbrev games_json ingest_date fetched_at_utc",
+    "int_team_spine": "team_id team_abbrev",
+    "int_player_spine": "player_id full_name",
+    "int_game_skater_stats": "game_id team_id player_id position_type toi_s",
+    "int_game_goalie_stats": "game_id team_id player_id position_type toi_s",
+    "dim_team": "team_id league_id team_abbrev external_ids",
+    "dim_player": "player_id full_name external_ids",
+    "fct_game": "game_id league_id season game_datetime_utc home_team_id away_team_id venue_team_id game_type status",
+    "fct_game_outcome": "game_id home_goals away_goals winning_team_id period_end home_win",
+    "fct_game_event": "event_id game_id period period_time_elapsed_s event_type",
+    "fct_game_lineup": "lineup_id game_id team_id player_id position_type toi_s",
+}
+_ALL_UNIQUE = (
+    "dim_sport.sport_id dim_sport.sport_slug dim_league.league_id stg_landing.game_id stg_boxscore.game_id stg_play_by_play.game_id "
+    "int_team_spine.team_id int_player_spine.player_id dim_team.team_id dim_player.player_id fct_game.game_id "
+    "fct_game_outcome.game_id fct_game_event.event_id fct_game_lineup.lineup_id"
+)
+_ALL_ACCEPTED = {
+    "2, 3": "stg_landing.game_type stg_boxscore.game_type stg_play_by_play.game_type fct_game.game_type",
+    "'FINAL', 'OFF'": "stg_landing.game_state stg_boxscore.game_state stg_play_by_play.game_state fct_game.status",
+    "'F', 'D', 'G'": "stg_roster.position_group int_player_spine.position_group dim_player.position_group fct_game_lineup.position_type",
+    "'F', 'D'": "int_game_skater_stats.position_type",
+    "'G'": "int_game_goalie_stats.position_type",
+    "'REG', 'OT', 'SO'": "fct_game_outcome.period_end",
+}
+_ALL_FOREIGN = {
+    "dim_sport.sport_id": "dim_league.sport_id",
+    "dim_league.league_id": "dim_team.league_id fct_game.league_id",
+    "dim_team.team_id": "fct_game.home_team_id fct_game.away_team_id fct_game.venue_team_id fct_game_outcome.winning_team_id "
+    "fct_game_event.team_id fct_game_lineup.team_id",
+    "fct_game.game_id": "fct_game_outcome.game_id fct_game_event.game_id fct_game_lineup.game_id",
+    "dim_player.player_id": "fct_game_event.primary_player_id fct_game_event.secondary_player_id fct_game_lineup.player_id",
+}
+
+
+def _all_tests_sql() -> str:
+    """Long-form results of the declared tests of every table."""
+    whole = {f"{t}_whole": t for t in ("stg_boxscore", "stg_play_by_play")}
+    bodies = {t: MODEL_SQL[t] for t in _ALL_NULLS if t in MODEL_SQL} | {t: MODEL_SQL[w] for w, t in whole.items()}
+    bodies["dim_sport"] = "SELECT 1 AS sport_id, 'Ice Hockey' AS sport_name, 'ice_hockey' AS sport_slug"
+    bodies["dim_league"] = (
+        "SELECT 1 AS league_id, 1 AS sport_id, 'National Hockey League' AS league_name, 'NHL' AS league_abbreviation, 'US' AS country_code"
+    )
+    head = "SELECT '{0}' AS model, '{1}' AS \"column\", '{2}' AS test, CAST(count(*) AS BIGINT) AS failures FROM "
+    parts = [head.format(t, c, "not_null") + f"{t} WHERE {c} IS NULL" for t, cols in _ALL_NULLS.items() for c in cols.split()]
+    for t, c in (x.split(".") for x in _ALL_UNIQUE.split()):
+        parts.append(
+            head.format(t, c, "unique") + f"(SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+        )
+    for values, columns in _ALL_ACCEPTED.items():
+        for t, c in (x.split(".") for x in columns.split()):
+            parts.append(head.format(t, c, "accepted_values") + f"{t} WHERE {c} NOT IN ({values})")
+    for parent, columns in _ALL_FOREIGN.items():
+        p, k = parent.split(".")
+        for t, c in (x.split(".") for x in columns.split()):
+            parts.append(
+                head.format(t, c, "relationships")
+                + f"{t} AS x WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} AS q WHERE q.{k} = x.{c})"
+            )
+    return "WITH " + ", ".join(f"{t} AS MATERIALIZED ({sql})" for t, sql in bodies.items()) + " " + " UNION ALL ".join(parts)
+
+
+MODEL_SQL["silver_all_table_tests"] = _all_tests_sql()

@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as driver
 from checks.compare import TABLES, compare
+from moraine.plans.contracts import CONTRACTS
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +43,9 @@ def test_staged_bodies_are_compared(spark):
     for name, column in (("stg_boxscore_whole", "player_by_game_stats_json"), ("stg_play_by_play_whole", "plays_json")):
         assert column in driver.queries()[name](spark, SF).columns
         assert column in driver.oracle_sql()[name]
+
+
+def test_every_declared_test_is_run(spark):
+    rows = driver.queries()["silver_all_table_tests"](spark, SF).collect()
+    assert {r.model for r in rows} == set(CONTRACTS)
+    assert len({(r.model, r.column, r.test) for r in rows}) == len(rows) == 167
