@@ -17,6 +17,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections import deque
 
 import numpy as np
@@ -30,7 +31,7 @@ SEED = 5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|object|select|button|title|canvas|math|video|audio)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title|iframe)(?=[\s/>])[^>]*>(.*?)(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
     r"|<[!?/][^>]*>"
@@ -40,11 +41,15 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|itemprop|aria-hidden|aria-label)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup "
-    "time tt u var wbr img input br".split()
+    "time tt u var wbr img input br math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover "
+    "mmultiscripts mprescripts none mtable mtr mtd mspace mstyle mpadded mphantom menclose merror semantics annotation".split()
 )
+# Elements left out with all they enclose, if their end tag comes; the first ones do not end a line of text.
+_SKIPPED_INLINE = frozenset("svg select button noscript template".split())
+_SKIPPED = _SKIPPED_INLINE | frozenset("object canvas video audio".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES_ITSELF = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-_CLOSE_LIMIT = frozenset("ul ol dl table article section div nav aside footer header main body form blockquote".split())
+_CLOSE_LIMIT = frozenset("ul ol dl table article section div nav aside footer header main body form blockquote".split()) | _SKIPPED
 _ENDS_P = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
 )
@@ -75,10 +80,41 @@ _SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
 
 
 class Block:
-    __slots__ = ("text", "bits", "tag", "path", "link_chars")
+    """A text, its element's number, depth and parent, and how many open elements it shares with the block before."""
 
-    def __init__(self, text, bits, tag, path, link_chars):
-        self.text, self.bits, self.tag, self.path, self.link_chars = text, bits, tag, path, link_chars
+    __slots__ = ("text", "bits", "tag", "depth", "parent", "shared", "link_chars")
+
+    def __init__(self, text, bits, tag, depth, parent, shared, link_chars):
+        self.text, self.bits, self.tag, self.link_chars = text, bits, tag, link_chars
+        self.depth, self.parent, self.shared = depth, parent, shared
+
+
+class _Open:
+    """The open elements, each with tag, bits and number; where a tag was last opened is known without a search."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, int]] = [("", 0, 0)]
+        self.places: dict[str, list[int]] = {}
+        self.solid = [0]  # places of elements that are not inline
+        self.low = 1  # fewest open elements since the last block
+
+    def push(self, tag: str, bits: int, number: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in _INLINE:
+            self.solid.append(len(self.stack))
+        self.stack.append((tag, bits, number))
+
+    def cut(self, k: int) -> None:
+        for tag, _, _ in self.stack[k:]:
+            self.places[tag].pop()
+        while self.solid[-1] >= k:
+            self.solid.pop()
+        del self.stack[k:]
+        self.low = min(self.low, k)
+
+    def last(self, tags) -> int:
+        """The place of the innermost open element of these, 0 if there is none."""
+        return max((at[-1] for t in tags if (at := self.places.get(t))), default=0)
 
 
 def _bits(tag: str, attributes: str, above: int) -> int:
@@ -108,26 +144,62 @@ def _bits(tag: str, attributes: str, above: int) -> int:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """Blocks with text, in page order."""
-    out: list[Block] = []
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, bits, number of the element
+    """Blocks with text, in page order.
+
+    What an element of ``_SKIPPED`` encloses is taken back when its end tag
+    comes; one that is never closed hides nothing.
+    """
+    out: list[tuple] = []  # texts, characters in links, bits, tag, depth, parent, shared
+    opened = _Open()
+    stack = opened.stack
+    skips: list[list] = []  # place, blocks before, texts and link characters before, where these are in ``out``
     parts: list[str] = []
-    linked, count = 0, 0
+    linked, count, at = 0, 0, 0
+
+    def emit(texts: list[str], chars: int, upto: int) -> None:
+        k = upto - 1
+        if stack[k][0] in _INLINE:
+            k = opened.solid[bisect_left(opened.solid, upto) - 1]
+        shared, opened.low = opened.low, len(stack)
+        out.append((texts, chars, stack[k][1], stack[k][0], k + 1, stack[k - 1][2] if k else -1, shared))
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal parts, linked
         if parts:
-            text = " ".join("".join(parts).split())
-            parts.clear()
-            if text:
-                k = len(stack) - 1
-                while k and stack[k][0] in _INLINE:
-                    k -= 1
-                out.append(Block(text, stack[k][1], stack[k][0], tuple(e[2] for e in stack[: k + 1]), min(linked, len(text))))
-            linked = 0
-
-    for m in _TOKEN.finditer(page):
-        raw, close, tag, attributes, close2, tag2, attributes2, text = m.groups()
+            for skip in skips[first_held() :]:
+                skip[4] = len(out)
+                if skip[2]:
+                    emit(skip[2], skip[3], skip[0])
+            emit(parts, linked, len(stack))
+            parts, linked = [], 0
+
+    def first_held() -> int:
+        k = len(skips)
+        while k and skips[k - 1][4] is None:
+            k -= 1
+        return k
+
+    def cut(k: int, own: bool = False) -> None:
+        nonlocal parts, linked
+        while skips and skips[-1][0] >= k:
+            place, before, texts, chars, held = skips.pop()
+            if own and place == k:
+                opened.low = min([opened.low, *(b[6] for b in out[before:])])
+                del out[before:]
+                for skip in reversed(skips):
+                    if skip[4] is None or skip[4] < before:
+                        break
+                    skip[4] = None
+                parts, linked = texts, chars
+            elif held is None:
+                texts.extend(parts)
+                parts, linked = texts, chars + linked
+        opened.cut(k)
+
+    while at < len(page):
+        m = _TOKEN.match(page, at)
+        at = m.end()
+        raw, _, close, tag, attributes, close2, tag2, attributes2, text = m.groups()
         if text is not None:
             if "&" in text:
                 text = html.unescape(text)
@@ -136,8 +208,10 @@ def blocks_of(page: str) -> list[Block]:
                 linked += len(text)
             continue
         if raw:
-            if raw.lower() not in ("button", "svg", "math", "select"):
-                flush() if raw.lower() not in ("script", "style", "noscript", "template") else None
+            if page[m.start(2) - 2] == "/" and opened.last(("svg", "math")):
+                at = m.start(2)  # empty by the rules of XML
+            elif raw.lower() not in ("script", "style"):
+                flush()
             continue
         if tag is None:
             close, tag, attributes = close2, tag2, attributes2
@@ -148,38 +222,49 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "br":
             parts.append(" ")
             continue
-        if not inline:
-            flush()
         if close:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if inline and stack[k][0] not in _INLINE:
-                    break
+            k = opened.last((tag,))
+            if tag in _SKIPPED:
+                if k:
+                    cut(k, True)
+                continue
+            if not inline:
+                flush()
+            if k and (not inline or k > opened.solid[-1]):
+                cut(k)
             continue
-        if not inline:
+        if not inline and tag not in _SKIPPED_INLINE:
+            flush()
             # Inline elements left open do not reach into the next block.
-            while len(stack) > 1 and stack[-1][0] in _INLINE:
-                stack.pop()
+            if stack[-1][0] in _INLINE:
+                cut(opened.solid[-1] + 1)
             closes = _CLOSES_ITSELF.get(tag) or ({"p"} if tag in _ENDS_P else None)
             if closes:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in closes:
-                        del stack[k:]
-                        if tag not in ("tr", "dt", "dd"):
-                            break
-                    elif stack[k][0] in _CLOSE_LIMIT:
+                while (k := opened.last(closes)) > opened.last(_CLOSE_LIMIT):
+                    cut(k)
+                    if tag not in ("tr", "dt", "dd"):
                         break
-        if tag in _VOID or attributes.endswith("/") and tag in ("p", "div", "span"):
+        if tag in _VOID:
             continue
-        if len(stack) > 400:  # deeper elements add nothing to a block's context
+        if attributes.endswith("/") and (tag in ("p", "div", "span") or tag in _SKIPPED or tag == "math" or opened.last(("svg", "math"))):
             continue
         count += 1
         above = stack[-1][1]
-        stack.append((tag, above | _bits(tag, attributes, above), count))
+        if tag in _SKIPPED:
+            skips.append([len(stack), len(out), parts, linked, None])
+            parts, linked = [], 0
+        opened.push(tag, above | _bits(tag, attributes, above), count)
+    while skips and skips[-1][4] is None:
+        cut(skips[-1][0])
     flush()
-    return out
+    blocks, low = [], len(page) + 2
+    for texts, chars, bits, tag, depth, parent, shared in out:
+        low = min(low, shared)
+        text = " ".join("".join(texts).split())
+        if text:
+            blocks.append(Block(text, bits, tag, depth, parent, low, min(chars, len(text))))
+            low = len(page) + 2
+    return blocks
 
 
 _TEXT_FEATURES = 6
@@ -280,18 +365,13 @@ SMOOTH = 1.5
 
 def _edges(blocks: list[Block]) -> dict[tuple[int, int], float]:
     edges: dict[tuple[int, int], float] = {}
-    last_of: dict[tuple, int] = {}
+    last_of: dict[int, int] = {}
     for i, b in enumerate(blocks):
         if i:
-            a = blocks[i - 1].path
-            shared = 0
-            for x, y in zip(a, b.path):
-                if x != y:
-                    break
-                shared += 1
-            apart = len(a) + len(b.path) - 2 * shared
+            a = blocks[i - 1]
+            apart = a.depth + b.depth - 2 * min(a.depth, b.depth, b.shared)
             edges[i - 1, i] = SMOOTH / (1 + apart)
-        parent = b.path[:-1]
+        parent = b.parent
         j = last_of.get(parent)
         if j is not None:
             edges[j, i] = edges.get((j, i), 0.0) + SMOOTH / 3

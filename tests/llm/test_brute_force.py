@@ -369,6 +369,34 @@ def test_html_without_an_article_element():
 # ---- helpers
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        *[(f"<p>a</p><{x}/><p>b</p>", ["a", "b"]) for x in ("svg", "math", "object", "video", "canvas", "button")],
+        *[(f"<div><p>a</p><{x} id=k></div><p>b</p>", ["a", "b"]) for x in ("svg", "object", "video", "canvas", "button")],
+        ("<p>a</p><video-player src=x><p>b</p></video-player><p>c</p>", ["a", "b", "c"]),
+        ("<p>a</p><button-group>b</button-group>c", ["a", "b", "c"]),
+        ("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", ["if x=2 holds"]),
+        ("<p>a <button><div>menu</div></button> b</p>", ["a b"]),
+        ("<p>a <svg><title/><text>t</text></svg> b</p><p>c", ["a b", "c"]),
+        ("<p>a <object>x<object>y</object>z</object>b", ["a", "b"]),
+        ("<div>a <select>b <button><div>c</div></button> d</div>e", ["a", "b d", "e"]),
+        ("<p>a<script-x>b</script-x><script>if (a<b) c</script>d</p>", ["a", "b", "d"]),
+        ("<p>a</p><textarea>b</p><p>c", ["a"]),
+    ],
+)
+def test_html_leaves_out_only_what_is_closed(page, want):
+    assert [b.text for b in html_text.blocks_of(page)] == want
+
+
+def test_html_keeps_the_context_below_a_deep_subtree():
+    page = "<nav>" + "<div>" * 1000 + "<section>deep</section>" + "</div>" * 1000 + "menu</nav><article>" + "<div>" * 500 + "text"
+    blocks = html_text.blocks_of(page)
+    assert [b.text for b in blocks] == ["deep", "menu", "text"]
+    assert [bool(b.bits & html_text.NAV) for b in blocks] == [True, True, False]
+    assert blocks[2].bits & html_text.ARTICLE and [b.depth for b in blocks] == [1003, 2, 502]
+
+
 def test_word_spans_end_with_their_row():
     import pyarrow as pa
 
