@@ -6,6 +6,12 @@ and its shape; a row of the table may also name its role, which counts as one
 more marker. Viterbi decoding gives the most likely role of every line. Runs
 of lines of one role become canonical turns.
 
+A long conversation is decoded in blocks of turns whose scores are composed:
+each block gives the best score from each state before it to each state at its
+end, these are chained in block order, and every block is then decoded between
+the states in which the best path over the whole conversation enters and
+leaves it.
+
 The model's tables are counts over all rows that name a role.
 """
 
@@ -19,6 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from moraine.sources.shared import stored
+
 ROLES = ("system", "user", "assistant")
 # What speakers are called in common transcript formats.
 ALIASES = {
@@ -31,6 +39,7 @@ _MARKER = re.compile(
     rf"^\s*(?:<\|(?:im_start\|>)?\s*({_NAMES})\b\s*(?:\|>|$)|\[({_NAMES})\]\s*:?|#{{1,4}}\s*({_NAMES})\s*:?\s*$|(?:\*\*)?({_NAMES})(?:\*\*)?\s*:(?:\*\*)?)\s?",
     re.I,
 )
+WAYS = ("entry", "leave", "blind_entry", "blind_leave")
 TURNS = 64  # consecutive turns of one conversation that are decoded together
 # Inside a row, a line without a marker all but never changes the speaker.
 _STAY = np.log(1 - 2e-6)
@@ -79,9 +88,8 @@ class Model:
         # A marker names the wrong speaker now and then.
         self.marked = np.log(np.full((3, 3), 0.005) + np.eye(3) * 0.985)
 
-    def decode(self, rows: list[tuple[int, list[tuple[int, int, int]]]], opening: bool = True) -> list[list[int]]:
-        """The role of each line; a row is (its named role, [(marker, evidence, evidence)])."""
-        best, back = None, []
+    def _steps(self, rows):
+        """Per line its own scores and the scores of the step to it from the line before."""
         for named, lines in rows:
             for k, (mark, a, b) in enumerate(lines):
                 own = self.seen[:, a] + self.seen[:, b]
@@ -89,22 +97,44 @@ class Model:
                     own = own + self.marked[:, mark]
                 if named != UNKNOWN and k == 0:
                     own = own + self.marked[:, named]
-                if best is None:
-                    best = own + (self.start if opening else 0)
-                    back.append(None)
-                    continue
                 if k == 0:
                     step = self.move
                 elif mark != UNKNOWN:
                     step = np.maximum(self.move, np.log(0.1))
                 else:
                     step = np.where(np.eye(3, dtype=bool), _STAY, _MOVE)
-                ways = best[:, None] + step
-                back.append(ways.argmax(0))
-                best = ways.max(0) + own
+                yield own, step
+
+    def links(self, rows: list[tuple[int, list[tuple[int, int, int]]]]) -> np.ndarray:
+        """Best score of a block by the state at its end: a row for each state before it, the last for none."""
+        best = None
+        for own, step in self._steps(rows):
+            if best is None:
+                best = np.vstack([step, self.start]) + own
+            else:
+                best = (best[:, :, None] + step).max(1) + own
+        return best
+
+    def decode(
+        self, rows: list[tuple[int, list[tuple[int, int, int]]]], entry: int | None = None, leave: int | None = None
+    ) -> list[list[int]]:
+        """The role of each line; a row is (its named role, [(marker, evidence, evidence)]).
+
+        ``entry`` is the state of the line before, if there is one; ``leave``
+        the state of the last line, if it is settled.
+        """
+        best, back = None, []
+        for own, step in self._steps(rows):
+            if best is None:
+                best = own + (self.start if entry is None else step[entry])
+                back.append(None)
+                continue
+            ways = best[:, None] + step
+            back.append(ways.argmax(0))
+            best = ways.max(0) + own
         if best is None:
             return [[] for _ in rows]
-        state = int(best.argmax())
+        state = int(best.argmax()) if leave is None else leave
         path = [state]
         for came in reversed(back[1:]):
             state = int(came[state])
@@ -117,12 +147,26 @@ class Model:
         return out
 
 
+def chain(links: list[np.ndarray]) -> list[tuple[int | None, int]]:
+    """(entry, leave) of each block of a conversation on its best path, from the blocks' ``links`` in order."""
+    scores = [links[0][3]]
+    for block in links[1:]:
+        scores.append((scores[-1][:, None] + block[:3]).max(0))
+    leave = int(scores[-1].argmax())
+    out = []
+    for k in range(len(links) - 1, 0, -1):
+        entry = int((scores[k - 1] + links[k][:3, leave]).argmax())
+        out.append((entry, leave))
+        leave = entry
+    return [(None, leave), *reversed(out)]
+
+
 def _rows(conversations: DataFrame) -> DataFrame:
-    """Distinct turns with the block they are decoded in."""
+    """Distinct turns with the block they are decoded in, null for rows without a turn number."""
     chosen = conversations.select("conv_id", "turn", "role", "text").distinct()
     # A row without a conversation stands alone.
     alone = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text"))
-    block = F.floor(F.coalesce(F.col("turn"), F.lit(0)) / TURNS).cast("long")
+    block = F.floor(F.col("turn") / TURNS).cast("long")
     return chosen.withColumn("block", block).withColumn("alone", alone)
 
 
@@ -137,9 +181,13 @@ def _views(text: str | None) -> list[tuple[int, str, int, int]]:
 
 def train(conversations: DataFrame) -> Model:
     """Counts over all rows that name a role; without any the model is even."""
+    return _train(_rows(conversations))
+
+
+def _train(rows: DataFrame) -> Model:
     named = F.lower(F.trim("role"))
     known = F.create_map(*[F.lit(x) for pair in ALIASES.items() for x in pair])
-    rows = _rows(conversations).withColumn("r", known[F.coalesce(named, F.lit(""))]).drop("role")
+    rows = rows.withColumn("r", known[F.coalesce(named, F.lit(""))]).drop("role")
 
     def count(batches):
         for batch in batches:
@@ -157,13 +205,20 @@ def train(conversations: DataFrame) -> Model:
     lines = rows.where("r is not null").select("r", "text").mapInArrow(count, "r int, e int, n bigint")
     for r in lines.groupBy("r", "e").agg(F.sum("n").alias("n")).collect():
         seen[r.r, r.e] = r.n
-    order = Window.partitionBy("conv_id", "alone", "block").orderBy("turn", "r", F.xxhash64("text"))
-    steps = rows.select("block", "r", F.lag("r").over(order).alias("before"), F.row_number().over(order).alias("k"))
+    place = [F.col("turn"), F.col("r"), F.xxhash64("text").alias("h")]
+    order = Window.partitionBy("conv_id", "alone", "block").orderBy(*place)
+    steps = rows.select("r", F.lag("r").over(order).alias("before"), F.lit(False).alias("first"))
+    # The first row of each block follows the last one of the block before.
+    ends = rows.groupBy("conv_id", "alone", "block").agg(
+        F.min_by("r", F.struct(*place)).alias("r"), F.max_by("r", F.struct(*place)).alias("last")
+    )
+    blocks = Window.partitionBy("conv_id", "alone").orderBy("block")
+    borders = ends.select("r", F.lag("last").over(blocks).alias("before"), (F.row_number().over(blocks) == 1).alias("first"))
     start, move = np.zeros(3), np.zeros((3, 3))
-    for r in steps.where("r is not null").groupBy("before", "r", ((F.col("k") == 1) & (F.col("block") == 0)).alias("first")).count().collect():
+    for r in steps.unionByName(borders).where("r is not null and (first or before is not null)").groupBy("before", "r", "first").count().collect():
         if r["first"]:
             start[r["r"]] += r["count"]
-        elif r["before"] is not None:
+        else:
             move[r["before"], r["r"]] += r["count"]
     return Model(start, move, seen)
 
@@ -183,21 +238,42 @@ def format_chat(conversations: DataFrame, model: Model | None = None) -> DataFra
     empty line. Rows that repeat count once; turns that tie are ordered by
     role and text; rows without a conversation id are conversations of their
     own, rows without a turn number come first. An unheard-of role is no
-    marker. Blocks of 64 turn numbers are decoded together, so a conversation
-    of any length is spread over tasks.
+    marker. Blocks of 64 turn numbers go to tasks of their own and are composed,
+    so a conversation of any length is spread over tasks and decoded as a whole;
+    one row for each of its blocks is chained in one task.
     """
-    model = model or train(conversations)
+    rows = stored(_rows(conversations), "turns")
+    model = model or _train(rows)
 
-    def run(key, table):
+    def read(table):
         rows = sorted(
             zip(*(table.column(c).to_pylist() for c in ("turn", "role", "text", "conv_id"))),
             key=lambda r: (r[0] is not None, r[0] or 0, role_of(r[1]), r[2] or ""),
         )
-        opening = (key[1].as_py() or 0) == 0
         views = [_views(r[2]) for r in rows]
         observed = [[(m, a, b) for m, _, a, b in v] for v in views]
-        with_role = model.decode(list(zip([role_of(r[1]) for r in rows], observed)), opening)
-        without = model.decode([(UNKNOWN, o) for o in observed], opening)
+        return rows, views, list(zip([role_of(r[1]) for r in rows], observed)), [(UNKNOWN, o) for o in observed]
+
+    def link(key, table):
+        _, _, named, blind = read(table)
+        both = np.stack([model.links(named), model.links(blind)])
+        return pa.table([pa.array([k.as_py()], k.type) for k in key] + [pa.array([both.ravel().tolist()])], names=["conv_id", "block", "links"])
+
+    def join(key, table):
+        blocks = sorted(zip(table.column("block").to_pylist(), table.column("links").to_pylist()), key=lambda b: (b[0] is not None, b[0] or 0))
+        links = np.array([b[1] for b in blocks]).reshape(-1, 2, 4, 3)
+        ways = [named + blind for named, blind in zip(chain(list(links[:, 0])), chain(list(links[:, 1])))]
+        return pa.table(
+            [pa.array([key[0].as_py()] * len(blocks), key[0].type), pa.array([b[0] for b in blocks], pa.int64())]
+            + [pa.array(c, pa.int32()) for c in zip(*ways)],
+            names=["of_conv", "of_block", *WAYS],
+        )
+
+    def run(key, table):
+        rows, views, named, blind = read(table)
+        entry, leave, blind_entry, blind_leave = (table.column(c)[0].as_py() for c in WAYS)
+        with_role = model.decode(named, entry, leave)
+        without = model.decode(blind, blind_entry, blind_leave)
         out = []
         for row, view, path, blind in zip(rows, views, with_role, without):
             first = 0
@@ -212,7 +288,6 @@ def format_chat(conversations: DataFrame, model: Model | None = None) -> DataFra
         columns = list(zip(*out))
         return pa.table({n: pa.array(c, t) for (n, t), c in zip(types, columns)})
 
-    rows = _rows(conversations)
     kinds = {n: rows.schema[n].dataType for n in ("conv_id", "turn")}
 
     types = [(n, to_arrow_type(kinds[n])) for n in ("conv_id", "turn")] + [
@@ -220,7 +295,19 @@ def format_chat(conversations: DataFrame, model: Model | None = None) -> DataFra
         ("text", pa.string()), ("rendered", pa.string()),
     ]
     schema = ", ".join(f"{n} {kinds[n].simpleString()}" for n in ("conv_id", "turn"))
-    return rows.groupBy("conv_id", "block", "alone").applyInArrow(
+    conv = f"conv_id {kinds['conv_id'].simpleString()}"
+    several = rows.where("conv_id is not null").groupBy("conv_id").agg(
+        F.min("block").alias("least"), F.max("block").alias("most"), F.count("block").alias("n"), F.count(F.lit(1)).alias("all")
+    ).where("least <> most or n not in (0, all)")
+    parts = rows.select("conv_id", "block").distinct().join(several, "conv_id", "left_semi")
+    parts = parts.select(F.col("conv_id").alias("of_conv"), F.col("block").alias("of_block"))
+    own = (F.col("conv_id") == F.col("of_conv")) & F.col("block").eqNullSafe(F.col("of_block"))
+    linked = rows.join(parts, own, "left_semi").groupBy("conv_id", "block").applyInArrow(link, f"{conv}, block bigint, links array<double>")
+    ways = linked.groupBy("conv_id").applyInArrow(join, f"of_{conv[:4]}{conv[7:]}, of_block bigint, " + ", ".join(f"{w} int" for w in WAYS))
+    ways = ways.withColumn("of_alone", F.lit(None).cast("long"))
+    own = F.col("conv_id").eqNullSafe(F.col("of_conv")) & F.col("block").eqNullSafe(F.col("of_block")) & F.col("alone").eqNullSafe(F.col("of_alone"))
+    placed = rows.join(ways, own, "left").select("conv_id", "turn", "role", "text", "block", "alone", *WAYS)
+    return placed.groupBy("conv_id", "block", "alone").applyInArrow(
         run, f"{schema}, part int, role string, recovered_role string, n_lines int, text string, rendered string"
     )
 

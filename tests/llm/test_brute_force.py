@@ -318,6 +318,37 @@ def test_chat_viterbi_is_the_best_of_all_paths():
     assert [s for row in model.decode(rows) for s in row] == list(best)
 
 
+def test_chat_blocks_are_decoded_as_one_conversation(spark):
+    rng = random.Random(12)
+    lines = ["Hello there.", "What now?", "- a list", "", "Assistant: yes.", "User: no?", "Some words, and more:", "x" * 300]
+    texts = [(k - 3, "\n".join(rng.choices(lines, k=rng.randint(1, 3)))) for k in range(300)] + [(None, "first\nof all")]
+    named = [(t, rng.choice([None, None, "user", "assistant", "system"]), x) for t, x in texts]
+    plan = [(1, *r) for r in named] + [(2, t + 200, r, x) for t, r, x in named[:100]] + [(3, 5, "user", "Hi?"), (None, 5, "user", "Hi?")]
+    talks = spark.createDataFrame(plan, "conv_id long, turn long, role string, text string")
+    start, move = np.zeros(3), np.zeros((3, 3))
+    whole = {}
+    for conv in (1, 2, 3, None):
+        rows = sorted((r[1:] for r in plan if r[0] == conv), key=lambda r: (r[0] is not None, r[0] or 0))
+        whole[conv] = rows
+        roles = [chat.role_of(r[1]) for r in rows]
+        if roles[0] < 3:
+            start[roles[0]] += 1
+        for a, b in zip(roles, roles[1:]):
+            if a < 3 and b < 3:
+                move[a, b] += 1
+    model = chat.train(talks)
+    want = chat.Model(start, move, np.zeros((3, chat.N_EVIDENCE)))
+    assert np.allclose(model.start, want.start) and np.allclose(model.move, want.move)
+    model = chat.Model(np.array([9, 1, 1]), np.array([[50, 1, 1], [1, 1, 50], [1, 50, 1]]), np.random.default_rng(3).integers(1, 50, (3, chat.N_EVIDENCE)))
+    got = {(r.conv_id, r.turn, r.part): (r.role, r.recovered_role) for r in chat.format_chat(talks, model).collect()}
+    for conv, rows in whole.items():
+        seen = [[(m, a, b) for m, _, a, b in chat._views(r[2])] for r in rows]
+        role = model.decode(list(zip([chat.role_of(r[1]) for r in rows], seen)))
+        blind = model.decode([(3, s) for s in seen])
+        for r, p, q in zip(rows, role, blind):
+            assert got[conv, r[0], 0] == (chat.ROLES[p[0]], chat.ROLES[q[0]])
+
+
 def test_chat_recovers_roles(spark, sf_dir):
     roles = {(r.conv_id, r.turn): r.role for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()}
     rows = chat.op1_chat_formatting(spark, sf_dir).collect()
