@@ -124,17 +124,18 @@ def write_family(load: Load, bodies: DataFrame, family: str, batch: str) -> tupl
 
 
 def not_loaded(load: Load, bodies: DataFrame, family: str, batch: str) -> DataFrame:
-    """Bodies without those that an earlier load has stored and logged.
+    """Bodies without the very fetches that an earlier load has stored and logged.
 
+    A body that comes back in a later fetch is new: it is the latest again.
     What this very batch wrote before a crash does not count: it is replaced.
     """
     logged = load.manifest().where((F.col("endpoint") == E.TEMPLATES[family]) & (F.col("status") == "ok"))
     stored = bronze_digests(load.spark, load.base, family, f"/{batch}.parquet/").select(
-        scope_of(family).alias("scope_key"), F.col("response_sha256").alias("__digest")
+        scope_of(family).alias("scope_key"), "fetched_at_utc", F.col("response_sha256").alias("__digest")
     )
     known = stored.join(logged.select("scope_key").distinct(), "scope_key", "left_semi")
     digested = bodies.withColumn("__digest", F.sha2("response_json", 256))
-    return digested.join(known, ["scope_key", "__digest"], "left_anti").select(*bodies.columns)
+    return digested.join(known, ["scope_key", "fetched_at_utc", "__digest"], "left_anti").select(*bodies.columns)
 
 
 def run_phase(load: Load, phase: str, units: DataFrame) -> PhaseResult:

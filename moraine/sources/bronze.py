@@ -150,7 +150,7 @@ def read_bronze(
 
 
 def bronze_digests(spark: SparkSession, base: str, family: str, without: str) -> DataFrame:
-    """Keys and digests of a family's stored rows, except files whose path holds ``without``.
+    """Keys, fetch times and digests of a family's stored rows, except files whose path holds ``without``.
 
     A family of which nothing is stored yet has no rows.
     """
@@ -159,8 +159,8 @@ def bronze_digests(spark: SparkSession, base: str, family: str, without: str) ->
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "entity_id string, season string, response_sha256 string")
+        return spark.createDataFrame([], "entity_id string, season string, fetched_at_utc timestamp, response_sha256 string")
     rows = stored.select(
-        "entity_id", "season", "response_sha256", F.col("_metadata.file_path").alias("path")
+        "entity_id", "season", "fetched_at_utc", "response_sha256", F.col("_metadata.file_path").alias("path")
     )
     return rows.where(~F.col("path").contains(without)).drop("path")

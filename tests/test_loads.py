@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from moraine.plans import backfill as bf
 from moraine.plans import worklists as wl
+from moraine.plans.staging import stg_landing
 from moraine.plans.costs import CostCheckTripped, check_cost, project_cost
 from moraine.functions.calendar import active_members, season_range
 from moraine.sources import endpoints as E
@@ -130,6 +131,17 @@ def test_reruns_with_an_absent_sibling_change_nothing(spark, tmp_path):
     assert rows_in(spark, tmp_path, E.LANDING).count() == 2
 
 
+def test_a_body_fetched_again_after_another_is_the_latest(spark, tmp_path):
+    landing = tmp_path / "landing"
+    save_week(spark, landing, games=[b.scheduled(GAME)])
+    save_game(spark, landing, GAME, [E.BOXSCORE])
+    for run, (hour, periods) in enumerate([(10, 3), (11, 4), (12, 3)]):
+        save(spark, landing, E.LANDING, [(GAME, b.landing(GAME, regPeriods=periods), b.at(hour))])
+        bf.load_day(load_of(spark, tmp_path, f"run{run}"), date(2025, 10, 7))
+    assert rows_in(spark, tmp_path, E.LANDING).count() == 3
+    assert stg_landing(rows_in(spark, tmp_path, E.LANDING)).first().reg_periods == 3
+
+
 def test_rerun_of_a_crashed_run_replaces_its_own_output(spark, tmp_path):
     landing = tmp_path / "landing"
     save_week(spark, landing)
