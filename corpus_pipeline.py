@@ -34,10 +34,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each component stays; texts without words all stay."""
-    linked = link_documents(docs.select("doc_id", "text"))
-    kept = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One row of each component stays, by least id, text and other columns; texts without words all stay."""
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("t"), F.xxhash64(*COLUMNS).alias("r"))
+    keyed = docs.select(*COLUMNS, key.alias("key"))
+    linked = link_documents(keyed.select("key", "text"), "key")
+    least = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = least.groupBy(F.col("doc_id").alias("kept"), (F.col("n_shingles") > 0).alias("words")).count()
+    own = F.col("key").eqNullSafe(F.col("kept"))
+    # A row that is there several times stays once.
+    once = keyed.join(kept.where("count = 1 or not words"), own, "left_semi")
+    again = keyed.join(kept.where("count > 1 and words"), own, "left_semi").dropDuplicates(["key"])
+    return once.unionAll(again).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,3 +83,15 @@ def test_stages_on_awkward_rows(spark, awkward, empty):
         for _, stage in pipeline.STAGES:
             docs = stage(spark, docs, SF)
             docs.collect()
+
+
+def test_one_row_of_each_group_stays(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    other = " ".join(f"v{k}" for k in range(30))
+    plan = [
+        (1, text), (1, text), (1, text + " more"), (None, text), (2, text),
+        (None, other), (None, other), (None, other + " more"), (3, "alone"), (None, "by itself"), (4, ""), (4, ""), (None, None),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in plan], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, (r.text or "")[:2]) for r in pipeline.drop_near_duplicates(spark, docs, SF).collect()]
+    assert sorted(got, key=str) == sorted([(1, "w0"), (None, "v0"), (3, "al"), (None, "by"), (4, ""), (4, ""), (None, "")], key=str)
