@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontamination, html_text, jaccard, line_dedup, quality, sharding, suffix_dedup, toxicity
+from . import bpe, chat, decontamination, html_text, importance, jaccard, line_dedup, quality, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -15,6 +15,10 @@ QUERIES = {
     "op8_html_extraction": html_text.op8_html_extraction,
     "op9_bpe": bpe.op9_bpe,
     "op10_decontamination": decontamination.op10_decontamination,
+    "op12_importance_resampling": importance.op12_importance_resampling,
 }
 
-SQL = {"op4_line_dedup": line_dedup.ORACLE}
+SQL = {
+    "op4_line_dedup": line_dedup.ORACLE,
+    "op12_importance_resampling": importance.ORACLE,
+}
