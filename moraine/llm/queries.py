@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, collocations, decontamination, html_text, importance, jaccard, line_dedup, quality, sharding, suffix_dedup, toxicity
+from . import bpe, chat, collocations, debruijn, decontamination, html_text, importance, jaccard, line_dedup, quality, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -15,12 +15,14 @@ QUERIES = {
     "op8_html_extraction": html_text.op8_html_extraction,
     "op9_bpe": bpe.op9_bpe,
     "op10_decontamination": decontamination.op10_decontamination,
+    "op11_substring_dedup": debruijn.op11_substring_dedup,
     "op12_importance_resampling": importance.op12_importance_resampling,
     "op13_collocations": collocations.op13_collocations,
 }
 
 SQL = {
     "op4_line_dedup": line_dedup.ORACLE,
+    "op11_substring_dedup": debruijn.ORACLE,
     "op12_importance_resampling": importance.ORACLE,
     "op13_collocations": collocations.ORACLE,
 }
