@@ -1,9 +1,9 @@
 """Substring dedup: words under a long window that starts in an earlier document go.
 
 A window of 50 words is an edge of a De Bruijn graph of words, from its first
-49 words to its last 49. Neighbouring windows whose least 25-word gram (by
-hash) is the same one travel as one chain, so the shuffle sees a chain for each
-13 windows or so; equal windows always have equal anchors.
+49 words to its last 49. Neighbouring windows whose least 10-word gram (by
+hash) is the same one, their anchor, travel as one chain, so the shuffle sees a
+chain for each 21 windows or so; equal windows always have equal anchors.
 
 1. Anchors found in one document only are dropped: nothing there repeats.
 2. Chains are reduced to distinct ones. Where an anchor has a single chain, all
@@ -21,6 +21,7 @@ hash) is the same one travel as one chain, so the shuffle sees a chain for each
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moraine.sources.shared import stored
+from moraine.sources.shared import shared_folder, stored
 
 from .batches import mix, slices, utf8
 
@@ -36,6 +37,7 @@ WINDOW = 50
 PIECE = 1 << 20  # words of a text that are held at once; longer texts are cut into pieces that overlap
 _NO_ID = np.iinfo(np.int64).max
 _MEMO = 1 << 20
+BUCKET_BYTES = 64 << 20  # of text in one bucket of the texts, about
 _PLACE = np.uint64((1 << 22) - 1)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -82,7 +84,7 @@ def chains(hashes: np.ndarray, offsets: np.ndarray, window: int = WINDOW):
     """(text, start, windows, anchor, digest, digest before, digest after) of the chains of some texts.
 
     ``hashes`` are the texts' words in a row, ``offsets`` where each begins.
-    The digests of neighbours are 32 bits wide, 0 where there is none.
+    The digests of neighbours are 30 bits wide, 0 where there is none.
     """
     none = np.zeros(0, np.int64)
     n = len(hashes) - window + 1
@@ -90,7 +92,7 @@ def chains(hashes: np.ndarray, offsets: np.ndarray, window: int = WINDOW):
     long = np.flatnonzero(size >= window)
     if n < 1 or not len(long):
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none, none
-    gram = (window + 1) // 2
+    gram = max(1, window // 5)
     grams = rolled(hashes, gram)
     # The place settles ties: the first of equal grams is the anchor.
     place = np.arange(len(grams), dtype=np.uint64)
@@ -108,7 +110,7 @@ def chains(hashes: np.ndarray, offsets: np.ndarray, window: int = WINDOW):
     row = np.searchsorted(offsets, first, side="right") - 1
     whole = rolled(hashes, window)
     digest = mix(whole[first] * _C1 + whole[stop - 1] + count.astype(np.uint64) * _C2)
-    short = (digest >> np.uint64(33)).astype(np.int64) + 1
+    short = (digest >> np.uint64(34)).astype(np.int64) + 1
     same = np.append(row[1:] == row[:-1], False)
     after = np.where(same, np.append(short[1:], 0), 0)
     before = np.where(np.append(False, same[:-1]), np.append(0, short[:-1]), 0)
@@ -117,8 +119,8 @@ def chains(hashes: np.ndarray, offsets: np.ndarray, window: int = WINDOW):
 
 
 def _short(digest: str):
-    """The 32-bit form of a digest as neighbours carry it."""
-    return F.shiftrightunsigned(digest, 33) + 1
+    """The 30-bit form of a digest as neighbours carry it."""
+    return F.shiftrightunsigned(digest, 34) + 1
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
@@ -143,7 +145,8 @@ def _pieces(batch: pa.RecordBatch, window: int):
         yield np.arange(a, b), 0, [w for h in held for w in h], np.append(0, np.cumsum(sizes))
 
 
-_CHAIN = "anchor long, digest long, id long, tie long, start long, count int, before long, after long"
+# ``place`` is the start above 16 bits of the count; ``beside`` the digest before above the one after.
+_CHAIN = "anchor long, digest long, id long, tie long, place long, beside long"
 
 
 def _chain_rows(rows: DataFrame, window: int, seed: int) -> DataFrame:
@@ -155,11 +158,10 @@ def _chain_rows(rows: DataFrame, window: int, seed: int) -> DataFrame:
                 hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
                 row, start, count, anchor, digest, before, after = chains(hashes, offsets, window)
                 at = own[row]
-                columns = [anchor.view(np.int64), digest.view(np.int64), ids[at], ties[at], start + shift, count, before, after]
-                types = [pa.int64()] * 5 + [pa.int32()] + [pa.int64()] * 2
+                place, beside = ((start + shift) << 16) | count, (before << 32) | after
+                columns = [anchor.view(np.int64), digest.view(np.int64), ids[at], ties[at], place, beside]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types)],
-                    names=["anchor", "digest", "id", "tie", "start", "count", "before", "after"],
+                    [pa.array(c, pa.int64()) for c in columns], names=["anchor", "digest", "id", "tie", "place", "beside"]
                 )
 
     return rows.select("id", "tie", "text").mapInArrow(run, _CHAIN)
@@ -169,28 +171,32 @@ def _span_digest(words: list[bytes]) -> str:
     return hashlib.blake2b(b" ".join(words), digest_size=16).hexdigest()
 
 
-def _read_sources(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(anchor, digest, off, words): digests at source coordinates. ``off`` is a window of a chain, or -1
-    for a whole path."""
+def _read_sources(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """(id, anchor, digest, off, key, words): digests at source coordinates, of each window of a chain
+    (``key``, 64 bits) or of a whole path (``words``, 128 bits; ``off`` is -1)."""
 
     def run(batches):
         for batch in batches:
-            asked = batch.column("asked").to_pylist()
-            out: list[tuple[int, int, int, str]] = []
+            asked, ids = batch.column("asked").to_pylist(), batch.column("id").to_pylist()
+            out: list[tuple] = []
             for row, words in _texts(batch):
                 for want in asked[row]:
-                    key, start, n = (want["anchor"], want["digest"]), want["start"], want["n"]
+                    key, start, n = (ids[row], want["anchor"], want["digest"]), want["start"], want["n"]
                     if want["whole"]:
-                        out.append((*key, -1, _span_digest(words[start : start + n + window - 1])))
-                    else:
-                        out += [(*key, k, _span_digest(words[start + k : start + k + window])) for k in range(n)]
-            columns = zip(*out) if out else ((), (), (), ())
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["anchor", "digest", "off", "words"])
+                        out.append((*key, -1, None, _span_digest(words[start : start + n + window - 1])))
+                        continue
+                    for k in range(n):
+                        body = b" ".join(words[start + k : start + k + window])
+                        short = hashlib.blake2b(body, digest_size=8).digest()
+                        out.append((*key, k, int.from_bytes(short, "little", signed=True), None))
+            columns = zip(*out) if out else ((),) * 6
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string())
+            names = ["id", "anchor", "digest", "off", "key", "words"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     asked = wanted.groupBy("id", "tie").agg(F.collect_list(F.struct("whole", "anchor", "digest", "start", "n")).alias("asked"))
-    texts = rows.select("id", "tie", "text").join(asked, ["id", "tie"]).select("text", "asked")
-    return texts.mapInArrow(run, "anchor long, digest long, off int, words string")
+    found = texts.join(asked, ["id", "tie"]).select("id", "text", "asked")
+    return found.mapInArrow(run, "id long, anchor long, digest long, off int, key long, words string")
 
 
 def _paths(settled: DataFrame) -> DataFrame:
@@ -216,45 +222,76 @@ def _paths(settled: DataFrame) -> DataFrame:
     return numbered.where("head = 1").join(ends, ["id", "tie", "path"]).select("anchor", "digest", "id", "tie", "start", "n")
 
 
-def repeated_spans(rows: DataFrame, window: int = WINDOW, seed: int = 0) -> DataFrame:
-    """(id, tie, start, n, words, offs): what texts repeat of an earlier id.
+def repeated_spans(texts: DataFrame, window: int = WINDOW, seed: int = 0) -> DataFrame:
+    """(id, tie, start, n, words): the n windows from ``start`` on repeat a text of a smaller id.
 
-    ``rows`` have columns id, tie (a hash of the text) and text. With ``words``
-    the n windows from ``start`` on repeat a path whose words have that
-    digest; otherwise the windows at ``start`` + ``offs`` repeat, each compared
-    by a 128-bit digest already.
+    ``texts`` have columns id, tie and text. ``words`` is the digest of a path
+    that is still to be compared; without it the windows were compared one by
+    one, and those between the first and the last found are covered by them.
     """
-    found = stored(_chain_rows(rows, window, seed), "chains")
+    found = stored(_chain_rows(texts, window, seed), "chains")
     anchors = found.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor")
     shared = stored(found.join(anchors, "anchor", "left_semi"), "shared")
+    start, count = F.shiftright("place", 16), F.col("place").bitwiseAND(0xFFFF)
+    before, after = F.shiftright("beside", 32), F.col("beside").bitwiseAND(0xFFFFFFFF)
     distinct = shared.groupBy("anchor", "digest").agg(
-        F.min(F.struct("id", "tie", "start")).alias("source"),
-        F.max("count").alias("count"),
-        *[f(c).alias(f"{c}_{n}") for c in ("before", "after") for n, f in (("lo", F.min), ("hi", F.max))],
+        F.min(F.struct("id", "tie", "place")).alias("source"),
+        F.min(before).alias("before_lo"),
+        F.max(before).alias("before_hi"),
+        F.min(after).alias("after_lo"),
+        F.max(after).alias("after_hi"),
     )
-    distinct = stored(distinct.select("*", "source.*").drop("source"), "distinct")
+    distinct = distinct.select("*", "source.*").drop("source").withColumns({"start": start, "count": count}).drop("place")
+    distinct = stored(distinct, "distinct")
     branching = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     paths = stored(_paths(distinct.join(branching, "anchor", "left_anti")), "paths")
-    several = distinct.join(branching, "anchor", "left_semi").select("anchor", "digest", "id", "tie", "start", F.col("count").cast("long").alias("n"))
+    several = distinct.join(branching, "anchor", "left_semi").select("anchor", "digest", "id", "tie", "start", F.col("count").alias("n"))
 
     wanted = paths.withColumn("whole", F.lit(True)).unionByName(several.withColumn("whole", F.lit(False)))
-    read = stored(_read_sources(rows, wanted, window), "read")
-    # One text may be there several times; its digests are the same.
+    read = stored(_read_sources(texts, wanted, window), "read")
+    # A text that is there several times gives the same digests.
     whole = read.where("off < 0").groupBy("anchor", "digest").agg(F.min("words").alias("words"))
     whole = paths.select("anchor", "digest", F.col("id").alias("lo"), "n").join(whole, ["anchor", "digest"])
 
-    windows = read.where("off >= 0").select("anchor", "digest", "off", "words").distinct()
-    windows = windows.join(several.select("anchor", "digest", F.col("id").alias("lo")), ["anchor", "digest"])
-    least = windows.groupBy("anchor", "words").agg(F.min("lo").alias("least"))
-    chain = windows.join(least, ["anchor", "words"]).groupBy("anchor", "digest").agg(F.collect_list(F.struct("off", "least")).alias("least"))
+    # ``id`` is the least of all texts that hold the chain.
+    windows = read.where("off >= 0").select("anchor", "digest", "off", "key", "id")
+    least = windows.groupBy("anchor", "key").agg(F.min("id").alias("least"))
+    least = windows.select("anchor", "digest", "off", "key").join(least, ["anchor", "key"])
+    chain = least.groupBy("anchor", "digest").agg(F.collect_set(F.struct("off", "least")).alias("least"))
 
-    place = shared.select("anchor", "digest", "id", "tie", "start")
-    by_path = place.join(whole, ["anchor", "digest"]).where("id > lo").select("id", "tie", "start", "n", "words", F.lit(None).cast("array<int>").alias("offs"))
+    place = shared.select("anchor", "digest", "id", "tie", start.alias("start"))
+    by_path = place.join(whole, ["anchor", "digest"]).where("id > lo").select("id", "tie", "start", "n", "words")
     offs = F.transform(F.filter("least", lambda w: w["least"] < F.col("id")), lambda w: w["off"])
-    by_window = place.join(chain, ["anchor", "digest"]).select(
-        "id", "tie", "start", F.lit(0).cast("long").alias("n"), F.lit(None).cast("string").alias("words"), F.sort_array(offs).alias("offs")
+    first, last = F.array_min("offs"), F.array_max("offs")
+    by_window = place.join(chain, ["anchor", "digest"]).withColumn("offs", offs).where(F.size("offs") > 0)
+    by_window = by_window.select(
+        "id", "tie", (F.col("start") + first).alias("start"), (last - first + 1).cast("long").alias("n"), F.lit(None).cast("string").alias("words")
     )
-    return by_path.unionByName(by_window.where(F.size("offs") > 0))
+    return by_path.unionByName(by_window)
+
+
+def _bucketed(rows: DataFrame):
+    """(texts by doc_id, id, tie, text; what takes their name away): written in buckets of (id, tie).
+
+    The texts move once; the joins that read them in place and cut them move
+    the other side alone. ``tie`` tells texts of one id apart and is 0 where
+    no id repeats.
+    """
+    spark = rows.sparkSession
+    repeated = rows.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + total // BUCKET_BYTES)
+    keyed = rows.select(
+        "doc_id",
+        F.coalesce("doc_id", F.lit(int(_NO_ID))).alias("id"),
+        (F.xxhash64("text") if repeated else F.lit(0).cast("long")).alias("tie"),
+        "text",
+    )
+    name = f"moraine_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/moraine/{name}"
+    written = keyed.repartition(n, "id", "tie").write.bucketBy(n, "id", "tie").option("compression", "zstd")
+    written.option("path", path).saveAsTable(name)
+    return spark.table(name), lambda: spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 _OUT = [
@@ -271,13 +308,8 @@ def _cut(words: list[bytes], ranges: list[dict] | None, window: int) -> tuple:
     gone = np.zeros(len(words) + 1, np.int64)
     differing = 0
     for r in ranges or ():
-        if r["words"] is None:
-            at = r["start"] + np.array(r["offs"], np.int64)
-            np.add.at(gone, at, 1)
-            np.add.at(gone, at + window, -1)
-            continue
         stop = r["start"] + r["n"] + window - 1
-        if _span_digest(words[r["start"] : stop]) != r["words"]:
+        if r["words"] is not None and _span_digest(words[r["start"] : stop]) != r["words"]:
             differing += 1
             continue
         gone[r["start"]] += 1
@@ -304,12 +336,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``window`` words keep all; identical rows are cut alike. An empty table
     gives no rows. Other columns are not read.
     """
-    rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(int(_NO_ID))).alias("id"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-    )
+    texts, drop = _bucketed(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
     types = [t for t in _OUT if with_text or t[0] != "kept"]
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,stop:long>>, "
     schema += "kept string, " * with_text + "kept_sha256 string, differing long"
@@ -327,13 +354,14 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *arrays], names=["doc_id", *(n for n, _ in types)])
 
     for seed in range(8):
-        spans = repeated_spans(rows, window, seed)
+        spans = repeated_spans(texts.select("id", "tie", "text"), window, seed)
         # A set, since identical rows post the same spans.
-        spans = spans.groupBy("id", "tie").agg(F.collect_set(F.struct("start", "n", "words", "offs")).alias("ranges"))
-        cut = rows.join(spans, ["id", "tie"], "left").select("doc_id", "text", "ranges").mapInArrow(run, schema)
+        spans = spans.groupBy("id", "tie").agg(F.collect_set(F.struct("start", "n", "words")).alias("ranges"))
+        cut = texts.join(spans, ["id", "tie"], "left").select("doc_id", "text", "ranges").mapInArrow(run, schema)
         cut = stored(cut, "cut")
         # Words that differ under equal hashes: other hashes are taken.
         if not cut.where("differing > 0").limit(1).count():
+            drop()
             return cut.drop("differing")
     raise RuntimeError("eight hash functions gave equal hashes to different words")
 
