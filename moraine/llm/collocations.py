@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from moraine.sources.shared import stored
 
-from .batches import utf8
+from .batches import slices, utf8
 from .ranks import numbered
 
 LEAST = 30  # occurrences of a phrase
@@ -38,7 +38,9 @@ TOP = 2000  # phrases reported for each language
 COVERED = (80, 100)  # share of a phrase inside a longer one from which it is dropped
 VOCABULARY = 1 << 20  # words of one broadcast vocabulary; more words take more passes
 TRIE = 1 << 19  # phrases of one broadcast trie; more phrases take more passes
-SLICE = 1 << 20  # bytes of text written as one row of numbers, about
+SLICE = 1 << 20  # bytes of text numbered at once, about
+ROW = 1 << 9  # numbers in one row, about; rows end where a piece does
+HELD = 2 << 20  # bytes of numbers walked at once, about
 
 # Ends of pieces become full stops, which no word holds; tabs part words like spaces.
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -104,9 +106,7 @@ def _numbers(docs: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
                 ids = np.fromiter((known.get(p, -1) for p in parts), np.int32, len(parts))
                 if before is not None:
                     ids = np.where(ids < 0, before, ids)
-                if last and len(ids):
-                    ids = ids[(ids >= 0) | np.append(True, ids[:-1] >= 0)]
-                return ids.tobytes()
+                return ids
 
             for batch in batches:
                 if first:
@@ -117,19 +117,33 @@ def _numbers(docs: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
                         for lang, text, ids in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "ids")))
                     ]
                 for lang, text, before in texts:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang], pa.string()),
-                            pa.array([None if last else text], pa.binary()),
-                            pa.array([numbered_text(lang, text, before)], pa.binary()),
-                        ],
-                        names=["lang", "text", "ids"],
-                    )
+                    ids = numbered_text(lang, text, before)
+                    rows = _cut(ids) if last else [ids.tobytes()]
+                    columns = ([lang] * len(rows), [None if last else text] * len(rows), rows)
+                    types = (pa.string(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "text", "ids"])
 
         rows = stored(rows.mapInArrow(run, "lang string, text binary, ids binary"), "numbers")
     return rows.select("ids")
 
 
+def _cut(ids: np.ndarray) -> list[bytes]:
+    """Rows of numbers that end with -1, which is there once only between two runs."""
+    ids = np.append(ids, np.int32(-1))
+    ids = ids[(ids >= 0) | np.append(True, ids[:-1] >= 0)]
+    ends = np.flatnonzero(ids < 0) + 1
+    own = np.searchsorted(ends, np.arange(ROW, len(ids) + ROW, ROW))
+    cuts = np.unique(ends[np.minimum(own, len(ends) - 1)])
+    return [part.tobytes() for part in np.split(ids, cuts) if len(part)]
+
+
+def _held(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The numbers of a batch's rows, one after the other, in slices."""
+    body, offsets = utf8(batch.column("ids"))
+    for a, b in slices(offsets, HELD):
+        yield np.frombuffer(body[offsets[a] : offsets[b]].tobytes(), np.int32)
+
+
 class Trie:
     """Double-array trie over numbers: from state s, symbol c leads to base[s] + c if check there is s.
 
@@ -241,14 +255,15 @@ def _pairs(numbers: DataFrame, least: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                x = np.frombuffer(ids, np.int32)
-                y = _ahead(x, 1)
-                key = np.where((x >= 0) & (y >= 0), (x.astype(np.int64) << 32) | y, -1)
-                if (found := _tally(x, key, 2, True)) is not None:
-                    yield found
+            for x in _held(batch):
+                both = np.flatnonzero((x[:-1] >= 0) & (x[1:] >= 0))
+                key, n = np.unique((x[both].astype(np.int64) << 32) | x[both + 1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
 
-    return _enough(numbers.mapInArrow(run, _COUNTS), least)
+    # Most pairs are rare, so they are counted in as few bytes as can be.
+    counts = numbers.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    first, second = F.shiftright("pair", 32), F.col("pair").bitwiseAND(0xFFFFFFFF)
+    return counts.select(first.cast("int").alias("w1"), second.cast("int").alias("w2"), *[F.lit(-1).alias(w) for w in _KEY[2:]])
 
 
 def _enough(counts: DataFrame, least: int) -> DataFrame:
@@ -273,8 +288,7 @@ def _walk(numbers: DataFrame, candidates: DataFrame, n_candidates: int, length:
             trie = sent.value
             cells = len(trie.check)
             for batch in batches:
-                for ids in batch.column("ids").to_pylist():
-                    x = np.frombuffer(ids, np.int32)
+                for x in _held(batch):
                     state = trie.states(x)
                     at = np.flatnonzero(state >= 0)
                     if not len(at):
