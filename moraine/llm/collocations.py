@@ -41,6 +41,7 @@ TRIE = 1 << 19  # phrases of one broadcast trie; more phrases take more passes
 SLICE = 1 << 20  # bytes of text numbered at once, about
 ROW = 1 << 9  # numbers in one row, about; rows end where a piece does
 HELD = 2 << 20  # bytes of numbers walked at once, about
+SUMS = 1 << 20  # keys that a task sums before it sends them on
 
 # Ends of pieces become full stops, which no word holds; tabs part words like spaces.
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -230,20 +231,43 @@ def _placed(base, check, parent, symbol):
     return base, check, child
 
 
-def _tally(symbols: np.ndarray, key: np.ndarray, length: int, following: bool) -> pa.RecordBatch | None:
-    """Counts of each key at positions (-1: none) with the ``length`` words that stand there."""
-    at = np.flatnonzero(key >= 0)
-    if not len(at):
-        return None
-    _, where, n = np.unique(key[at], return_index=True, return_counts=True)
-    return _rows(symbols, at[where], n, length, following)
+class _Sums:
+    """Counts by key, summed in the task before they are sent on; a bounded number of keys is held."""
 
+    def __init__(self):
+        self.keys, self.counts, self.size = [], [], 0
 
-def _rows(symbols, place, n, length, following):
-    words = [pa.array(symbols[place + k] if k < length else np.full(len(place), -1, np.int32), pa.int32()) for k in range(LONGEST)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(place), following)), *words, pa.array(n, pa.int64())], names=["next", *_KEY, "n"]
-    )
+    def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Takes one occurrence for each of ``keys``; gives sums when there are too many to hold."""
+        keys, counts = np.unique(keys, return_counts=True)
+        self.keys.append(keys), self.counts.append(counts)
+        self.size += len(keys)
+        if self.size >= 2 * SUMS:
+            self._join()
+            if self.size >= SUMS:
+                yield from self.rest()
+
+    def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if self.size:
+            self._join()
+            yield self.keys[0], self.counts[0]
+        self.keys, self.counts, self.size = [], [], 0
+
+    def _join(self) -> None:
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        self.keys, self.counts, self.size = [keys[first]], [np.add.reduceat(counts, first)], len(first)
+
+
+def _rows(phrases: np.ndarray, word: np.ndarray | None, counts: np.ndarray) -> pa.RecordBatch:
+    """Counts of phrases, or of phrases and a word that follows them."""
+    n, depth = phrases.shape
+    words = [phrases[:, k] for k in range(depth)] + ([] if word is None else [word])
+    words += [np.full(n, -1, np.int32)] * (LONGEST - len(words))
+    columns = [pa.array(np.full(n, word is not None)), *(pa.array(w.astype(np.int32)) for w in words), pa.array(counts, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["next", *_KEY, "n"])
 
 
 def _ahead(x: np.ndarray, by: int) -> np.ndarray:
@@ -254,11 +278,17 @@ def _pairs(numbers: DataFrame, least: int) -> DataFrame:
     """Candidates of two words: neighbours seen ``least`` times; both are words with a number."""
 
     def run(batches):
-        for batch in batches:
-            for x in _held(batch):
-                both = np.flatnonzero((x[:-1] >= 0) & (x[1:] >= 0))
-                key, n = np.unique((x[both].astype(np.int64) << 32) | x[both + 1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
+        sums = _Sums()
+
+        def found():
+            for batch in batches:
+                for x in _held(batch):
+                    both = np.flatnonzero((x[:-1] >= 0) & (x[1:] >= 0))
+                    yield from sums.add((x[both].astype(np.int64) << 32) | x[both + 1])
+            yield from sums.rest()
+
+        for key, n in found():
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
 
     # Most pairs are rare, so they are counted in as few bytes as can be.
     counts = numbers.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -282,31 +312,33 @@ def _walk(numbers: DataFrame, candidates: DataFrame, n_candidates: int, length:
         if not len(phrases):
             continue
         phrases = phrases[np.lexsort(phrases.T[::-1])]
-        sent = spark.sparkContext.broadcast(Trie(phrases, n_words))
+        sent = spark.sparkContext.broadcast((Trie(phrases, n_words), phrases))
 
         def run(batches, sent=sent):
-            trie = sent.value
-            cells = len(trie.check)
-            for batch in batches:
-                for x in _held(batch):
-                    state = trie.states(x)
-                    at = np.flatnonzero(state >= 0)
-                    if not len(at):
-                        continue
-                    held = np.bincount(state[at], minlength=cells)
-                    place = np.zeros(cells, np.int64)
-                    place[state[at]] = at
-                    met = np.flatnonzero(held)
-                    yield _rows(x, place[met], held[met], length, False)
-                    if last:
-                        continue
-                    word = _ahead(x, length)
-                    grows = (state >= 0) & (word >= 0)
-                    if blocks == 1:  # else the phrase without its first word may be in another trie
-                        grows &= _ahead(state, 1) >= 0
-                    key = np.where(grows, (state.astype(np.int64) << 32) | word, -1)
-                    if (found := _tally(x, key, length + 1, True)) is not None:
-                        yield found
+            trie, phrases = sent.value
+            held, sums = np.zeros(len(trie.check), np.int64), _Sums()
+
+            def extended():
+                for batch in batches:
+                    for x in _held(batch):
+                        state = trie.states(x)
+                        held[:] += np.bincount(state[state >= 0], minlength=len(held))
+                        if last:
+                            continue
+                        word = _ahead(x, length)
+                        grows = (state >= 0) & (word >= 0)
+                        if blocks == 1:  # else the phrase without its first word may be in another trie
+                            grows &= _ahead(state, 1) >= 0
+                        at = np.flatnonzero(grows)
+                        yield from sums.add((state[at].astype(np.int64) << 32) | word[at])
+                yield from sums.rest()
+
+            phrase = np.zeros(len(held), np.int64)
+            phrase[trie.accepting] = np.arange(len(phrases))
+            for key, n in extended():
+                yield _rows(phrases[phrase[key >> 32]], key & 0xFFFFFFFF, n)
+            met = np.flatnonzero(held[trie.accepting])
+            yield _rows(phrases[met], None, held[trie.accepting[met]])
 
         found = stored(_enough(numbers.mapInArrow(run, _COUNTS), least), "phrases")
         out = found if out is None else out.unionAll(found)
