@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from moraine.sources.shared import stored
 
-from .batches import slices, utf8
+from .batches import mix, slices, utf8
 from .ranks import numbered
 
 LEAST = 30  # occurrences of a phrase
@@ -47,7 +47,8 @@ SUMS = 1 << 20  # keys that a task sums before it sends them on
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _SIGNS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _BREAKS, b"abcdefghijklmnopqrstuvwxyz " + b"." * len(_BREAKS))
 _KEY = ["w1", "w2", "w3", "w4"]
-_COUNTS = "next boolean, w1 int, w2 int, w3 int, w4 int, n long"
+_DEALT = "bucket int, data binary"
+BUCKET = 1 << 24  # bytes of counts that one task sums, at most about
 
 
 def _tokens(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
@@ -261,20 +262,43 @@ class _Sums:
         self.keys, self.counts, self.size = [keys[first]], [np.add.reduceat(counts, first)], len(first)
 
 
-def _rows(phrases: np.ndarray, word: np.ndarray | None, counts: np.ndarray) -> pa.RecordBatch:
-    """Counts of phrases, or of phrases and a word that follows them."""
-    n, depth = phrases.shape
-    words = [phrases[:, k] for k in range(depth)] + ([] if word is None else [word])
-    words += [np.full(n, -1, np.int32)] * (LONGEST - len(words))
-    columns = [pa.array(np.full(n, word is not None)), *(pa.array(w.astype(np.int32)) for w in words), pa.array(counts, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=["next", *_KEY, "n"])
+def _dealt(words: list, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Counts of phrases, given as columns of numbers, packed by bucket: one row for each bucket met."""
+    n = len(counts)
+    w = [np.asarray(c, np.int64) for c in words] + [np.full(n, -1, np.int64)] * (LONGEST - len(words))
+    # Numbers from 1, two in one value; the counts behind them.
+    table = np.stack([(w[0] + 1) << 32 | (w[1] + 1), (w[2] + 1) << 32 | (w[3] + 1), counts.astype(np.int64)])
+    dest = (mix(table[0].view(np.uint64) * np.uint64(3) + table[1].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(dest, kind="stable")
+    table, dest = table[:, order], dest[order]
+    own, first = np.unique(dest, return_index=True)
+    parts = np.split(table, first[1:], axis=1) if n else []
+    data = [np.ascontiguousarray(t).tobytes() for t in parts]
+    return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(data, pa.binary())], names=["bucket", "data"])
+
+
+def _enough(dealt: DataFrame, least: int) -> DataFrame:
+    """(w1..w4, n) of what is counted ``least`` times or more in all tasks together."""
+
+    def total(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(d, np.int64).reshape(3, -1) for d in table.column("data").to_pylist()]
+        one, two, n = np.concatenate(parts, axis=1)
+        order = np.lexsort((two, one))
+        one, two, n = one[order], two[order], n[order]
+        first = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
+        n = np.add.reduceat(n, first)
+        one, two, n = one[first][n >= least], two[first][n >= least], n[n >= least]
+        words = [half - 1 for pair in (one, two) for half in (pair >> 32, pair & 0xFFFFFFFF)]
+        return pa.table([*(pa.array(w, pa.int32()) for w in words), pa.array(n, pa.int64())], names=[*_KEY, "n"])
+
+    return dealt.groupBy("bucket").applyInArrow(total, "w1 int, w2 int, w3 int, w4 int, n long")
 
 
 def _ahead(x: np.ndarray, by: int) -> np.ndarray:
     return np.append(x[by:], np.full(min(by, len(x)), -1, x.dtype))
 
 
-def _pairs(numbers: DataFrame, least: int) -> DataFrame:
+def _pairs(numbers: DataFrame, buckets: int, least: int) -> DataFrame:
     """Candidates of two words: neighbours seen ``least`` times; both are words with a number."""
 
     def run(batches):
@@ -288,20 +312,13 @@ def _pairs(numbers: DataFrame, least: int) -> DataFrame:
             yield from sums.rest()
 
         for key, n in found():
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
-
-    # Most pairs are rare, so they are counted in as few bytes as can be.
-    counts = numbers.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    first, second = F.shiftright("pair", 32), F.col("pair").bitwiseAND(0xFFFFFFFF)
-    return counts.select(first.cast("int").alias("w1"), second.cast("int").alias("w2"), *[F.lit(-1).alias(w) for w in _KEY[2:]])
-
+            yield _dealt([key >> 32, key & 0xFFFFFFFF], n, buckets)
 
-def _enough(counts: DataFrame, least: int) -> DataFrame:
-    return counts.groupBy("next", *_KEY).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return _enough(numbers.mapInArrow(run, _DEALT), least)
 
 
-def _walk(numbers: DataFrame, candidates: DataFrame, n_candidates: int, length: int, n_words: int, least: int, last: bool) -> DataFrame:
-    """(next, w1..w4, n): candidates with their counts, and candidates of the next level."""
+def _walk(numbers: DataFrame, candidates: DataFrame, n_candidates: int, length: int, n_words: int, buckets: int, least: int, last: bool) -> DataFrame:
+    """(w1..w4, n): candidates with their counts, and the next level's, which are a word longer."""
     spark = numbers.sparkSession
     blocks = max(1, -(-n_candidates // TRIE))
     dealt = candidates.withColumn("block", F.pmod(F.xxhash64(*_KEY), F.lit(blocks)))
@@ -336,13 +353,13 @@ def _walk(numbers: DataFrame, candidates: DataFrame, n_candidates: int, length:
             phrase = np.zeros(len(held), np.int64)
             phrase[trie.accepting] = np.arange(len(phrases))
             for key, n in extended():
-                yield _rows(phrases[phrase[key >> 32]], key & 0xFFFFFFFF, n)
+                yield _dealt([*phrases[phrase[key >> 32]].T, key & 0xFFFFFFFF], n, buckets)
             met = np.flatnonzero(held[trie.accepting])
-            yield _rows(phrases[met], None, held[trie.accepting[met]])
+            yield _dealt([*phrases[met].T], held[trie.accepting[met]], buckets)
 
-        found = stored(_enough(numbers.mapInArrow(run, _COUNTS), least), "phrases")
+        found = stored(_enough(numbers.mapInArrow(run, _DEALT), least), "phrases")
         out = found if out is None else out.unionAll(found)
-    return out if out is not None else spark.createDataFrame([], _COUNTS)
+    return out if out is not None else spark.createDataFrame([], "w1 int, w2 int, w3 int, w4 int, n long")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -359,16 +376,19 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
     words = stored(words.select("lang", "word", "n", (F.col("nr") - 1).cast("int").alias("id")), "vocabulary")
     n_words = words.count()
     numbers = _numbers(docs, words, n_words)
-    candidates, phrases = stored(_pairs(numbers, least), "candidates"), None
+    # Each place gives 16 bytes of counts at most, before they are summed.
+    buckets = 1 + 16 * (totals.agg(F.sum("n_all")).first()[0] or 0) // BUCKET
+    candidates, phrases = stored(_pairs(numbers, buckets, least), "candidates"), None
     for length in range(2, longest + 1):
         n = candidates.count()
         if not n and phrases is not None:
             break
-        found = _walk(numbers, candidates, n, length, n_words, least, length == longest)
-        level = found.where("not next").select(*_KEY, "n")
+        found = _walk(numbers, candidates, n, length, n_words, buckets, least, length == longest)
+        longer = F.col(_KEY[length]) >= 0 if length < LONGEST else F.lit(False)
+        level = found.where(~longer).select(*_KEY, "n")
         phrases = level if phrases is None else phrases.unionAll(level)
         # A candidate is counted by the one trie that holds its first words, so no sum is parted.
-        candidates = found.where("next").select(*_KEY)
+        candidates = found.where(longer).select(*_KEY)
     return words, totals, phrases
 
 
