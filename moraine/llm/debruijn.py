@@ -14,8 +14,10 @@ chain for each 21 windows or so; equal windows always have equal anchors.
 3. Where an anchor has several chains, the paths branch. The windows of the
    distinct chains are read at their source coordinates, and equal ones share
    the least document.
-4. Every occurrence of a path is compared with its source, by a 128-bit digest
+4. Every occurrence of a path or chain is compared with its source, by a digest
    of the words between the coordinates, before anything is cut.
+
+An anchor of very many chains is dealt out over salts wherever its chains meet.
 """
 
 from __future__ import annotations
@@ -37,6 +39,9 @@ WINDOW = 50
 PIECE = 1 << 20  # words of a text that are held at once; longer texts are cut into pieces that overlap
 _NO_ID = np.iinfo(np.int64).max
 _MEMO = 1 << 20
+HOT_LEAST = 4096  # chains of an anchor before it may be dealt out over salts
+HOT_KEYS = 1 << 16  # anchors dealt out over salts, at most: those with more than 1/HOT_KEYS of all chains
+SALTS = 64
 BUCKET_BYTES = 64 << 20  # of text in one bucket of the texts, about
 _PLACE = np.uint64((1 << 22) - 1)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -167,13 +172,13 @@ def _chain_rows(rows: DataFrame, window: int, seed: int) -> DataFrame:
     return rows.select("id", "tie", "text").mapInArrow(run, _CHAIN)
 
 
-def _span_digest(words: list[bytes]) -> str:
-    return hashlib.blake2b(b" ".join(words), digest_size=16).hexdigest()
+def _span_digest(words: list[bytes]) -> int:
+    return int.from_bytes(hashlib.blake2b(b" ".join(words), digest_size=8).digest(), "little", signed=True)
 
 
 def _read_sources(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(id, anchor, digest, off, key, words): digests at source coordinates, of each window of a chain
-    (``key``, 64 bits) or of a whole path (``words``, 128 bits; ``off`` is -1)."""
+    """(id, anchor, digest, off, key): digests of words at source coordinates. ``off`` is -1 for all of a
+    path or chain, else one of a chain's windows."""
 
     def run(batches):
         for batch in batches:
@@ -182,21 +187,17 @@ def _read_sources(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame
             for row, words in _texts(batch):
                 for want in asked[row]:
                     key, start, n = (ids[row], want["anchor"], want["digest"]), want["start"], want["n"]
-                    if want["whole"]:
-                        out.append((*key, -1, None, _span_digest(words[start : start + n + window - 1])))
-                        continue
-                    for k in range(n):
-                        body = b" ".join(words[start + k : start + k + window])
-                        short = hashlib.blake2b(body, digest_size=8).digest()
-                        out.append((*key, k, int.from_bytes(short, "little", signed=True), None))
-            columns = zip(*out) if out else ((),) * 6
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string())
-            names = ["id", "anchor", "digest", "off", "key", "words"]
+                    out.append((*key, -1, _span_digest(words[start : start + n + window - 1])))
+                    if not want["whole"]:
+                        out += [(*key, k, _span_digest(words[start + k : start + k + window])) for k in range(n)]
+            columns = zip(*out) if out else ((),) * 5
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+            names = ["id", "anchor", "digest", "off", "key"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     asked = wanted.groupBy("id", "tie").agg(F.collect_list(F.struct("whole", "anchor", "digest", "start", "n")).alias("asked"))
     found = texts.join(asked, ["id", "tie"]).select("id", "text", "asked")
-    return found.mapInArrow(run, "id long, anchor long, digest long, off int, key long, words string")
+    return found.mapInArrow(run, "id long, anchor long, digest long, off int, key long")
 
 
 def _paths(settled: DataFrame) -> DataFrame:
@@ -223,15 +224,27 @@ def _paths(settled: DataFrame) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame, window: int = WINDOW, seed: int = 0) -> DataFrame:
-    """(id, tie, start, n, words): the n windows from ``start`` on repeat a text of a smaller id.
+    """(id, tie, start, n, first, last, key): the windows from ``start`` + ``first`` to ``start`` + ``last``
+    repeat a text of a smaller id, if the words of the n windows from ``start`` on have the digest ``key``.
 
-    ``texts`` have columns id, tie and text. ``words`` is the digest of a path
-    that is still to be compared; without it the windows were compared one by
-    one, and those between the first and the last found are covered by them.
+    ``texts`` have columns id, tie and text. Windows between two of one chain
+    are covered by these.
     """
     found = stored(_chain_rows(texts, window, seed), "chains")
-    anchors = found.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor")
-    shared = stored(found.join(anchors, "anchor", "left_semi"), "shared")
+    anchors = found.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
+    anchors = stored(anchors.where("lo < hi").select("anchor", "n"), "anchors")
+    least_hot = max(HOT_LEAST, found.count() // HOT_KEYS)
+    # At most HOT_KEYS rows.
+    hot = F.broadcast(anchors.where(F.col("n") > least_hot).select("anchor", F.lit(True).alias("hot")))
+    own_salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id", "place"), F.lit(SALTS)).cast("int")).otherwise(0)
+    all_salts = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+
+    def salted(df: DataFrame) -> DataFrame:
+        """A row for each salt of the row's anchor."""
+        return df.join(hot, "anchor", "left").withColumn("salt", all_salts).drop("hot")
+
+    shared = found.join(hot, "anchor", "left").withColumn("salt", own_salt).drop("hot")
+    shared = stored(shared.join(salted(anchors.select("anchor")), ["anchor", "salt"], "left_semi"), "shared")
     start, count = F.shiftright("place", 16), F.col("place").bitwiseAND(0xFFFF)
     before, after = F.shiftright("beside", 32), F.col("beside").bitwiseAND(0xFFFFFFFF)
     distinct = shared.groupBy("anchor", "digest").agg(
@@ -246,27 +259,27 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, seed: int = 0) -> Dat
     branching = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     paths = stored(_paths(distinct.join(branching, "anchor", "left_anti")), "paths")
     several = distinct.join(branching, "anchor", "left_semi").select("anchor", "digest", "id", "tie", "start", F.col("count").alias("n"))
+    several = stored(several, "several")
 
     wanted = paths.withColumn("whole", F.lit(True)).unionByName(several.withColumn("whole", F.lit(False)))
     read = stored(_read_sources(texts, wanted, window), "read")
     # A text that is there several times gives the same digests.
-    whole = read.where("off < 0").groupBy("anchor", "digest").agg(F.min("words").alias("words"))
-    whole = paths.select("anchor", "digest", F.col("id").alias("lo"), "n").join(whole, ["anchor", "digest"])
+    key = read.where("off < 0").groupBy("anchor", "digest").agg(F.min("key").alias("key"))
+    whole = paths.select("anchor", "digest", F.col("id").alias("lo"), "n").join(key, ["anchor", "digest"])
 
     # ``id`` is the least of all texts that hold the chain.
-    windows = read.where("off >= 0").select("anchor", "digest", "off", "key", "id")
-    least = windows.groupBy("anchor", "key").agg(F.min("id").alias("least"))
-    least = windows.select("anchor", "digest", "off", "key").join(least, ["anchor", "key"])
-    chain = least.groupBy("anchor", "digest").agg(F.collect_set(F.struct("off", "least")).alias("least"))
-
-    place = shared.select("anchor", "digest", "id", "tie", start.alias("start"))
-    by_path = place.join(whole, ["anchor", "digest"]).where("id > lo").select("id", "tie", "start", "n", "words")
+    windows = read.where("off >= 0").select("anchor", "digest", "off", F.col("key").alias("at"), "id")
+    least = windows.groupBy("anchor", "at").agg(F.min("id").alias("least"))
+    least = windows.select("anchor", "digest", "off", "at").join(least, ["anchor", "at"])
+    least = least.groupBy("anchor", "digest").agg(F.collect_set(F.struct("off", "least")).alias("least"))
+    chain = several.select("anchor", "digest", "n").join(key, ["anchor", "digest"]).join(least, ["anchor", "digest"])
+
+    place = shared.select("anchor", "digest", "salt", "id", "tie", start.alias("start"))
+    by_path = place.join(salted(whole), ["anchor", "digest", "salt"]).where("id > lo")
+    by_path = by_path.select("id", "tie", "start", "n", F.lit(0).alias("first"), (F.col("n") - 1).alias("last"), "key")
     offs = F.transform(F.filter("least", lambda w: w["least"] < F.col("id")), lambda w: w["off"])
-    first, last = F.array_min("offs"), F.array_max("offs")
-    by_window = place.join(chain, ["anchor", "digest"]).withColumn("offs", offs).where(F.size("offs") > 0)
-    by_window = by_window.select(
-        "id", "tie", (F.col("start") + first).alias("start"), (last - first + 1).cast("long").alias("n"), F.lit(None).cast("string").alias("words")
-    )
+    by_window = place.join(salted(chain), ["anchor", "digest", "salt"]).withColumn("offs", offs).where(F.size("offs") > 0)
+    by_window = by_window.select("id", "tie", "start", "n", F.array_min("offs").alias("first"), F.array_max("offs").cast("long").alias("last"), "key")
     return by_path.unionByName(by_window)
 
 
@@ -308,12 +321,12 @@ def _cut(words: list[bytes], ranges: list[dict] | None, window: int) -> tuple:
     gone = np.zeros(len(words) + 1, np.int64)
     differing = 0
     for r in ranges or ():
-        stop = r["start"] + r["n"] + window - 1
-        if r["words"] is not None and _span_digest(words[r["start"] : stop]) != r["words"]:
+        start = r["start"]
+        if _span_digest(words[start : start + r["n"] + window - 1]) != r["key"]:
             differing += 1
             continue
-        gone[r["start"]] += 1
-        gone[stop] -= 1
+        gone[start + r["first"]] += 1
+        gone[start + r["last"] + window] -= 1
     held = np.cumsum(gone[:-1]) > 0
     edges = np.flatnonzero(np.diff(np.concatenate([[0], held.astype(np.int8), [0]])))
     spans = edges.reshape(-1, 2).tolist()
@@ -356,7 +369,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     for seed in range(8):
         spans = repeated_spans(texts.select("id", "tie", "text"), window, seed)
         # A set, since identical rows post the same spans.
-        spans = spans.groupBy("id", "tie").agg(F.collect_set(F.struct("start", "n", "words")).alias("ranges"))
+        spans = spans.groupBy("id", "tie").agg(F.collect_set(F.struct("start", "n", "first", "last", "key")).alias("ranges"))
         cut = texts.join(spans, ["id", "tie"], "left").select("doc_id", "text", "ranges").mapInArrow(run, schema)
         cut = stored(cut, "cut")
         # Words that differ under equal hashes: other hashes are taken.
