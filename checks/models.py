@@ -12,8 +12,12 @@ from pyspark.sql import types as T
 
 from moraine.functions.json import json_len
 from moraine.plans.contracts import CONTRACTS, check_tables
+from moraine.plans.incremental import kept_models, merge_latest, part_of, update_silver
 from moraine.plans.silver import CORE, INTERMEDIATE, STAGING, Models, store_models
+from moraine.plans.staging import STAGES
+from moraine.sources import endpoints as E
 from moraine.sources.shared import shared_folder, stored
+from moraine.sources.versioned import read_parts
 
 from . import packed
 
@@ -70,9 +74,38 @@ def silver_all_table_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
 
+# Games in one part of a kept table: the numbers packed from the given tables hold no year.
+PART_GAMES = 20_000
+
+
+def _batch(bronze: DataFrame, batch: int, of: int) -> DataFrame:
+    """A part of the fetches, dealt by digest: fetches of one game come in any order."""
+    return bronze.where(F.pmod(F.xxhash64("response_sha256"), F.lit(of)) == batch)
+
+
+def kept_latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest fetch of each game, merged batch by batch into a kept table."""
+    path = f"{shared_folder(spark)}/moraine/{uuid.uuid4().hex}/stg_landing"
+    stage, bronze = STAGES["stg_landing"], packed.bronze(spark, sf_dir, E.LANDING)
+    for batch in range(3):
+        merge_latest(spark, path, stage, _batch(bronze, batch, 3), part_of(stage, PART_GAMES))
+    return plain_times(stage.finish(read_parts(spark, path)))
+
+
+def facts_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes from a table of which two builds have each rewritten the parts they touched."""
+    out = f"{shared_folder(spark)}/moraine/{uuid.uuid4().hex}"
+    for batch in range(2):
+        fetches = lambda family, _, batch=batch: _batch(packed.bronze(spark, sf_dir, family), batch, 2)
+        update_silver(spark, "", out, games=PART_GAMES, bronze=fetches, tables=["fct_game_outcome"])
+    return kept_models(spark, out)["fct_game_outcome"]
+
+
 MODEL_QUERIES = {
     **{name: _model(name) for name in [*STAGING, *INTERMEDIATE, *CORE]},
     **{f"{name}_whole": _whole(name) for name in WHOLE},
+    "kept_latest_rows": kept_latest_rows,
+    "facts_by_season": facts_by_season,
     "silver_table_tests": silver_table_tests,
     "silver_all_table_tests": silver_all_table_tests,
 }

@@ -468,3 +468,6 @@ def _all_tests_sql() -> str:
 
 
 MODEL_SQL["silver_all_table_tests"] = _all_tests_sql()
+# Merged batch by batch, they are the same rows.
+MODEL_SQL["kept_latest_rows"] = MODEL_SQL["stg_landing"]
+MODEL_SQL["facts_by_season"] = MODEL_SQL["fct_game_outcome"]

@@ -43,6 +43,7 @@ from .operators.unnest import explode_groups, union_facts, unnest_json, unpivot
 from .plans.backfill import Load, load_day, run_backfill
 from .plans.contracts import check_table, check_tables
 from .plans.costs import check_cost, project_cost
+from .plans.incremental import kept_models, merge_latest, update_silver
 from .plans.reports import period_totals, recurring, rolling_mean, total_like
 from .plans.schedule import schedule_days, schedule_games
 from .plans.silver import Models, build_silver, create_views, lake_models, store_models
@@ -53,6 +54,7 @@ from .sources.landed import read_landed, stream_landed
 from .sources.manifest import append_manifest, manifest_rows, new_run_id, read_manifest
 from .sources.shared import stored
 from .sources.tables import dim_league, dim_sport, read_expenses, read_seed
+from .sources.versioned import read_parts, remove_unused, replace_parts
 from .streaming.ingest import ingest_batch, ingest_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -8,7 +8,8 @@ are never shuffled unless a column that holds most of the body is selected.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -137,78 +138,74 @@ def _typed(df: DataFrame, fields: Mapping[str, Field], keep: list[str], done: tu
     return df.select(*keep, *casts)
 
 
-def latest_games(
-    bronze: DataFrame, paths: Mapping[str, str], types: Mapping[str, T.DataType] | None = None
-) -> DataFrame:
-    """Latest fetch per game with the wanted members of its body, as text.
+@dataclass(frozen=True)
+class Stage:
+    """A staging model in two steps, between which only the latest fetch of each key is kept.
 
-    ``game_id`` and ``game_type`` come typed. The type filter runs on every
-    fetch, before the dedup: a game whose type changed keeps its latest
-    *competitive* fetch. ``types`` is as for ``json_texts``.
+    ``extract`` takes texts out of bronze rows one by one, ``finish`` turns the
+    latest ones into the model.
     """
+
+    extract: Callable[[DataFrame], DataFrame]
+    keys: list[str]
+    finish: Callable[[DataFrame], DataFrame]
+
+    def __call__(self, bronze: DataFrame) -> DataFrame:
+        return self.finish(latest_by(self.extract(bronze), self.keys, "fetched_at_utc", ["response_sha256"]))
+
+
+def _game_texts(
+    bronze: DataFrame, paths: Mapping[str, str], types: Mapping[str, T.DataType] | None = None
+) -> DataFrame:
     wanted = {**_paths({k: GAME_FIELDS[k] for k in ("game_id", "game_type")}), **paths}
     texts = json_texts(bronze, BODY, wanted, FETCH, types)
-    keyed = texts.withColumns(
+    return texts.withColumns(
         {"game_id": to_integer(F.col("game_id"), "bigint"), "game_type": to_integer(F.col("game_type"))}
     ).where(F.col("game_type").isin(*COMPETITIVE_TYPES))
-    return latest_by(keyed, ["game_id"], "fetched_at_utc", ["response_sha256"])
-
-
-def _games(bronze: DataFrame, fields: Mapping[str, Field]) -> DataFrame:
-    latest = latest_games(bronze, _paths(fields))
-    return _typed(latest, fields, ["ingest_date", "fetched_at_utc"], done=("game_id", "game_type"))
-
 
-def stg_landing(bronze: DataFrame) -> DataFrame:
-    """One row per game: metadata, scores, venue and period rules."""
-    return _games(bronze, LANDING_FIELDS)
 
+def latest_games(
+    bronze: DataFrame, paths: Mapping[str, str], types: Mapping[str, T.DataType] | None = None
+) -> DataFrame:
+    """Latest fetch per game with the wanted members of its body, as text.
 
-def stg_boxscore(bronze: DataFrame) -> DataFrame:
-    """One row per game: outcome, and player statistics still as JSON text."""
-    return _games(bronze, BOXSCORE_FIELDS)
+    ``game_id`` and ``game_type`` come typed. The type filter runs on every
+    fetch, before the dedup: a game whose type changed keeps its latest
+    *competitive* fetch. ``types`` is as for ``json_texts``.
+    """
+    return latest_by(_game_texts(bronze, paths, types), ["game_id"], "fetched_at_utc", ["response_sha256"])
 
 
-def stg_play_by_play(bronze: DataFrame) -> DataFrame:
-    """One row per game: plays and roster spots as JSON text, and a play count."""
-    return _games(bronze, PLAY_BY_PLAY_FIELDS).withColumn("play_count", json_len("plays_json"))
+def _game_stage(fields: Mapping[str, Field], finish: Callable[[DataFrame], DataFrame] = lambda df: df) -> Stage:
+    typed = lambda latest: _typed(latest, fields, ["ingest_date", "fetched_at_utc"], ("game_id", "game_type"))
+    return Stage(lambda bronze: _game_texts(bronze, _paths(fields)), ["game_id"], lambda latest: finish(typed(latest)))
 
 
-def _season_summary(bronze: DataFrame, fields: Mapping[str, Field], entity: str) -> DataFrame:
-    """Latest fetch per season, its rows, then the latest row per (season, entity).
+def _summary_rows(latest: DataFrame, fields: Mapping[str, Field], entity: str) -> DataFrame:
+    """Rows of the latest fetch of each season, then the latest row per (season, entity).
 
     The first dedup goes by the envelope's season, the second by the season
     each row states. Rows of one fetch tie; the earliest element then wins.
     """
-    bodies = json_texts(bronze, BODY, {"__data": "data"}, ["season", *FETCH])
-    latest = latest_by(bodies, ["season"], "fetched_at_utc", ["response_sha256"])
     rows = unnest_json(latest, "__data", _paths(fields), position="__position", keep=FETCH)
     keyed = rows.withColumn(entity, to_integer(F.col(entity)))
     unique = latest_by(keyed, ["season", entity], "fetched_at_utc", ["response_sha256", "__position"])
     return _typed(unique, fields, ["ingest_date", "fetched_at_utc"], done=(entity,))
 
 
-def stg_skater_summary(bronze: DataFrame) -> DataFrame:
-    """One row per (season, skater)."""
-    return _season_summary(bronze, SKATER_FIELDS, "player_id")
-
-
-def stg_goalie_summary(bronze: DataFrame) -> DataFrame:
-    """One row per (season, goalie)."""
-    return _season_summary(bronze, GOALIE_FIELDS, "player_id")
+def _summary_stage(fields: Mapping[str, Field], entity: str) -> Stage:
+    return Stage(
+        lambda bronze: json_texts(bronze, BODY, {"__data": "data"}, ["season", *FETCH]),
+        ["season"],
+        lambda latest: _summary_rows(latest, fields, entity),
+    )
 
 
-def stg_team_summary(bronze: DataFrame) -> DataFrame:
-    """One row per (season, team)."""
-    return _season_summary(bronze, TEAM_FIELDS, "team_id")
+def _roster_bodies(bronze: DataFrame) -> DataFrame:
+    return bronze.select(*FETCH, "season", json_text("endpoint_params_json", "team").alias("team_abbrev"), BODY)
 
 
-def stg_roster(bronze: DataFrame) -> DataFrame:
-    """One row per (season, team, player); season and team come from the envelope."""
-    bodies = bronze.select(
-        *FETCH, "season", json_text("endpoint_params_json", "team").alias("team_abbrev"), BODY
-    )
-    latest = latest_by(bodies, ["season", "team_abbrev"], "fetched_at_utc", ["response_sha256"])
+def _roster_rows(latest: DataFrame) -> DataFrame:
     rows = explode_groups(
         latest,
         BODY,
@@ -227,10 +224,63 @@ def stg_roster(bronze: DataFrame) -> DataFrame:
     return _typed(unique, ROSTER_FIELDS, keep, done=("player_id",))
 
 
-def stg_club_schedule_season(bronze: DataFrame) -> DataFrame:
-    """One row per (season, team): the games as JSON text and their count."""
+def _club_texts(bronze: DataFrame) -> DataFrame:
     params = bronze.withColumn("team_abbrev", json_text("endpoint_params_json", "team"))
-    texts = json_texts(params, BODY, _paths(CLUB_SCHEDULE_FIELDS), [*FETCH, "season", "team_abbrev"])
-    latest = latest_by(texts, ["season", "team_abbrev"], "fetched_at_utc", ["response_sha256"])
+    return json_texts(params, BODY, _paths(CLUB_SCHEDULE_FIELDS), [*FETCH, "season", "team_abbrev"])
+
+
+def _club_rows(latest: DataFrame) -> DataFrame:
     keep = ["ingest_date", "fetched_at_utc", "season", "team_abbrev"]
     return _typed(latest, CLUB_SCHEDULE_FIELDS, keep).withColumn("game_count", json_len("games_json"))
+
+
+STAGES: dict[str, Stage] = {
+    "stg_landing": _game_stage(LANDING_FIELDS),
+    "stg_boxscore": _game_stage(BOXSCORE_FIELDS),
+    "stg_play_by_play": _game_stage(PLAY_BY_PLAY_FIELDS, lambda df: df.withColumn("play_count", json_len("plays_json"))),
+    "stg_skater_summary": _summary_stage(SKATER_FIELDS, "player_id"),
+    "stg_goalie_summary": _summary_stage(GOALIE_FIELDS, "player_id"),
+    "stg_team_summary": _summary_stage(TEAM_FIELDS, "team_id"),
+    "stg_roster": Stage(_roster_bodies, ["season", "team_abbrev"], _roster_rows),
+    "stg_club_schedule_season": Stage(_club_texts, ["season", "team_abbrev"], _club_rows),
+}
+
+
+def stg_landing(bronze: DataFrame) -> DataFrame:
+    """One row per game: metadata, scores, venue and period rules."""
+    return STAGES["stg_landing"](bronze)
+
+
+def stg_boxscore(bronze: DataFrame) -> DataFrame:
+    """One row per game: outcome, and player statistics still as JSON text."""
+    return STAGES["stg_boxscore"](bronze)
+
+
+def stg_play_by_play(bronze: DataFrame) -> DataFrame:
+    """One row per game: plays and roster spots as JSON text, and a play count."""
+    return STAGES["stg_play_by_play"](bronze)
+
+
+def stg_skater_summary(bronze: DataFrame) -> DataFrame:
+    """One row per (season, skater)."""
+    return STAGES["stg_skater_summary"](bronze)
+
+
+def stg_goalie_summary(bronze: DataFrame) -> DataFrame:
+    """One row per (season, goalie)."""
+    return STAGES["stg_goalie_summary"](bronze)
+
+
+def stg_team_summary(bronze: DataFrame) -> DataFrame:
+    """One row per (season, team)."""
+    return STAGES["stg_team_summary"](bronze)
+
+
+def stg_roster(bronze: DataFrame) -> DataFrame:
+    """One row per (season, team, player); season and team come from the envelope."""
+    return STAGES["stg_roster"](bronze)
+
+
+def stg_club_schedule_season(bronze: DataFrame) -> DataFrame:
+    """One row per (season, team): the games as JSON text and their count."""
+    return STAGES["stg_club_schedule_season"](bronze)
