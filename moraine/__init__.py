@@ -51,7 +51,7 @@ from .plans.worklists import phase_counts, plan_units
 from .session import local_session, prepare
 from .sources.bronze import read_bronze, to_envelope, write_bronze
 from .sources.landed import read_landed, stream_landed
-from .sources.manifest import append_manifest, manifest_rows, new_run_id, read_manifest
+from .sources.manifest import append_manifest, manifest_rows, new_run_id, read_manifest, snapshot_manifest
 from .sources.shared import stored
 from .sources.tables import dim_league, dim_sport, read_expenses, read_seed
 from .sources.versioned import read_parts, remove_unused, replace_parts

@@ -27,6 +27,7 @@ from ..operators.dedup import latest_by
 from ..operators.unnest import union_facts
 from ..sources import endpoints as E
 from ..sources.bronze import ENVELOPE, bronze_digests, write_bronze
+from ..sources.fetches import index_fetches, known_fetches
 from ..sources.landed import read_landed
 from ..sources.manifest import append_manifest, manifest_rows, new_run_id, read_manifest
 from .costs import THRESHOLD_USD, CostCheckTripped, check_cost, project_cost
@@ -120,24 +121,38 @@ def write_family(load: Load, bodies: DataFrame, family: str, batch: str) -> tupl
         rejects = judged.where(F.col("reason").isNotNull())
         rejects.write.mode("overwrite").parquet(f"{load.paths.rejects(family)}/{batch}.parquet")
     stored = load.spark.read.schema(ENVELOPE).parquet(written.key)
+    # Before the log: a fetch counts as known only once its unit is logged.
+    fetches = stored.select(scope_of(family).alias("scope_key"), "fetched_at_utc", F.col("response_sha256").alias("digest"))
+    index_fetches(load.spark, load.base, family, fetches, batch, _stored_fetches(load, family, batch))
     return manifest_rows(stored, load.run_id, scope_of(family), written.compression), rejected
 
 
 def not_loaded(load: Load, bodies: DataFrame, family: str, batch: str) -> DataFrame:
     """Bodies without the very fetches that an earlier load has stored and logged.
 
+    Stored fetches are looked up in the family's index, of which only the years
+    of these bodies' units are opened. A lake without one is read once in full.
     A body that comes back in a later fetch is new: it is the latest again.
     What this very batch wrote before a crash does not count: it is replaced.
     """
     logged = load.manifest().where((F.col("endpoint") == E.TEMPLATES[family]) & (F.col("status") == "ok"))
-    stored = bronze_digests(load.spark, load.base, family, f"/{batch}.parquet/").select(
-        scope_of(family).alias("scope_key"), "fetched_at_utc", F.col("response_sha256").alias("__digest")
-    )
+    stored = known_fetches(load.spark, load.base, family, bodies, batch)
+    if stored is None:
+        stored = _stored_fetches(load, family, batch).drop("batch")
+    stored = stored.withColumnRenamed("digest", "__digest")
     known = stored.join(logged.select("scope_key").distinct(), "scope_key", "left_semi")
     digested = bodies.withColumn("__digest", F.sha2("response_json", 256))
     return digested.join(known, ["scope_key", "fetched_at_utc", "__digest"], "left_anti").select(*bodies.columns)
 
 
+def _stored_fetches(load: Load, family: str, batch: str) -> DataFrame:
+    """(scope_key, fetched_at_utc, digest, batch) of all bronze of a family but this batch's."""
+    rows = bronze_digests(load.spark, load.base, family, f"/{batch}.parquet/")
+    return rows.select(
+        scope_of(family).alias("scope_key"), "fetched_at_utc", F.col("response_sha256").alias("digest"), F.lit("").alias("batch")
+    )
+
+
 def run_phase(load: Load, phase: str, units: DataFrame) -> PhaseResult:
     """Load one phase's pending units of whatever families have arrived.
 

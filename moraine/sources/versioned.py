@@ -37,13 +37,14 @@ class SnapshotTaken(RuntimeError):
     """Another writer has published a snapshot since this one read the table."""
 
 
-def _files(spark: SparkSession, path: str):
+def files(spark: SparkSession, path: str):
+    """(file system, path object) of a path."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
-    fs, folder = _files(spark, f"{path}/_snapshots")
+    fs, folder = files(spark, f"{path}/_snapshots")
     if not fs.exists(folder):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(folder)]
@@ -102,7 +103,7 @@ def replace_parts(
     checked = F.when(known, name).otherwise(F.raise_error(F.concat(F.lit("row of another part: "), name)))
     rows = df.withColumn(PART, checked).hint("rebalance", PART)
     rows.write.partitionBy(PART).option("compression", "zstd").parquet(f"{path}/{build}")
-    fs, folder = _files(spark, f"{path}/{build}")
+    fs, folder = files(spark, f"{path}/{build}")
     written = [s.getPath().getName() for s in fs.listStatus(folder)]
     unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     new = {unescape(w.removeprefix(f"{PART}=")): f"{build}/{w}" for w in written if w.startswith(f"{PART}=")}
@@ -121,8 +122,8 @@ def _publish(spark: SparkSession, path: str, snapshot: Snapshot) -> None:
             "note": snapshot.note,
         }
     )
-    fs, draft = _files(spark, f"{path}/_snapshots/.{uuid.uuid4().hex}")
-    _, final = _files(spark, f"{path}/_snapshots/{snapshot.number:010d}.json")
+    fs, draft = files(spark, f"{path}/_snapshots/.{uuid.uuid4().hex}")
+    _, final = files(spark, f"{path}/_snapshots/{snapshot.number:010d}.json")
     out = fs.create(draft, False)
     out.write(bytearray(text.encode()))
     out.close()
@@ -139,10 +140,10 @@ def remove_unused(spark: SparkSession, path: str, keep: int = 2) -> int:
     path = path.rstrip("/")
     numbers = _numbers(spark, path)
     used = {folder.split("/")[1] for n in numbers[-keep:] for folder in _snapshot(spark, path, n).parts.values()}
-    fs, folder = _files(spark, f"{path}/data")
+    fs, folder = files(spark, f"{path}/data")
     unused = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName() not in used] if fs.exists(folder) else []
     for n in numbers[:-keep]:
-        fs.delete(_files(spark, f"{path}/_snapshots/{n:010d}.json")[1], False)
+        fs.delete(files(spark, f"{path}/_snapshots/{n:010d}.json")[1], False)
     for build in unused:
         fs.delete(build, True)
     return len(unused)
