@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE = 1 << 22
+LONG_SPAN = 64
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,12 +63,17 @@ def _power(base: int, n: int) -> np.ndarray:
 
 
 def span_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, from one running sum."""
+    """A 64-bit hash of each span of bytes: from one running sum, and of spans over ``LONG_SPAN`` bytes
+    from the bytes themselves, as regular texts of some length have equal sums whatever the base."""
     total = np.zeros(len(body) + 1, dtype=np.uint64)
     np.cumsum(BYTE[body] * _power(_BASE, len(body)), out=total[1:])
     out = (total[ends] - total[starts]) * _power(_INVERSE, len(body) + 1)[starts]
     out += (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return mix(out)
+    out = mix(out)
+    for k in np.flatnonzero(ends - starts > LONG_SPAN):
+        digest = hashlib.blake2b(body[starts[k] : ends[k]].tobytes(), digest_size=8).digest()
+        out[k] = int.from_bytes(digest, "little")
+    return out
 
 
 def word_spans(body: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

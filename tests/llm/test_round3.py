@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from moraine.llm import collocations, debruijn, importance, ranks
+from moraine.llm import batches, bpe, collocations, debruijn, importance, jaccard, quality, ranks
 
 from .conftest import AWKWARD, COPY
 from .plain import LOWER, WORD, sha
@@ -228,3 +228,29 @@ def test_trie_holds_its_phrases_and_no_others():
     assert (state[:-2] >= 0).tolist() == want and (state[-2:] < 0).all()
     named = {int(s): tuple(p) for s, p in zip(trie.accepting, phrases.tolist())}
     assert all(named[int(s)] == tuple(text[k : k + 3].tolist()) for k, s in enumerate(state) if s >= 0)
+
+
+# ---- texts that a plain polynomial modulo 2^64 cannot tell apart
+
+
+def alternating(length):
+    a, b = "a", "b"
+    while len(a) < length:
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("length", [1024, 2048])
+def test_alternating_texts_are_told_apart(spark, length):
+    a, b = alternating(length)
+    body = np.frombuffer((a + b).encode(), np.uint8)
+    one, two = batches.span_hashes(body, np.array([0, length]), np.array([length, 2 * length]))
+    assert one != two
+    rows = spark.createDataFrame([(1, a), (2, b), (3, f"{a}\n{b}")], "doc_id long, text string").coalesce(1)
+    encoded = bpe.digests(rows, bpe.vocabulary()).collect()
+    assert {r.decoded_sha256 for r in encoded} == {sha(a), sha(b), sha(f"{a}\n{b}")}
+    linked = {r.doc_id: r.component_id for r in jaccard.link_documents(rows).collect()}
+    assert linked == {1: 1, 2: 2, 3: 3}
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    rated = quality.rate(rows, labels).select("doc.doc_id", "n_dup_lines").collect()
+    assert {tuple(r) for r in rated} == {(1, 0), (2, 0), (3, 0)}
