@@ -379,13 +379,30 @@ def _edges(blocks: list[Block]) -> dict[tuple[int, int], float]:
     return edges
 
 
+def _around_article(blocks: list[Block]) -> int:
+    """Marks of boilerplate that hold for the page's whole article, such as a form around the page.
+
+    They say nothing against it: they count as its surroundings if every block
+    of an article or main element has them and what lies outside of boilerplate
+    is shorter than these blocks. Marks inside the article stay.
+    """
+    inside = [b for b in blocks if b.bits & (ARTICLE | MAIN)]
+    shared = _OUT
+    for b in inside:
+        shared &= b.bits
+    clean = sum(len(b.text) for b in blocks if not b.bits & _OUT)
+    return shared if inside and clean < sum(len(b.text) for b in inside) else 0
+
+
 def extract(page: str | None, weights: np.ndarray) -> str:
     """The main text: content blocks in page order, joined by one space."""
     blocks = blocks_of(page or "")
     if not blocks:
         return ""
     shape = np.array([_text_features(b) for b in blocks]) @ weights
-    costs = [_context_cost(b.bits) + s for b, s in zip(blocks, np.clip(shape, -3, 3).tolist())]
+    around = _around_article(blocks)
+    bits = [b.bits & ~around if b.bits & (ARTICLE | MAIN) else b.bits for b in blocks]
+    costs = [_context_cost(b) + s for b, s in zip(bits, np.clip(shape, -3, 3).tolist())]
     keep = minimum_cut(costs, _edges(blocks))
     return " ".join(b.text for b, k in zip(blocks, keep) if k)
 
@@ -400,14 +417,12 @@ def fit(pages: DataFrame, html_column: str, max_pages: int = MAX_PAGES) -> np.nd
     Blocks inside an article or main element are examples of content, blocks
     inside navigation, footers, sidebars, forms and the like of boilerplate.
     """
-    sample = (
-        pages.select(F.col(html_column).alias("html"))
-        .where("html is not null")
-        .withColumn("h", F.xxhash64(F.lit(SEED), "html"))
-        .orderBy("h")
-        .limit(max_pages)
-        .select("html")
-    )
+    hashed = pages.select(F.col(html_column).alias("html")).where("html is not null").withColumn("h", F.xxhash64(F.lit(SEED), "html"))
+    # Hashes alone are ordered; the pages stay where they are. Copies of a page count as one.
+    last = hashed.select("h").orderBy("h").limit(max_pages).agg(F.max("h")).first()[0]
+    if last is None:
+        return _PRIOR
+    sample = hashed.where(F.col("h") <= last).select("html")
 
     def examples(batches):
         for batch in batches:

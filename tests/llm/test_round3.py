@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from moraine.llm import batches, bpe, collocations, debruijn, importance, jaccard, quality, ranks
+from moraine.llm import batches, bpe, collocations, debruijn, html_text, importance, jaccard, quality, ranks
 
 from .conftest import AWKWARD, COPY
 from .plain import LOWER, WORD, sha
@@ -254,3 +254,28 @@ def test_alternating_texts_are_told_apart(spark, length):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     rated = quality.rate(rows, labels).select("doc.doc_id", "n_dup_lines").collect()
     assert {tuple(r) for r in rated} == {(1, 0), (2, 0), (3, 0)}
+
+
+# ---- an article inside a wrapper whose name speaks against it
+
+ARTICLE = "<article><h1>A heading</h1><p>" + "One long sentence of the article, with words in it. " * 5 + "</p><p>" + "Another paragraph follows here. " * 4 + "</p></article>"
+MENU = "<nav><a href=/>Home</a> <a href=/x>News</a></nav>"
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["form id=aspnetForm", "div class=page-with-sidebar", "div class=layout-sidebar-right", "div id=comments-page", "main class=search-page", "div class=legal-news"],
+)
+def test_a_wrapper_does_not_hide_the_article(wrapper):
+    tag = wrapper.split()[0]
+    weights = html_text._PRIOR
+    alone = html_text.extract(f"<body>{MENU}{ARTICLE}<footer>Imprint</footer></body>", weights)
+    wrapped = html_text.extract(f"<body><{wrapper}>{MENU}{ARTICLE}<footer>Imprint</footer></{tag}></body>", weights)
+    assert "Another paragraph" in alone and wrapped == alone
+
+
+def test_comments_beside_the_article_stay_out():
+    comments = "<div id=comments>" + "<article><p>I liked this very much, thank you all.</p></article>" * 3 + "</div>"
+    with_article = html_text.extract(f"<body>{ARTICLE}{comments}</body>", html_text._PRIOR)
+    plain_page = html_text.extract(f"<body><div class=post><p>{'Some words of the text. ' * 20}</p></div>{comments}</body>", html_text._PRIOR)
+    assert "thank you" not in with_article + plain_page and "Some words" in plain_page
