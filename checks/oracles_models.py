@@ -329,66 +329,18 @@ def _box_side(shift: int) -> str:
 
 
 # The staged bodies themselves, beside the other columns.
-MODEL_SQL["stg_boxscore_whole"] = f"""
-  SELECT x.* EXCLUDE (away_forwards), b.player_by_game_stats_json FROM ({MODEL_SQL["stg_boxscore"]}) AS x
+MODEL_SQL["stg_boxscore"] = f"""
+  SELECT x.*, b.player_by_game_stats_json FROM ({MODEL_SQL["stg_boxscore"]}) AS x
   JOIN (WITH {GAMES} SELECT game_id, '{{"awayTeam":' || {_box_side(0)} || ',"homeTeam":' || {_box_side(1)} || '}}' AS player_by_game_stats_json
     FROM games) AS b USING (game_id)"""
-MODEL_SQL["stg_play_by_play_whole"] = f"""
+MODEL_SQL["stg_play_by_play"] = f"""
   SELECT x.*, b.plays_json FROM ({MODEL_SQL["stg_play_by_play"]}) AS x
   JOIN (WITH {EVENTS} SELECT game_id, '[' || string_agg('{{"eventId":' || event_sequence || ',"typeDescKey":"' || type_desc_key
       || '","timeInPeriod":"' || time_in_period_raw || '","periodDescriptor":{{"number":' || period || ',"periodType":"REG"}}'
       || coalesce(',"details":' || details_json, '') || '}}', ',' ORDER BY event_sequence) || ']' AS plays_json
     FROM game_events GROUP BY game_id) AS b USING (game_id)"""
-
-
-def _tests_sql() -> str:
-    """Long-form results of the declared tests of four core tables."""
-    nulls = {
-        "dim_player": ("player_id", "full_name", "external_ids"),
-        "fct_game": (
-            "game_id", "league_id", "season", "game_datetime_utc", "home_team_id",
-            "away_team_id", "venue_team_id", "game_type", "status",
-        ),
-        "fct_game_outcome": ("game_id", "home_goals", "away_goals", "winning_team_id", "period_end", "home_win"),
-        "fct_game_lineup": ("lineup_id", "game_id", "team_id", "player_id", "position_type", "toi_s"),
-    }
-    unique = {t: cols[0] for t, cols in nulls.items()}
-    accepted = [
-        ("fct_game", "game_type", "2, 3"),
-        ("fct_game", "status", "'FINAL', 'OFF'"),
-        ("fct_game_outcome", "period_end", "'REG', 'OT', 'SO'"),
-        ("fct_game_lineup", "position_type", "'F', 'D', 'G'"),
-        ("dim_player", "position_group", "'F', 'D', 'G'"),
-    ]
-    foreign = [
-        ("fct_game", "league_id", "(SELECT 1 AS league_id)", "league_id"),
-        ("fct_game", "home_team_id", "dim_team", "team_id"),
-        ("fct_game", "away_team_id", "dim_team", "team_id"),
-        ("fct_game", "venue_team_id", "dim_team", "team_id"),
-        ("fct_game_outcome", "game_id", "fct_game", "game_id"),
-        ("fct_game_outcome", "winning_team_id", "dim_team", "team_id"),
-        ("fct_game_lineup", "game_id", "fct_game", "game_id"),
-        ("fct_game_lineup", "team_id", "dim_team", "team_id"),
-        ("fct_game_lineup", "player_id", "dim_player", "player_id"),
-    ]
-    head = "SELECT '{0}' AS model, '{1}' AS \"column\", '{2}' AS test, CAST(count(*) AS BIGINT) AS failures FROM "
-    parts = [
-        head.format(t, c, "not_null") + f"{t} WHERE {c} IS NULL" for t, cols in nulls.items() for c in cols
-    ]
-    parts += [
-        head.format(t, c, "unique") + f"(SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
-        for t, c in unique.items()
-    ]
-    parts += [head.format(t, c, "accepted_values") + f"{t} WHERE {c} NOT IN ({v})" for t, c, v in accepted]
-    parts += [
-        head.format(t, c, "relationships") + f"{t} AS x WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} AS q WHERE q.{k} = x.{c})"
-        for t, c, p, k in foreign
-    ]
-    players = PLAYERS.replace(GAMES, "").lstrip(", \n")
-    return f"WITH {DIM_TEAM}, {players}, {FCT_GAME}, {FCT_OUTCOME}, {FCT_LINEUP}, {DIM_PLAYER} " + " UNION ALL ".join(parts)
-
-
-MODEL_SQL["silver_table_tests"] = _tests_sql()
+MODEL_SQL["stg_boxscore_whole"] = f"SELECT * EXCLUDE (away_forwards) FROM ({MODEL_SQL['stg_boxscore']})"
+MODEL_SQL["stg_play_by_play_whole"] = MODEL_SQL["stg_play_by_play"]
 
 # Test, then the columns it holds for by table; stated apart from the package's own list.
 _GAME_COLUMNS = (
@@ -442,8 +394,7 @@ _ALL_FOREIGN = {
 
 def _all_tests_sql() -> str:
     """Long-form results of the declared tests of every table."""
-    whole = {f"{t}_whole": t for t in ("stg_boxscore", "stg_play_by_play")}
-    bodies = {t: MODEL_SQL[t] for t in _ALL_NULLS if t in MODEL_SQL} | {t: MODEL_SQL[w] for w, t in whole.items()}
+    bodies = {t: MODEL_SQL[t] for t in _ALL_NULLS if t in MODEL_SQL}
     bodies["dim_sport"] = "SELECT 1 AS sport_id, 'Ice Hockey' AS sport_name, 'ice_hockey' AS sport_slug"
     bodies["dim_league"] = (
         "SELECT 1 AS league_id, 1 AS sport_id, 'National Hockey League' AS league_name, 'NHL' AS league_abbreviation, 'US' AS country_code"
@@ -467,7 +418,7 @@ def _all_tests_sql() -> str:
     return "WITH " + ", ".join(f"{t} AS MATERIALIZED ({sql})" for t, sql in bodies.items()) + " " + " UNION ALL ".join(parts)
 
 
-MODEL_SQL["silver_all_table_tests"] = _all_tests_sql()
+MODEL_SQL["silver_table_tests"] = MODEL_SQL["silver_all_table_tests"] = _all_tests_sql()
 # Merged batch by batch, they are the same rows.
 MODEL_SQL["kept_latest_rows"] = MODEL_SQL["stg_landing"]
 MODEL_SQL["facts_by_season"] = MODEL_SQL["fct_game_outcome"]

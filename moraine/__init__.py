@@ -38,7 +38,7 @@ from .operators.joins import (
     pending_units,
     spine_left_join,
 )
-from .operators.quality import assert_no_rows, table_tests
+from .operators.quality import Contract, assert_no_rows, run_tests, table_tests
 from .operators.unnest import explode_groups, union_facts, unnest_json, unpivot
 from .plans.backfill import Load, load_day, run_backfill
 from .plans.contracts import check_table, check_tables

@@ -2,23 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
-from functools import reduce
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..operators.quality import table_tests
-
-
-@dataclass(frozen=True)
-class Contract:
-    not_null: tuple[str, ...] = ()
-    unique: tuple[str, ...] = ()
-    accepted: Mapping[str, tuple] = field(default_factory=dict)
-    relationships: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
+from ..operators.quality import Contract, run_tests
 
 _STATES = ("FINAL", "OFF")
 _TYPES = (2, 3)
@@ -123,18 +109,13 @@ CONTRACTS: dict[str, Contract] = {
 
 
 def check_table(name: str, tables) -> DataFrame:
-    """``(model, column, test, failures)`` of one table's declared tests.
-
-    ``tables`` gives frames by name: a dict or ``Models``.
-    """
-    contract = CONTRACTS[name]
-    parents = {fk: (tables[parent], pk) for fk, (parent, pk) in contract.relationships.items()}
-    results = table_tests(
-        tables[name], contract.not_null, contract.unique, contract.accepted, parents
-    )
-    return results.select(F.lit(name).alias("model"), "column", "test", "failures")
+    """``(model, column, test, failures)`` of one table's declared tests."""
+    return check_tables(tables, [name])
 
 
 def check_tables(tables, names=tuple(CONTRACTS)) -> DataFrame:
-    """Results of the declared tests of the named tables."""
-    return reduce(DataFrame.unionByName, [check_table(name, tables) for name in names])
+    """Results of the declared tests of the named tables, each table scanned once.
+
+    ``tables`` gives frames by name: a dict or ``Models``.
+    """
+    return run_tests(tables, {name: CONTRACTS[name] for name in names})

@@ -40,12 +40,12 @@ def test_every_query_has_an_oracle_over_given_tables():
 
 
 def test_staged_bodies_are_compared(spark):
-    for name, column in (("stg_boxscore_whole", "player_by_game_stats_json"), ("stg_play_by_play_whole", "plays_json")):
+    for name, column in (("stg_boxscore", "player_by_game_stats_json"), ("stg_play_by_play", "plays_json")):
         assert column in driver.queries()[name](spark, SF).columns
         assert column in driver.oracle_sql()[name]
 
 
 def test_every_declared_test_is_run(spark):
-    rows = driver.queries()["silver_all_table_tests"](spark, SF).collect()
+    rows = driver.queries()["silver_table_tests"](spark, SF).collect()
     assert {r.model for r in rows} == set(CONTRACTS)
     assert len({(r.model, r.column, r.test) for r in rows}) == len(rows) == 167

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from moraine.operators import joins
 from moraine.operators.dedup import duplicate_keys, latest_by
-from moraine.operators.quality import assert_no_rows, table_tests
+from moraine.operators.quality import Contract, assert_no_rows, run_tests, table_tests
 from moraine.operators.unnest import explode_groups, union_facts, unnest_json, unpivot
 from moraine.plans import reports
 
@@ -144,6 +144,37 @@ def test_table_tests(spark):
         table_tests(df)
 
 
+def test_tests_of_several_tables_scan_each_once(spark, tmp_path):
+    spark.createDataFrame([(1,), (2,), (2,), (None,)], "pk int").write.parquet(f"{tmp_path}/p")
+    child = [(i, i % 4, None if i % 5 == 0 else i % 4, "x") for i in range(40)]
+    spark.createDataFrame(child, "id int, a long, b int, v string").write.parquet(f"{tmp_path}/c")
+    frames = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in "pc"}
+    contracts = {
+        "p": Contract(["pk"], ["pk"]),
+        "c": Contract(["b"], ["id", "a"], {"v": ["y"]}, {"a": ("p", "pk"), "b": ("p", "pk")}),
+    }
+    found = run_tests(frames, contracts)
+    assert {(r.model, r.column, r.test): r.failures for r in found.collect()} == {
+        ("p", "pk", "not_null"): 1,
+        ("p", "pk", "unique"): 1,
+        ("c", "b", "not_null"): 8,
+        ("c", "v", "accepted_values"): 40,
+        ("c", "id", "unique"): 0,
+        ("c", "a", "unique"): 4,
+        ("c", "a", "relationships"): 20,
+        ("c", "b", "relationships"): 16,
+    }
+    assert plan_of(run_tests(frames, {"c": Contract(["b"], ["id"], {"v": ["y"]})})).count("Scan parquet") == 1
+    # The parent's key of another type is counted apart from the one tested as unique.
+    assert plan_of(run_tests(frames, contracts)).count("Scan parquet") == 2
+
+
+def test_more_checks_than_one_mask_holds(spark):
+    df = spark.range(3).select(*[F.when(F.col("id") >= i % 4, 1).alias(f"c{i}") for i in range(130)])
+    found = {r["column"]: r["failures"] for r in table_tests(df, not_null=df.columns).collect()}
+    assert found == {f"c{i}": i % 4 for i in range(130)}
+
+
 def test_singular_assertion(spark):
     assert_no_rows(spark.range(0), "none")
     with pytest.raises(AssertionError, match="too many"):
