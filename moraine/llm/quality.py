@@ -5,12 +5,15 @@ or boilerplate; Viterbi decoding gives the best marking of the whole text, and
 the share of its words on content lines decides retention. Texts that fail the
 base rules are refused whatever the marking says.
 
-The field is fitted on a bounded sample of rows with a quality label; scoring
-is one pass without a shuffle.
+The field is fitted on a bounded sample of rows with a quality label. Texts of
+both classes are joined for that, so that it sees where content turns into
+boilerplate and back. Scoring is one pass without a shuffle.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +23,8 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructType
 from .batches import NOT_SPACE, mix, slices, span_hashes, utf8, word_spans
 
 MAX_ROWS = 6_000  # labelled rows the field is fitted on, at most
-TRAIN_LINES = 200  # lines of one piece of a training text; longer texts make several pieces
+TRAIN_LINES = 100  # lines a labelled text gives to training, at most
+JOINED = 8  # texts in one training sequence, at most
 CONTENT_SHARE = 0.5
 MIN_WORDS = 50
 SEED = 7
@@ -179,7 +183,13 @@ class Field:
         return out
 
     def fit(self, x: np.ndarray, cuts: np.ndarray, y: np.ndarray, rounds: int = 150, penalty: float = 1e-3) -> None:
-        """Gradient ascent on the conditional likelihood; ``y`` is each line's label."""
+        """Gradient ascent on the conditional likelihood; ``y`` is each line's label.
+
+        Features are scaled to like spread first, so that rare marks learn as fast as common ones.
+        """
+        spread = x.std(axis=0)
+        spread[spread < 1e-6] = 1
+        x = x / spread
         lengths = np.diff(cuts)
         order = np.argsort(-lengths, kind="stable")
         order = order[lengths[order] > 0]
@@ -214,13 +224,33 @@ class Field:
             moment = 0.9 * moment + 0.1 * slope
             square = 0.99 * square + 0.01 * slope * slope
             theta = theta + 0.15 * moment / (1 - 0.9**turn) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-8)
-        self.weights, self.link = theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2)
+        self.weights, self.link = theta[:N_FEATURES] / spread, theta[N_FEATURES:].reshape(2, 2)
+
+
+def join_pieces(sizes: np.ndarray, most: int = JOINED) -> np.ndarray:
+    """Where training sequences begin and end: they take 1, 2, .. ``most`` pieces in turn.
 
+    Pieces alone show whole texts of one class, joined ones the changes.
+    """
+    ends = np.cumsum(np.resize(np.arange(1, most + 1), len(sizes)))
+    ends = np.append(ends[ends < len(sizes)], len(sizes))
+    return np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])]
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, max_rows: int = MAX_ROWS) -> Field:
-    """Fit on at most ``max_rows`` rows with a quality label; a line's label is its text's.
 
-    Without rows of both classes the field is even, and marks all as content.
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str,
+    text: str,
+    max_rows: int = MAX_ROWS,
+    train_lines: int = TRAIN_LINES,
+) -> Field:
+    """Fit on at most ``max_rows`` rows with a quality label, ``train_lines`` lines of each.
+
+    A line's label is its text's. A text of more lines gives one run of them,
+    chosen by its hash, so that no text crowds out others. Texts are joined in
+    the order of their hashes. Without rows of both classes the field is even,
+    and marks all as content.
     """
     chosen = (
         labels.where("quality is not null and doc_id is not null")
@@ -238,14 +268,14 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, max_rows:
             for a, b in slices(offsets):
                 texts = Texts(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 good = np.asarray(batch.column("quality"))[a:b]
-                pieces, label = [], []
+                pieces = []
                 for k, (c, d) in enumerate(zip(texts.lines_of[:-1].tolist(), texts.lines_of[1:].tolist())):
-                    for e in range(c, d, TRAIN_LINES):
-                        pieces.append(texts.x[e : min(e + TRAIN_LINES, d)].astype(np.float32).tobytes())
-                        label.append(int(good[k]))
-                yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(pieces, pa.binary())], names=["y", "x"])
+                    runs = -(-(d - c) // train_lines)
+                    e = c + train_lines * (zlib.crc32(body[offsets[a + k] : offsets[a + k + 1]]) % runs)
+                    pieces.append(texts.x[e : min(e + train_lines, d)].astype(np.float32).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(good, pa.int32()), pa.array(pieces, pa.binary())], names=["y", "x"])
 
-    # Texts in thousands of lines make many pieces; as many as rows are kept, by hash.
+    # Where ids repeat there are more rows than ids; as many as rows are kept, by hash.
     rows = (
         sample.mapInArrow(lines, "y int, x binary").orderBy(F.xxhash64("x"), "y", "x").limit(max_rows).collect()
     )
@@ -254,7 +284,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, max_rows:
         return field
     parts = [np.frombuffer(r.x, np.float32).reshape(-1, N_FEATURES) for r in rows]
     sizes = np.array([len(p) for p in parts])
-    field.fit(np.concatenate(parts).astype(np.float64), np.concatenate([[0], np.cumsum(sizes)]), np.repeat([float(r.y) for r in rows], sizes))
+    field.fit(np.concatenate(parts).astype(np.float64), join_pieces(sizes), np.repeat([float(r.y) for r in rows], sizes))
     return field
 
 
