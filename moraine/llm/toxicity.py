@@ -1,15 +1,16 @@
 """Toxicity by weak supervision.
 
-Many weak voters look at a text: stems whose presence goes with toxic labels,
-a fixed insult lexicon, and patterns (insults in a run, an insult beside a
-word for "you", shouting). A generative model of their votes given an unseen
-class estimates each voter's accuracy and the correlations between voters
-(a dependency tree, so that near-identical voters do not count twice). Its
-posterior labels train the linear classifier that scores every text.
-
-Labels are learnt from a bounded sample of labelled rows outside the held-out
-remainder; statistics of stems and the model need nothing else, and scoring
-is one pass over all texts.
+Many weak voters look at a text: each word of an insult lexicon in four
+languages, patterns (several insults, an insult beside a word for "you",
+shouting), and stems that the labelled rows suggest. A generative model of
+their votes given an unseen class estimates each voter's accuracy and the
+correlations between voters (a dependency tree, so that near-identical voters
+do not count twice). The given label is one more voter, whose errors are
+estimated like the others'. The posterior labels train the linear classifier
+that scores every text.
+
+Given labels come from a bounded sample of labelled rows outside the held-out
+remainder; scoring is one pass over all texts.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from .batches import LOWER, slices, span_hashes, utf8, word_spans
 
 MAX_ROWS = 20_000  # labelled rows the classifier is fitted on, at most
 MAX_STEMS = 256  # stems that may vote
+LEAST_GAIN = 6.0  # log likelihood ratio from which a stem may vote
 MIN_ROWS = 4  # labelled rows a stem must occur in
 THRESHOLD = 0.3
 SEED = 11
@@ -34,10 +36,13 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(128, 256)]] = True
 # Prefix lengths in bytes; 0 stands for the whole word.
 _LENGTHS = (0, 4, 5, 6, 7)
-# Common English insults, and words for "you".
+# Common insults in English, German, French and Spanish, and words for "you".
 INSULTS = (
     "idiot moron stupid loser clown trash scum worthless pathetic disgusting dumb fool jerk creep filth garbage "
-    "vermin coward freak liar ugly hate shut"
+    "vermin coward freak liar ugly hate shut "
+    "trottel dumm dummkopf abschaum wertlos erbärmlich ekelhaft feigling lügner versager hässlich drecksack "
+    "imbécile crétin débile ordure déchet minable pathétique dégoûtant lâche menteur "
+    "idiota imbécil estúpido basura escoria inútil patético asqueroso cobarde mentiroso payaso"
 ).split()
 YOU = "you your you're u du dich tu toi vous usted".split()
 
@@ -82,33 +87,32 @@ class Lookup:
 
 
 class Voters:
-    """Votes of stems, lexicon and patterns: a column each, 1 where a voter speaks."""
+    """Votes of stems, lexicon words and patterns: a column each, 1 where a voter speaks."""
 
     PATTERNS = ("lexicon", "two insults", "insult beside you", "shouting", "many marks")
 
     def __init__(self, stems: np.ndarray):
-        self.stems = stems
         insults, you = [np.array([_word_hash(w) for w in ws], np.uint64) for ws in (INSULTS, YOU)]
+        self.stems = stems = stems[~np.isin(stems, np.concatenate([insults, you]))]
         self.kinds = np.concatenate([np.zeros(len(stems), int), np.ones(len(insults), int), np.full(len(you), 2)])
         self.lookup = Lookup(np.concatenate([stems, insults, you]))
-        self.size = len(stems) + len(self.PATTERNS)
+        self.patterns = len(stems) + len(insults)  # the column of the first pattern
+        self.size = self.patterns + len(self.PATTERNS)
 
     def __call__(self, body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (row, voter) pairs of a slice of texts."""
         rows, hashes, words = _features(body, offsets)
-        # A stem may also be an insult: it is looked up as each kind.
-        out = []
-        n = len(self.stems)
-        known = self._hits(rows, hashes, words)
-        row, voter = known[0][:2]
-        out += [(row, voter)]
-        (irow, _, iword), (yrow, _, yword) = known[1], known[2]
-        out.append((irow, np.full(len(irow), n)))
+        first = self.patterns
+        at, index = self.lookup(hashes)
+        kind = self.kinds[index]
+        irow, iword, yword = rows[at[kind == 1]], words[at[kind == 1]], words[at[kind == 2]]
+        voting = kind < 2
+        out = [(rows[at[voting]], index[voting]), (irow, np.full(len(irow), first))]
         order = np.argsort(iword, kind="stable")
         pairs = np.flatnonzero(np.diff(irow[order]) == 0)
-        out.append((irow[order][pairs], np.full(len(pairs), n + 1)))
+        out.append((irow[order][pairs], np.full(len(pairs), first + 1)))
         beside = np.isin(iword, np.concatenate([yword + d for d in (-2, -1, 1, 2)])) if len(yword) else np.zeros(len(iword), bool)
-        out.append((irow[beside], np.full(int(beside.sum()), n + 2)))
+        out.append((irow[beside], np.full(int(beside.sum()), first + 2)))
         size = np.maximum(np.diff(offsets), 1)
         upper = (body >= ord("A")) & (body <= ord("Z"))
         marks = body == ord("!")
@@ -116,53 +120,55 @@ class Voters:
             total = np.concatenate([[0], np.cumsum(flag)])
             share = (total[offsets[1:]] - total[offsets[:-1]]) / size
             loud = np.flatnonzero(share > (0.5 if k == 3 else 0.02))
-            out.append((loud, np.full(len(loud), n + k)))
+            out.append((loud, np.full(len(loud), first + k)))
         row, voter = (np.concatenate(x).astype(np.int64) for x in zip(*out))
         distinct = np.unique(row * self.size + voter)
         return distinct // self.size, distinct % self.size
 
-    def _hits(self, rows, hashes, words):
-        at, index = self.lookup(hashes)
-        kind = self.kinds[index]
-        out = [(rows[at[kind == k]], index[kind == k], words[at[kind == k]]) for k in range(3)]
-        return out
-
 
 class LabelModel:
-    """Votes given a class: a tree of dependencies per class, fitted by EM.
+    """Votes given an unseen class: a tree of dependencies per class, fitted by EM.
 
-    ``accuracy`` is each voter's P(vote | class); ``pair`` holds
-    P(vote | class, parent's vote), which carries the correlations.
+    ``guess`` holds the class probabilities EM starts from, ``times`` how often
+    each row of votes occurs, ``given`` a label of each row, a voter whose
+    accuracies ``right`` are estimated too. ``accuracy`` is each voter's P(vote | class);
+    ``pair`` holds P(vote | class, parent's vote), which carries the
+    correlations; ``posterior`` is P(class 1 | votes).
     """
 
-    def __init__(self, votes: np.ndarray, anchor: np.ndarray, rounds: int = 60, smooth: float = 0.5):
+    def __init__(
+        self,
+        votes: np.ndarray,
+        guess: np.ndarray,
+        times: np.ndarray | None = None,
+        given: np.ndarray | None = None,
+        rounds: int = 60,
+        smooth: float = 0.5,
+    ):
         n, k = votes.shape
         votes = votes.astype(np.float32)
-        # The given label is one more voter, whose errors are estimated too.
-        right = np.array([0.9, 0.9])
-        q = np.clip(anchor * 0.9 + 0.05, 0.05, 0.95)
+        times = np.ones(n) if times is None else times.astype(np.float64)
+        q = np.asarray(guess, np.float64)
         self.parent = np.full(k, -1)
         for turn in range(rounds):
-            weight = np.stack([1 - q, q])
-            prior = weight.sum(1) / n
+            weight = np.stack([1 - q, q]) * times
             if k > 1 and turn % 10 == 0:
-                self._tree(votes, weight)
+                self._tree(votes, weight, times.sum())
             mother = votes[:, np.maximum(self.parent, 0)] * (self.parent >= 0)
             seen = np.empty((2, 2, k))
             for y in range(2):
                 for v in range(2):
                     w = weight[y][:, None] * (mother == v)
                     seen[y, v] = ((w * votes).sum(0) + smooth * 0.1) / (w.sum(0) + smooth)
-            self.pair, self.prior = np.clip(seen, 1e-4, 1 - 1e-4), prior
+            self.pair, self.prior = np.clip(seen, 1e-4, 1 - 1e-4), np.clip(weight.sum(1) / times.sum(), 1e-4, 1 - 1e-4)
             self.accuracy = (weight @ votes + smooth * 0.1) / (weight.sum(1)[:, None] + smooth)
-            for y in range(2):
-                agree = (weight[y] * (anchor == y)).sum() / weight[y].sum()
-                right[y] = np.clip(agree, 0.55, 0.99)
-            self.right = right
-            logit = self.evidence(votes)
-            label = np.where(anchor == 1, np.log(right[1] / (1 - right[0])), np.log((1 - right[1]) / right[0]))
-            before, q = q, 1 / (1 + np.exp(-np.clip(logit + label, -30, 30)))
-            if np.abs(q - before).mean() < 1e-5:
+            before, logit = q, self.evidence(votes)
+            if given is not None:
+                self.right = np.clip([weight[y][given == y].sum() / weight[y].sum() for y in range(2)], 0.55, 0.99)
+                yes, no = self.right[1] / (1 - self.right[0]), (1 - self.right[1]) / self.right[0]
+                logit = logit + np.log(np.where(given == 1, yes, no))
+            q = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+            if np.abs(q - before) @ times < 1e-5 * times.sum():
                 break
         self.posterior = q
 
@@ -175,9 +181,9 @@ class LabelModel:
             logit += ((mother == v) * np.where(votes > 0, said, silent)).sum(1)
         return logit
 
-    def _tree(self, votes: np.ndarray, weight: np.ndarray) -> None:
+    def _tree(self, votes: np.ndarray, weight: np.ndarray, n: float) -> None:
         """Maximum spanning tree over the voters' mutual information given the class."""
-        n, k = votes.shape
+        k = votes.shape[1]
         info = np.zeros((k, k))
         for y in range(2):
             w = (weight[y] / n).astype(np.float32)
@@ -201,16 +207,17 @@ class LabelModel:
             best[closer], link[closer] = info[j][closer], j
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 400) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float, rounds: int = 400) -> np.ndarray:
     """Weights and bias by accelerated gradient steps; ``y`` may be a probability."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     step = 4.0 / (np.square(x).sum(1).max() + 4 * penalty)
+    share = times / times.sum()
     w = u = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 0
     for t in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ u, -30, 30)))
-        new = u - step * (x.T @ (p - y) / len(x) + ridge * u)
+        new = u - step * (x.T @ ((p - y) * share) + ridge * u)
         u = new + t / (t + 3) * (new - w)
         w = new
     return w
@@ -229,11 +236,11 @@ class Model:
         z = np.bincount(row, self.weights[voter], len(offsets) - 1) + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    def fit(self, votes: np.ndarray, labels: np.ndarray) -> None:
-        self.label_model = model = LabelModel(votes, labels)
-        w = _logistic(votes, model.posterior, 1e-4)
+    def fit(self, votes: np.ndarray, labels: np.ndarray, times: np.ndarray) -> None:
+        self.label_model = model = LabelModel(votes, labels * 0.9 + 0.05, times, labels)
+        w = _logistic(votes, model.posterior, times, 1e-4)
         z = votes @ w[:-1] + w[-1]
-        scale, shift = _logistic(z[:, None], labels.astype(np.float64), 1e-6)
+        scale, shift = _logistic(z[:, None], labels.astype(np.float64), times, 1e-6)
         self.weights, self.bias = w[:-1] * scale, w[-1] * scale + shift
 
 
@@ -241,11 +248,22 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, max_rows: int = MAX_ROWS) -> Model:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str,
+    text: str,
+    max_rows: int = MAX_ROWS,
+    max_stems: int = MAX_STEMS,
+    least_gain: float = LEAST_GAIN,
+) -> Model:
     """Fit on at most ``max_rows`` labelled rows outside the held-out remainder.
 
     Rows without a label or id are left out; of labels that repeat an id the
-    greatest counts. Where one class is missing the model gives one low score.
+    greatest counts. At most ``max_stems`` stems vote beside the lexicon, those
+    of the greatest gain from ``least_gain`` on. Where documents repeat an id,
+    equal votes are counted together and the ``max_rows`` commonest are taken.
+    Where one class is missing the model gives one score.
     """
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -293,8 +311,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, max_rows:
         .where((F.col("n") >= MIN_ROWS) & (share > 3 * rate))
         .withColumn("gain", gain)
         .orderBy(F.desc("gain"), "stem")
-        .limit(MAX_STEMS)
-        .where("gain > 6")
+        .limit(max_stems)
+        .where(F.col("gain") > least_gain)
         .select("stem")
     )
     found = np.array([r.stem for r in stems.collect()], np.int64).view(np.uint64)
@@ -310,11 +328,13 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, max_rows:
                 lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(voter, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column("toxic")[a:b], lists], names=["toxic", "votes"])
 
-    rows = sample.mapInArrow(votes_of, "toxic int, votes array<int>").collect()
+    # In one order, so that equal tables give equal models; at most max_rows rows reach the driver.
+    counted = sample.mapInArrow(votes_of, "toxic int, votes array<int>").groupBy("toxic", "votes").agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.orderBy(F.desc("n"), "toxic", "votes").limit(max_rows).collect()
     votes = np.zeros((len(rows), voters.size), np.float32)
     for i, r in enumerate(rows):
         votes[i, r.votes] = 1
-    model.fit(votes, np.array([r.toxic for r in rows]))
+    model.fit(votes, np.array([r.toxic for r in rows]), np.array([r.n for r in rows], np.float64))
     return model
 
 
