@@ -41,6 +41,7 @@ _MARKER = re.compile(
 )
 WAYS = ("entry", "leave", "blind_entry", "blind_leave")
 TURNS = 64  # consecutive turns of one conversation that are decoded together
+UNNUMBERED = 1024  # blocks of the rows of a conversation that have no turn number
 # Inside a row, a line without a marker all but never changes the speaker.
 _STAY = np.log(1 - 2e-6)
 _MOVE = np.log(1e-6)
@@ -162,11 +163,13 @@ def chain(links: list[np.ndarray]) -> list[tuple[int | None, int]]:
 
 
 def _rows(conversations: DataFrame) -> DataFrame:
-    """Distinct turns with the block they are decoded in, null for rows without a turn number."""
+    """Distinct turns with the block they are decoded in."""
     chosen = conversations.select("conv_id", "turn", "role", "text").distinct()
     # A row without a conversation stands alone.
     alone = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text"))
-    block = F.floor(F.col("turn") / TURNS).cast("long")
+    # Rows without a turn number are dealt by hash, below every block of numbered turns.
+    unnumbered = F.lit(-(1 << 60)) + F.pmod(F.xxhash64("role", "text"), F.lit(UNNUMBERED))
+    block = F.coalesce(F.floor(F.col("turn") / TURNS).cast("long"), unnumbered)
     return chosen.withColumn("block", block).withColumn("alone", alone)
 
 
@@ -237,7 +240,7 @@ def format_chat(conversations: DataFrame, model: Model | None = None) -> DataFra
     of turns alone, at the part's first line. A null or empty text is one
     empty line. Rows that repeat count once; turns that tie are ordered by
     role and text; rows without a conversation id are conversations of their
-    own, rows without a turn number come first. An unheard-of role is no
+    own, rows without a turn number come first, in 1,024 blocks by hash. An unheard-of role is no
     marker. Blocks of 64 turn numbers go to tasks of their own and are composed,
     so a conversation of any length is spread over tasks and decoded as a whole;
     one row for each of its blocks is chained in one task.
