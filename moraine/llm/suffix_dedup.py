@@ -33,8 +33,10 @@ WINDOW = 100
 GRAM = 24
 _PER_WINDOW = WINDOW - GRAM + 1
 TASK_BYTES = 4 << 20  # text, or text behind the postings, that one task holds, about
-HOT_LEAST = 4096  # different segments of an anchor before it may be dealt out by windows
-HOT_KEYS = 1 << 16  # anchors dealt out by windows, at most
+HOT_LEAST = 4096  # different segments of an anchor class before it may be dealt out by windows
+HOT_KEYS = 1 << 16  # anchor classes dealt out by windows, at most
+ANCHOR_CLASSES = 1 << 18  # anchors are counted by so many classes of their hashes
+_CLASS = np.uint64(ANCHOR_CLASSES - 1)
 _NO_ID = np.iinfo(np.int64).max
 _START_BITS, _COUNT_BITS = 40, 8
 
@@ -191,31 +193,42 @@ def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     )
 
 
+def _chunk_of(ids: np.ndarray, tie: np.ndarray, chunks: int) -> np.ndarray:
+    """The destination of a text's rows, below zero; texts of one id are spread by their tie."""
+    return -1 - (ids % chunks + tie) % chunks
+
+
 def _range_rows(ids, tie, start, stop, chunks: int):
-    """Ranges go to their text's chunk; destinations below zero are chunks."""
-    return _deal(-1 - ids % chunks, RANGES, [ids, tie, start, stop])
+    """Ranges go to their text's chunk."""
+    return _deal(_chunk_of(ids, tie, chunks), RANGES, [ids, tie, start, stop])
 
 
 def _hot_anchors(docs: DataFrame, n_bytes: int) -> np.ndarray:
-    """Anchors of more than 1/HOT_KEYS of all segments, told apart by content: at most HOT_KEYS."""
+    """Which classes of anchors, by their low bits, have postings enough to crowd a task.
+
+    Counted as they are posted, once per slice and content, over all slices. A
+    class of more than 1/HOT_KEYS of all segments is dealt out by windows, with
+    the few other anchors that fall into it.
+    """
 
     def run(batches):
+        count = np.zeros(ANCHOR_CLASSES, np.int64)
         for batch in batches:
             body, offsets = utf8(batch.column("text"))
             for _, _, part, cuts in _pieces(body, offsets):
                 s = Segments(part, cuts)
-                pairs = np.unique(np.stack([s.key, s.digest]), axis=1) if len(s.key) else np.zeros((2, 0), np.uint64)
-                key, n = np.unique(pairs[0], return_counts=True)
-                often = n > 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[often].view(np.int64)), pa.array(n[often], pa.int64())], names=["key", "n"]
-                )
-
-    counts = docs.select("text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    # A segment takes about 39 bytes, so fewer than HOT_KEYS anchors can have as many.
+                if len(s.key):
+                    key = np.unique(np.stack([s.key, s.digest]), axis=1)[0]
+                    count += np.bincount((key & _CLASS).astype(np.int64), minlength=ANCHOR_CLASSES)
+        used = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(count[used])], names=["anchors", "n"])
+
+    counts = docs.select("text").mapInArrow(run, "anchors int, n bigint").groupBy("anchors").agg(F.sum("n").alias("n"))
+    # A segment takes about 39 bytes, so fewer than HOT_KEYS classes can have as many.
     least = max(HOT_LEAST, n_bytes // 20 // HOT_KEYS)
-    hot = counts.where(F.col("n") > least).select("key")
-    return np.sort(np.array([r.key for r in hot.collect()], np.int64).view(np.uint64))
+    hot = np.zeros(ANCHOR_CLASSES, bool)
+    hot[[r.anchors for r in counts.where(F.col("n") > least).select("anchors").collect()]] = True
+    return hot
 
 
 def _post(docs: DataFrame, hot: np.ndarray, buckets: int, chunks: int) -> DataFrame:
@@ -228,9 +241,8 @@ def _post(docs: DataFrame, hot: np.ndarray, buckets: int, chunks: int) -> DataFr
             for first, shift, part, cuts in _pieces(body, offsets):
                 s = Segments(part, cuts)
                 key, digest, row, start, count = s.key, s.digest, s.row, s.start, s.count
-                if len(hot):
-                    at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
-                    split = hot[at] == key
+                split = hot[(key & _CLASS).astype(np.int64)]
+                if split.any():
                     owner, within, k, d = s.windows(np.flatnonzero(split))
                     keep = ~split
                     key, digest = np.concatenate([key[keep], k]), np.concatenate([digest[keep], d])
@@ -275,7 +287,8 @@ def _settle(table: pa.Table, buckets: int, chunks: int) -> pa.Table:
     shared = np.zeros(len(key) + 1, bool)
     shared[1:-1] = key[1:] == key[:-1]
     shared = shared[1:] | shared[:-1]
-    rows += _deal(-1 - ids[shared] % chunks, WANTED, [key[shared], ids[shared], place[shared]])
+    tie, _, _ = _unpacked(place[shared])
+    rows += _deal(_chunk_of(ids[shared], tie, chunks), WANTED, [key[shared], ids[shared], place[shared]])
     return pa.Table.from_batches([_batch(rows)])
 
 
@@ -479,7 +492,8 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     buckets = 1 + total // TASK_BYTES
     chunks = buckets | 1
     hot = _hot_anchors(rows, total)
-    placed = rows.withColumn("chunk", (-1 - F.pmod("id", F.lit(chunks))).cast("int"))
+    chunk = F.pmod(F.pmod("id", F.lit(chunks)) + F.col("tie"), F.lit(chunks))
+    placed = rows.withColumn("chunk", (-1 - chunk).cast("int"))
 
     def settle(table: pa.Table) -> pa.Table:
         return _settle(table, buckets, chunks)
