@@ -38,8 +38,10 @@ def rolling_mean(
     key, which as a plain window would be one task. Instead every row gets its
     rank, ranks are cut into blocks of ``rows`` (``n`` at least), and the last
     ``n - 1`` rows of a block are copied into the next one. Whole numbers and
-    decimals are summed by running totals, whatever ``n`` is; floating point
-    values, which those would blur, by Spark's sliding frame.
+    decimals are summed by running totals. Floating point values, which
+    differences of totals would blur, are only ever added: ranks are cut into
+    runs of ``n``, and a frame is the end of one run and the beginning of the
+    next. The work for a row does not depend on ``n`` either way.
     """
     ranked = _ranked(df, order)
     size = F.lit(max(n, rows)).cast("bigint")
@@ -59,7 +61,17 @@ def rolling_mean(
         total = total.cast(kind) if isinstance(kind, T.DoubleType) else total
         mean = F.when(count > 0, total / count).cast(kind)
     else:
-        mean = F.avg(value).over(within.rowsBetween(1 - n, 0))
+        dealt = dealt.repartition("__block").withColumn("__run", F.call_function("div", F.col("__rank"), F.lit(n)))
+        number = F.col(value).cast("double")
+        for name, order_in_run in (("head", F.asc("__rank")), ("tail", F.desc("__rank"))):
+            so_far = Window.partitionBy("__block", "__run").orderBy(order_in_run).rowsBetween(Window.unboundedPreceding, 0)
+            dealt = dealt.withColumns({f"__{name}": F.sum(number).over(so_far), f"__{name}_n": F.count(value).over(so_far)})
+        # A frame that ends with its run needs nothing of the run before.
+        whole = F.col("__rank") % n == n - 1
+        before = lambda c: F.when(whole, F.lit(0)).otherwise(F.coalesce(F.lag(c, n - 1).over(within), F.lit(0)))
+        count = F.col("__head_n") + before("__tail_n")
+        total = F.coalesce("__head", F.lit(0.0)) + before("__tail")
+        mean = F.when(count > 0, total / count).cast(kind)
     return dealt.withColumn(out, mean).where(F.col("__copy") == 0).select(*df.columns, out)
 
 

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -196,6 +197,24 @@ def test_rolling_mean_matches_brute_force(spark, size, n, rows, kind):
     assert got == want
 
 
+@pytest.mark.parametrize("n,rows", [(1, 4), (3, 10), (7, 5), (50, 64), (2000, 300)])
+def test_rolling_mean_of_doubles_only_adds(spark, n, rows):
+    """Large values beside small ones, nulls and infinities: a frame without them is as if they had never been."""
+    rng = random.Random(n)
+    values = [rng.choice([None, rng.uniform(-1, 1), rng.uniform(-1e15, 1e15)]) for _ in range(300)]
+    values[120] = float("inf")
+    df = spark.createDataFrame(list(enumerate(values)), "period long, total double")
+    got = {r.period: r.rolling_mean for r in reports.rolling_mean(df, "period", "total", n, rows=rows).collect()}
+    for k in range(300):
+        held = [v for v in values[max(0, k - n + 1) : k + 1] if v is not None]
+        if not held:
+            assert got[k] is None
+        elif float("inf") in held:
+            assert got[k] == float("inf")
+        else:
+            assert abs(got[k] - math.fsum(held) / len(held)) <= 1e-12 * sum(map(abs, held)) / len(held)
+
+
 def test_expense_reports(spark, tmp_path):
     from decimal import Decimal
 
