@@ -30,6 +30,7 @@ from ..sources.bronze import ENVELOPE, bronze_digests, write_bronze
 from ..sources.fetches import index_fetches, known_fetches
 from ..sources.landed import read_landed
 from ..sources.manifest import append_manifest, manifest_rows, new_run_id, read_manifest
+from ..sources.shared import stored
 from .costs import THRESHOLD_USD, CostCheckTripped, check_cost, project_cost
 from .schedule import require_days, schedule_games
 from .worklists import (
@@ -120,11 +121,11 @@ def write_family(load: Load, bodies: DataFrame, family: str, batch: str) -> tupl
     if rejected:
         rejects = judged.where(F.col("reason").isNotNull())
         rejects.write.mode("overwrite").parquet(f"{load.paths.rejects(family)}/{batch}.parquet")
-    stored = load.spark.read.schema(ENVELOPE).parquet(written.key)
+    kept = load.spark.read.schema(ENVELOPE).parquet(written.key)
     # Before the log: a fetch counts as known only once its unit is logged.
-    fetches = stored.select(scope_of(family).alias("scope_key"), "fetched_at_utc", F.col("response_sha256").alias("digest"))
+    fetches = kept.select(scope_of(family).alias("scope_key"), "fetched_at_utc", F.col("response_sha256").alias("digest"))
     index_fetches(load.spark, load.base, family, fetches, batch, _stored_fetches(load, family, batch))
-    return manifest_rows(stored, load.run_id, scope_of(family), written.compression), rejected
+    return manifest_rows(kept, load.run_id, scope_of(family), written.compression), rejected
 
 
 def not_loaded(load: Load, bodies: DataFrame, family: str, batch: str) -> DataFrame:
@@ -136,11 +137,11 @@ def not_loaded(load: Load, bodies: DataFrame, family: str, batch: str) -> DataFr
     What this very batch wrote before a crash does not count: it is replaced.
     """
     logged = load.manifest().where((F.col("endpoint") == E.TEMPLATES[family]) & (F.col("status") == "ok"))
-    stored = known_fetches(load.spark, load.base, family, bodies, batch)
-    if stored is None:
-        stored = _stored_fetches(load, family, batch).drop("batch")
-    stored = stored.withColumnRenamed("digest", "__digest")
-    known = stored.join(logged.select("scope_key").distinct(), "scope_key", "left_semi")
+    fetches = known_fetches(load.spark, load.base, family, bodies, batch)
+    if fetches is None:
+        fetches = _stored_fetches(load, family, batch).drop("batch")
+    fetches = fetches.withColumnRenamed("digest", "__digest")
+    known = fetches.join(logged.select("scope_key").distinct(), "scope_key", "left_semi")
     digested = bodies.withColumn("__digest", F.sha2("response_json", 256))
     return digested.join(known, ["scope_key", "fetched_at_utc", "__digest"], "left_anti").select(*bodies.columns)
 
@@ -195,16 +196,20 @@ def run_phase(load: Load, phase: str, units: DataFrame) -> PhaseResult:
 
 
 def _scheduled(load: Load, days: DataFrame) -> DataFrame:
-    """All games that the latest saved week of each day lists for that day."""
+    """All games that the latest saved week of each day lists for that day.
+
+    The weeks are judged once and stored, and so are the games, which a load
+    counts and then filters.
+    """
     weeks = load.landed(E.SCHEDULE).join(days.select("scope_key"), "scope_key", "left_semi")
     latest = latest_by(found(weeks), ["scope_key"], "fetched_at_utc", [F.sha2("response_json", 256)])
     day = F.to_date("scope_key")
-    judged = with_reason(latest, E.SCHEDULE)
+    judged = stored(with_reason(latest, E.SCHEDULE), "weeks")
     bad = judged.where(F.col("reason").isNotNull()).select("scope_key", "reason").take(5)
     if bad:
         raise RejectedBodies(f"schedule rejected: {[(r.scope_key, r.reason) for r in bad]}")
-    require_days(latest, day)
-    return schedule_games(latest, day, states=None, keep=["scope_key"])
+    require_days(judged, day)
+    return stored(schedule_games(judged, day, states=None, keep=["scope_key"]), "games")
 
 
 def _eligible(games: DataFrame) -> DataFrame:
