@@ -35,7 +35,7 @@ _PER_WINDOW = WINDOW - GRAM + 1
 TASK_BYTES = 4 << 20  # text, or text behind the postings, that one task holds, about
 HOT_LEAST = 4096  # different segments of an anchor class before it may be dealt out by windows
 HOT_KEYS = 1 << 16  # anchor classes dealt out by windows, at most
-ANCHOR_CLASSES = 1 << 18  # anchors are counted by so many classes of their hashes
+ANCHOR_CLASSES = 1 << 17  # anchors are counted by so many classes of their hashes
 _CLASS = np.uint64(ANCHOR_CLASSES - 1)
 _NO_ID = np.iinfo(np.int64).max
 _START_BITS, _COUNT_BITS = 40, 8
@@ -218,8 +218,8 @@ def _hot_anchors(docs: DataFrame, n_bytes: int) -> np.ndarray:
             for _, _, part, cuts in _pieces(body, offsets):
                 s = Segments(part, cuts)
                 if len(s.key):
-                    key = np.unique(np.stack([s.key, s.digest]), axis=1)[0]
-                    count += np.bincount((key & _CLASS).astype(np.int64), minlength=ANCHOR_CLASSES)
+                    _, first = np.unique(mix(s.key * _C1 ^ s.digest), return_index=True)
+                    count += np.bincount((s.key[first] & _CLASS).astype(np.int64), minlength=ANCHOR_CLASSES)
         used = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(count[used])], names=["anchors", "n"])
 
