@@ -348,13 +348,14 @@ def equal_windows(texts: list[np.ndarray] | np.ndarray, sizes: np.ndarray, lengt
     real[ends] = False
     symbols[real] = texts.astype(np.int64) + 1  # 0 closes each text
     n = len(symbols)
-    # Suffixes by their first symbols, seven at once and then doubling.
+    # Suffixes by their first symbols, seven at once and then doubling. Suffixes that agree in
+    # ``length`` symbols may lie in any order: no interval that is looked at parts them.
     wide = np.concatenate([symbols, np.zeros(8, np.int64)])
     rank = np.zeros(n, np.int64)
     for k in range(7):
         rank = rank * 257 + wide[k : k + n]
     depth = 7
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     while True:
         ordered = rank[order]
         step = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
@@ -364,12 +365,12 @@ def equal_windows(texts: list[np.ndarray] | np.ndarray, sizes: np.ndarray, lengt
             break
         later = np.concatenate([rank[depth:] + 1, np.zeros(min(depth, n), np.int64)])[:n]
         rank = rank * (n + 1) + later
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)
         depth *= 2
     # The transform, and where each symbol of it goes one place to the left.
     last = symbols[order - 1]
     back = np.empty(n, np.int64)
-    back[np.argsort(last, kind="stable")] = np.arange(n)
+    back[np.argsort(last.astype(np.int16), kind="stable")] = np.arange(n)
     marked = np.zeros(n + 1, bool)
     marked[[0, n]] = True
     left, right = np.array([0]), np.array([n])
