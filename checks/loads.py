@@ -196,7 +196,9 @@ def _calendar_games(spark: SparkSession, sf: str) -> DataFrame:
     day = F.add_months(F.to_date("o_orderdate"), 22 * 12)
     rows = table(spark, sf, "orders").select(day.alias("day"), (F.col("o_custkey") % 8).alias("slot")).distinct()
     start = F.year("day") - F.when(F.month("day") >= 9, 0).otherwise(1)
-    g = start.cast("bigint") * 1_000_000 + F.dayofyear("day") * 8 + F.col("slot")
+    # The months up to August count on from December: Aug 31 and Sep 1 may be the same day of their years.
+    number = F.dayofyear("day") + F.when(F.month("day") >= 9, 0).otherwise(400)
+    g = start.cast("bigint") * 1_000_000 + number * 8 + F.col("slot")
     return rows.select("day", g.alias("g"), cal.season_id(start).alias("s"))
 
 
@@ -228,7 +230,7 @@ units AS (SELECT s || '|' || team AS scope_key, ascii(substr(team, 2, 1)) % 4 <>
   FROM seasons JOIN teams ON y >= from_year AND (to_year IS NULL OR y < to_year)),
 days AS (SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) + INTERVAL 22 YEAR AS DATE) AS day, o_custkey % 8 AS slot FROM orders),
 placed AS (SELECT *, year(day) - CASE WHEN month(day) >= 9 THEN 0 ELSE 1 END AS start FROM days),
-games AS (SELECT CAST(start AS BIGINT) * 1000000 + dayofyear(day) * 8 + slot AS g FROM placed JOIN years ON start = y
+games AS (SELECT CAST(start AS BIGINT) * 1000000 + (dayofyear(day) + CASE WHEN month(day) >= 9 THEN 0 ELSE 400 END) * 8 + slot AS g FROM placed JOIN years ON start = y
   WHERE month(day) NOT IN (7, 8)),
 finished AS (SELECT g FROM games WHERE g % 5 <> 0),
 counted AS (SELECT 'team-season' AS phase, count(*) AS attempted, count(*) FILTER (WHERE roster) AS loaded, 0 AS rejected FROM units
