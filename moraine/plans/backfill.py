@@ -30,7 +30,7 @@ from ..sources.bronze import ENVELOPE, bronze_digests, write_bronze
 from ..sources.fetches import index_fetches, known_fetches
 from ..sources.landed import read_landed
 from ..sources.manifest import append_manifest, manifest_rows, new_run_id, read_manifest
-from ..sources.shared import stored
+from ..sources.shared import remove_table, stored
 from .costs import THRESHOLD_USD, CostCheckTripped, check_cost, project_cost
 from .schedule import require_days, schedule_games
 from .worklists import (
@@ -107,13 +107,15 @@ class Load:
 def write_family(load: Load, bodies: DataFrame, family: str, batch: str) -> tuple[DataFrame, int]:
     """Judge responses, write the valid ones; returns (manifest rows, rejects).
 
-    Rejects never reach bronze. Their number is taken from the write itself;
-    only if there are any does a second pass save them with their reasons.
+    Rejects never reach bronze. Responses are judged once: they are written
+    with their reasons, from which bronze and the rejects are taken.
     """
-    judged = with_reason(found(bodies), family)
     seen = Observation()
-    counted = judged.observe(seen, F.count("reason").alias("rejected"))
-    valid = counted.where(F.col("reason").isNull())
+    counted = with_reason(found(bodies), family).observe(seen, F.count("reason").alias("rejected"))
+    judged_path = f"{load.base.rstrip('/')}/_judged/{batch}/{family}"
+    counted.write.mode("overwrite").option("compression", "zstd").parquet(judged_path)
+    judged = load.spark.read.schema(counted.schema).parquet(judged_path)
+    valid = judged.where(F.col("reason").isNull())
     written = write_bronze(
         envelopes(valid, family), load.base, family, load.ingest_date, batch, allow_empty=True
     )
@@ -121,6 +123,7 @@ def write_family(load: Load, bodies: DataFrame, family: str, batch: str) -> tupl
     if rejected:
         rejects = judged.where(F.col("reason").isNotNull())
         rejects.write.mode("overwrite").parquet(f"{load.paths.rejects(family)}/{batch}.parquet")
+    remove_table(load.spark, judged_path)
     kept = load.spark.read.schema(ENVELOPE).parquet(written.key)
     # Before the log: a fetch counts as known only once its unit is logged.
     fetches = kept.select(scope_of(family).alias("scope_key"), "fetched_at_utc", F.col("response_sha256").alias("digest"))
@@ -128,16 +131,19 @@ def write_family(load: Load, bodies: DataFrame, family: str, batch: str) -> tupl
     return manifest_rows(kept, load.run_id, scope_of(family), written.compression), rejected
 
 
-def not_loaded(load: Load, bodies: DataFrame, family: str, batch: str) -> DataFrame:
+def not_loaded(load: Load, bodies: DataFrame, family: str, batch: str, units: DataFrame | None = None) -> DataFrame:
     """Bodies without the very fetches that an earlier load has stored and logged.
 
     Stored fetches are looked up in the family's index, of which only the years
-    of these bodies' units are opened. A lake without one is read once in full.
+    of these bodies' units are opened; ``units`` are those of the bodies, if
+    they are known. A lake without one is read once in full.
     A body that comes back in a later fetch is new: it is the latest again.
     What this very batch wrote before a crash does not count: it is replaced.
     """
     logged = load.manifest().where((F.col("endpoint") == E.TEMPLATES[family]) & (F.col("status") == "ok"))
-    fetches = known_fetches(load.spark, load.base, family, bodies, batch)
+    if logged.isEmpty():
+        return bodies
+    fetches = known_fetches(load.spark, load.base, family, bodies if units is None else units, batch)
     if fetches is None:
         fetches = _stored_fetches(load, family, batch).drop("batch")
     fetches = fetches.withColumnRenamed("digest", "__digest")
@@ -176,7 +182,7 @@ def run_phase(load: Load, phase: str, units: DataFrame) -> PhaseResult:
     logs, rejects, rejected = [], [], 0
     for family in families:
         arrived = load.landed(family).join(pending, "scope_key", "left_semi")
-        log, bad = write_family(load, not_loaded(load, arrived, family, batch), family, batch)
+        log, bad = write_family(load, not_loaded(load, arrived, family, batch, pending), family, batch)
         logs.append(log)
         rejected += bad
         if bad:
@@ -185,7 +191,8 @@ def run_phase(load: Load, phase: str, units: DataFrame) -> PhaseResult:
         raise RejectedBodies(f"{rejected} responses rejected in phase {phase}, run {load.run_id}")
     logged = union_facts(*logs)
     appended = append_manifest(logged, load.paths.manifest, load.manifest_format, batch=batch)
-    done = logged.select("scope_key").distinct()
+    # What was just written, rather than bronze's bodies again.
+    done = read_manifest(load.spark, f"{load.paths.manifest}/{batch}", load.manifest_format).select("scope_key").distinct()
     loaded = done.count()
     refused = 0
     if rejects:

@@ -1,12 +1,15 @@
 """Work and bytes that must not grow with how often a step reads its input."""
 
+import json
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from checks import models, packed
 from moraine.functions.text import digest_bytes
+from moraine.operators.bodies import with_reason
 from moraine.operators.dedup import latest_by
+from moraine.plans import backfill as bf
 from moraine.plans.staging import stg_landing
 from moraine.sources import endpoints as E
 
@@ -62,3 +65,40 @@ def test_digests_travel_as_bytes_and_break_ties_as_their_text_does(spark):
     )
     plan = stg_landing(bronze)._jdf.queryExecution().optimizedPlan().toString()
     assert "unhex" in plan and stg_landing(bronze).count() == 1
+
+
+def test_a_filter_on_the_reason_copies_no_checks(spark):
+    rows = b.landed(spark, [(GAME, b.landing(GAME))])
+    valid = with_reason(rows, E.LANDING).where(F.col("reason").isNull())
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("missing:gameState") == 1
+    assert valid.count() == 1
+
+
+def load_of(spark, path, run):
+    return bf.Load(spark, str(path / "landing"), str(path / "lake"), run, date(2026, 5, 12))
+
+
+def test_responses_are_judged_once_though_some_are_rejected(spark, tmp_path, monkeypatch):
+    judged = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def seen(_):
+        judged.add(1)
+        return True
+
+    monkeypatch.setattr(bf, "with_reason", lambda df, family: with_reason(df.where(seen("scope_key")), family))
+    good, bad = (GAME, b.landing(GAME)), (GAME + 1, json.dumps(b.landing(GAME + 1))[:-5])
+    load = load_of(spark, tmp_path, "run")
+    log, rejected = bf.write_family(load, b.landed(spark, [good, bad]), E.LANDING, "batch")
+    assert rejected == 1 and [r.scope_key for r in log.collect()] == [str(GAME)]
+    saved = spark.read.parquet(f"{load.paths.rejects(E.LANDING)}/batch.parquet").collect()
+    assert [(r.scope_key, r.reason) for r in saved] == [(str(GAME + 1), "malformed_json")]
+    assert judged.value == 2
+    assert not list((tmp_path / "lake" / "_judged").rglob("*.parquet"))
+
+
+def test_a_first_load_looks_up_no_earlier_fetches(spark, tmp_path):
+    bodies = b.landed(spark, [(GAME, b.landing(GAME))])
+    load = load_of(spark, tmp_path, "run")
+    assert bf.not_loaded(load, bodies, E.LANDING, "batch") is bodies
