@@ -23,7 +23,7 @@ from moraine.plans.worklists import team_season_units
 from moraine.sources import endpoints as E
 from moraine.sources.bronze import read_bronze, write_bronze
 from moraine.sources.manifest import read_manifest
-from moraine.sources.shared import shared_folder
+from moraine.sources.shared import shared_folder, stored
 from moraine.sources.tables import read_expenses, read_seed
 from moraine.streaming.ingest import ingest_stream
 
@@ -63,10 +63,11 @@ FAMILY_BODIES = {
 
 
 def _games(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored, as every lot, family and list of units is made from them."""
     y = F.year("o_orderdate").cast("bigint")
     games = spread(table(spark, sf, "orders")).select((y * 1_000_000 + F.col("o_orderkey") % 1_000_000).alias("g"), y.alias("y")).distinct()
     day = F.make_date(F.col("y").cast("int"), (F.col("g") % 12 + 1).cast("int"), (F.col("g") % 28 + 1).cast("int"))
-    return games.select("g", cal.season_id(F.col("y")).alias("s"), day.alias("day"))
+    return stored(games.select("g", cal.season_id(F.col("y")).alias("s"), day.alias("day")), "games")
 
 
 def _arrivals(games: DataFrame, lot: int) -> DataFrame:
