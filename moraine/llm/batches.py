@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE = 1 << 22
+PIECE = 1 << 19  # bytes whose words and hashes a task holds at once; several times as much memory
 LONG_SPAN = 64
 
 

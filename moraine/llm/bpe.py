@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
 
-from .batches import SLICE, slices, span_hashes, utf8
+from .batches import PIECE, slices, span_hashes, utf8
 
 # Symbols.
 LETTER, NUMBER, OTHER, SHORT, LONG, SPACE_RUN, SPACE_LAST, BLANK_LAST, END = range(9)
@@ -153,7 +153,7 @@ class Ranks:
         keys = (np.array(left, np.int64) << 20) | np.array(right, np.int64)
         self._table(keys, np.array(made, np.int64))
 
-    def _table(self, keys: np.ndarray, made: np.ndarray, bits: int = 22) -> None:
+    def _table(self, keys: np.ndarray, made: np.ndarray, bits: int = 20) -> None:
         """One probe for most pairs; pairs whose slot is taken stay in a sorted rest."""
         self.shift = np.uint64(64 - bits)
         self.keys = np.full(1 << bits, -1, np.int64)
@@ -340,7 +340,7 @@ def _text_slices(batch: pa.RecordBatch, column: str):
     """(rows, texts) of a batch, in slices."""
     strings = batch.column(column).cast(pa.large_string())
     _, offsets = utf8(strings)
-    for a, b in slices(offsets, SLICE // 2):
+    for a, b in slices(offsets, PIECE):
         yield slice(a, b), [t or "" for t in strings.slice(a, b - a).to_pylist()]
 
 

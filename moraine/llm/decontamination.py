@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
 from moraine.sources.shared import stored
 
-from .batches import LOWER, NOT_SPACE, mix, slices, span_hashes, utf8, word_spans
+from .batches import LOWER, NOT_SPACE, PIECE, mix, slices, span_hashes, utf8, word_spans
 
 SHINGLE = 5
 SIMILARITY = 0.75
@@ -321,7 +321,7 @@ def _scan(index: Index, least: float, match: StructType, last: bool):
     def run(batches):
         for batch in batches:
             body, offsets = utf8(batch.column("text"))
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, PIECE):
                 found: list[list] = [[] for _ in range(b - a)]
                 for text, item, start, score in index.matches(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], least):
                     found[text].append(

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from moraine.sources.shared import stored
 
-from .batches import LOWER, NOT_SPACE, mix, slices, span_hashes, utf8, word_spans
+from .batches import LOWER, NOT_SPACE, PIECE, mix, slices, span_hashes, utf8, word_spans
 from .graph import components
 
 SHINGLE = 5
@@ -60,11 +60,14 @@ def text_sets(column: pa.Array):
     """(first row, sets) for slices of a column of texts."""
     body, offsets = utf8(column)
     for a, b in slices(offsets):
-        lower = LOWER[body[offsets[a] : offsets[b]]]
-        starts, ends, row = word_spans(lower, offsets[a : b + 1] - offsets[a], NOT_SPACE)
-        words = span_hashes(lower, starts, ends)
-        cuts = np.searchsorted(row, np.arange(b - a + 1)).tolist()
-        yield a, [shingle_hashes(words[c:d]) for c, d in zip(cuts[:-1], cuts[1:])]
+        own, sets = offsets[a : b + 1], []
+        for first, last in slices(own, PIECE):
+            lower = LOWER[body[own[first] : own[last]]]
+            starts, ends, row = word_spans(lower, own[first : last + 1] - own[first], NOT_SPACE)
+            words = span_hashes(lower, starts, ends)
+            cuts = np.searchsorted(row, np.arange(last - first + 1)).tolist()
+            sets += [shingle_hashes(words[c:d]) for c, d in zip(cuts[:-1], cuts[1:])]
+        yield a, sets
 
 
 def _digest(s: np.ndarray) -> tuple[int, int, int]:

@@ -23,7 +23,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StructType
 
 from moraine.sources.shared import stored
 
-from .batches import LOWER, slices, span_hashes, utf8, word_spans
+from .batches import LOWER, PIECE, slices, span_hashes, utf8, word_spans
 
 MAX_ROWS = 20_000  # labelled rows the classifier is fitted on, at most
 MAX_STEMS = 256  # stems that may vote
@@ -31,6 +31,7 @@ LEAST_GAIN = 6.0  # log likelihood ratio from which a stem may vote
 MIN_ROWS = 4  # labelled rows a stem must occur in
 THRESHOLD = 0.3
 SEED = 11
+HELD = 1 << 19  # counts of stems that a task holds before it sums them up
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(128, 256)]] = True
@@ -62,6 +63,23 @@ def _features(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(rows), np.concatenate(hashes), np.concatenate(words)
 
 
+def _stem_counts(body: np.ndarray, offsets: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """(stem, rows, toxic rows) of each distinct stem of a slice of texts, as columns."""
+    rows, hashes, _ = _features(body, offsets)
+    order = np.lexsort((hashes, rows))
+    rows, hashes = rows[order], hashes[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
+    return _summed(np.stack([hashes[new].view(np.int64), np.ones(int(new.sum()), np.int64), toxic[rows[new]].astype(np.int64)]))
+
+
+def _summed(counts: np.ndarray) -> np.ndarray:
+    """One column for each distinct stem, its numbers added up."""
+    counts = counts[:, np.argsort(counts[0])]
+    first = np.flatnonzero(np.append(True, counts[0, 1:] != counts[0, :-1])) if counts.shape[1] else np.zeros(0, int)
+    return np.vstack([counts[:1, first], np.add.reduceat(counts[1:], first, axis=1)]) if len(first) else counts
+
+
 def _word_hash(word: str) -> int:
     body = np.frombuffer(word.encode(), np.uint8)
     return int(span_hashes(body, np.array([0]), np.array([len(body)]))[0] ^ np.uint64(0x5851F42D4C957F2D))
@@ -279,21 +297,19 @@ def train(
     )
 
     def stems_of(batches):
+        held = np.zeros((3, 0), np.int64)
         for batch in batches:
             body, offsets = utf8(batch.column("text"))
             toxic = np.asarray(batch.column("toxic"))
-            for a, b in slices(offsets):
-                rows, hashes, _ = _features(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                order = np.lexsort((hashes, rows))
-                rows, hashes = rows[order], hashes[order]
-                new = np.ones(len(rows), bool)
-                new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
-                distinct, at, count = np.unique(hashes[new], return_inverse=True, return_counts=True)
-                bad = np.bincount(at, toxic[a:b][rows[new]], len(distinct))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(distinct.view(np.int64)), pa.array(count), pa.array(bad.astype(np.int64))],
-                    names=["stem", "n", "bad"],
-                )
+            for a, b in slices(offsets, PIECE):
+                found = _stem_counts(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], toxic[a:b])
+                held = np.hstack([held, found])
+                if held.shape[1] >= HELD:
+                    held = _summed(held)
+                    if held.shape[1] >= HELD // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=["stem", "n", "bad"])
+                        held = held[:, :0]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in _summed(held)], names=["stem", "n", "bad"])
 
     n_rows, n_bad = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < n_bad < n_rows:
@@ -322,7 +338,7 @@ def train(
     def votes_of(batches):
         for batch in batches:
             body, offsets = utf8(batch.column("text"))
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, PIECE):
                 row, voter = voters(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 cuts = np.searchsorted(row, np.arange(b - a + 1))
                 lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(voter, pa.int32()))
@@ -354,11 +370,13 @@ def score(
     teach nothing. Equal texts have equal scores.
     """
     model = train(docs, labels, doc_id, text, max_rows)
+    columns = carry or docs.columns
+    inside = text in columns  # then the text is not sent a second time
 
     def run(batches):
         for batch in batches:
-            body, offsets = utf8(batch.column("text"))
-            for a, b in slices(offsets):
+            body, offsets = utf8(batch.column("doc").field(text) if inside else batch.column("text"))
+            for a, b in slices(offsets, PIECE):
                 scores = model.score(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc")[a:b], batch.column("held_out")[a:b], pa.array(scores)],
@@ -366,9 +384,9 @@ def score(
                 )
 
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("doc"),
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
         held_out(F.col(doc_id)).alias("held_out"),
-        F.col(text).alias("text"),
+        *([] if inside else [F.col(text).alias("text")]),
     )
     schema = StructType().add("doc", rows.schema["doc"].dataType).add("held_out", BooleanType()).add("score", DoubleType())
     return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
