@@ -11,8 +11,8 @@ hash range, and classes meet in the groups of shingles they share:
   fewer than that many), so hot groups need not be paired at all.
 * The few classes left, made of hot shingles mostly, post all their shingles
   among themselves. Those that are still hot after that are clusters of near
-  copies: each hot group is compared with its least edited class, and pairs are
-  compared only where that leaves them in doubt: in different components, near
+  copies: each hot group is compared with its least edited class of about the
+  same size, and pairs are compared only where that leaves them in doubt: in different components, near
   enough by the triangle inequality of the Jaccard distance, and similar enough
   if they share all hot shingles of the poorer one (pairs that share others have
   met in a small group).
@@ -363,10 +363,12 @@ def _dense_links(dense: DataFrame, met: DataFrame, sets: DataFrame, links: DataF
     # if this shingle is the first that it shares.
     groups = own.select("cls", "n", "hot", F.posexplode(F.slice("tokens", 1, lacking)).alias("place", "token"))
     groups = groups.withColumn("left", F.col("hot") - F.col("place"))
+    # Classes that can link are of one band of sizes or of neighbours, so each band of a group has a leader.
+    groups = groups.withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))))
     # The class with the largest share of hot shingles is the least edited: the others are likest to it.
     least_edited = F.max(F.struct((F.col("hot") / F.col("n")).alias("share"), "cls", "n", "left")).alias("leader")
     groups = stored(groups, "groups")
-    groups = groups.join(groups.groupBy("token").agg(least_edited), "token")
+    groups = groups.join(groups.groupBy("token", "band").agg(least_edited), ["token", "band"])
     groups = stored(groups.select("token", "cls", "n", "left", *[F.col(f"leader.{c}").alias(f"leader_{c}") for c in ("cls", "n", "left")]), "led")
     # Pairs that share other shingles met in small groups; here they can share hot ones at most.
     star = groups.where("cls != leader_cls").where(_may_link("left", "leader_left", "n", "leader_n"))
@@ -387,7 +389,7 @@ def _dense_links(dense: DataFrame, met: DataFrame, sets: DataFrame, links: DataF
         groups.join(near, ["leader_cls", "cls"], "left")
         .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
         .select(
-            "token", "cls", "n", "left",
+            "token", "cls", "n", "left", "leader_cls",
             F.coalesce("root", "cls").alias("root"),
             F.coalesce("far", F.lit(0.0)).alias("far"),
             F.coalesce("exact", leads).alias("exact"),
@@ -401,7 +403,7 @@ def _dense_links(dense: DataFrame, met: DataFrame, sets: DataFrame, links: DataF
         (F.col("x.root") < F.col("y.root"))
         & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * PERCENT)
         & _may_link("x.left", "y.left", "x.n", "y.n")
-        & ~F.expr(apart)
+        & ~((F.col("x.leader_cls") == F.col("y.leader_cls")) & F.expr(apart))
     )
     pairs = open_pairs.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
     return links.unionAll(linked(verify(pairs, sets)))
