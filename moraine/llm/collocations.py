@@ -8,8 +8,9 @@ level, from two words up:
    the last and without the first word, are accepted phrases of the level
    below, and that are seen often enough: no frequent phrase is missing.
 2. They are built into double-array tries of bounded size and broadcast. A task
-   moves the states of all its positions one symbol further at a time, counts
-   the accepting states with one bincount, and the tasks' counts are summed.
+   moves the states of all its positions one digit of a word's number further at
+   a time, counts the accepting states with one bincount, and the tasks' counts
+   are summed.
    The same walk gives the extensions that the next level's candidates are
    taken from.
 
@@ -38,10 +39,14 @@ TOP = 2000  # phrases reported for each language
 COVERED = (80, 100)  # share of a phrase inside a longer one from which it is dropped
 VOCABULARY = 1 << 20  # words of one broadcast vocabulary; more words take more passes
 TRIE = 1 << 19  # phrases of one broadcast trie; more phrases take more passes
+DIGIT = 6  # bits of a word's number that one step in a trie takes
+WIDE = 8  # children of a state from which its cells are not shared out at random
+ROUNDS = 16  # random places tried for the children of a state
 SLICE = 1 << 20  # bytes of text numbered at once, about
 ROW = 1 << 9  # numbers in one row, about; rows end where a piece does
 HELD = 2 << 20  # bytes of numbers walked at once, about
 SUMS = 1 << 20  # keys that a task sums before it sends them on
+SENT = 1 << 17  # keys packed at once; several times as much memory
 
 # Ends of pieces become full stops, which no word holds; tabs part words like spaces.
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -126,6 +131,7 @@ def _numbers(docs: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "text", "ids"])
 
         rows = stored(rows.mapInArrow(run, "lang string, text binary, ids binary"), "numbers")
+        sent.destroy()
     return rows.select("ids")
 
 
@@ -147,89 +153,107 @@ def _held(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 class Trie:
-    """Double-array trie over numbers: from state s, symbol c leads to base[s] + c if check there is s.
+    """Double-array trie over digits of numbers: from state s, digit d leads to base[s] + d if check there is s.
 
-    The first ``n_words`` cells are the children of the root, so a word's
-    number is its state. ``phrases`` is an array of one phrase of equal length
-    a row, distinct and sorted.
+    A word is ``digits`` digits of ``DIGIT`` bits, so the children of a state
+    lie close together however many words there are, and an edge takes a few
+    cells at most. The first cells are the children of the root: a phrase's
+    first word is its state. ``phrases`` is an array of one phrase of equal
+    length a row, distinct and sorted; the base of a phrase's last state is its row.
     """
 
     def __init__(self, phrases: np.ndarray, n_words: int):
-        n, depth = phrases.shape
-        self.depth = depth
-        state = phrases[:, 0].astype(np.int64)
-        size = max(n_words, 1)
-        base = np.zeros(size, np.int64)
-        check = np.full(size, -1, np.int64)
-        for level in range(1, depth):
-            edge = np.ones(n, bool)
-            edge[1:] = (state[1:] != state[:-1]) | (phrases[1:, level] != phrases[:-1, level])
-            at = np.flatnonzero(edge)
-            parent, symbol = state[at], phrases[at, level].astype(np.int64)
-            base, check, child = _placed(base, check, parent, symbol)
-            state = child[np.cumsum(edge) - 1]
-        self.base, self.check = base.astype(np.int32), check.astype(np.int32)
+        n, self.depth = phrases.shape
+        self.digits = max(1, -(-int(phrases[:, 1:].max(initial=0)).bit_length() // DIGIT))
+        # With a digit's cells in front and behind, no step leaves the arrays.
+        state, start = phrases[:, 0].astype(np.int64), max(n_words, 1 << DIGIT)
+        bases, checks, above = [np.zeros(start, np.int32)], [np.full(start, -1, np.int32)], 0
+        for level in range(1, self.depth):
+            for digit in reversed(range(self.digits)):
+                symbol = phrases[:, level] >> (DIGIT * digit) & (1 << DIGIT) - 1
+                edge = np.ones(n, bool)
+                edge[1:] = (state[1:] != state[:-1]) | (symbol[1:] != symbol[:-1])
+                parent, symbol = state[edge], symbol[edge]
+                cell, size = _placed(parent, symbol)
+                bases[-1][parent - above] = start + cell - symbol
+                bases.append(np.zeros(size, np.int32)), checks.append(np.full(size, -1, np.int32))
+                checks[-1][cell] = parent
+                state = (start + cell)[np.cumsum(edge) - 1]
+                above, start = start, start + size
+        bases[-1][state - above] = np.arange(n)
+        self.base = np.concatenate(bases)
+        self.check = np.concatenate([*checks, np.full(1 << DIGIT, -1, np.int32)])
         self.accepting = state
 
-    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """The next state of every position, -1 where there is none."""
-        live = (state >= 0) & (symbol >= 0)
-        to = np.where(live, self.base[np.maximum(state, 0)] + symbol, -1)
-        live &= (to >= 0) & (to < len(self.check))
-        to = np.where(live, to, 0)
-        return np.where(live & (self.check[to] == state), to, -1)
-
-    def states(self, symbols: np.ndarray) -> np.ndarray:
-        """The state of each position after ``depth`` symbols from there on."""
-        state = symbols.copy()
-        ahead = symbols
-        for _ in range(1, self.depth):
-            ahead = np.append(ahead[1:], np.int32(-1))
-            state = self.step(state, ahead)
-        return state
-
-
-def _placed(base, check, parent, symbol):
-    """Cells for the children of each parent: (base, check, cell of each edge).
-
-    Parents with several children are placed first, the widest first, where
-    all of their cells are free; the others fill what is left.
+    def states(self, symbols: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
+        """The state of each position after ``depth`` symbols from there on, -1 where there is none.
+
+        ``first`` has the positions' numbers as first words where these are not ``symbols``.
+        """
+        first = symbols if first is None else first
+        at = np.flatnonzero(first >= 0)
+        state = first[at]
+        for k in range(1, self.depth):
+            near = at[: np.searchsorted(at, len(symbols) - k)]
+            symbol = symbols[near + k]
+            live = (symbol >= 0) & (symbol >> DIGIT * self.digits == 0)
+            at, state, symbol = near[live], state[: len(near)][live], symbol[live]
+            for digit in reversed(range(self.digits)):
+                to = self.base[state] + (symbol >> DIGIT * digit & (1 << DIGIT) - 1)
+                live = self.check[to] == state
+                at, state, symbol = at[live], to[live], symbol[live]
+        out = np.full(len(symbols), -1, np.int32)
+        out[at] = state
+        return out
+
+
+def _placed(parent: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, int]:
+    """(cell of each edge, number of cells): no two edges share a cell, and the edges of a parent
+    lie as their symbols do. Edges come by parent and symbol.
+
+    Parents of over ``WIDE`` children lie one behind the other; those of fewer
+    are tried at random places, all at once, and go behind the others if none
+    fits; single children fill what is left. So an edge takes 3 cells, or its
+    share of a digit's, and those that fit nowhere are few.
     """
-    first = np.flatnonzero(np.append(True, parent[1:] != parent[:-1])) if len(parent) else np.zeros(0, np.int64)
+    first = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
     count = np.diff(np.append(first, len(parent)))
-    size = len(check)
-    room = 2 * len(parent) + 64
-    # The children's cells lie behind those of the levels above; a base may be negative.
-    free = np.ones(room + int(symbol.max(initial=0)) + 1, bool)
-    start, child = size, np.zeros(len(parent), np.int64)
-    rng = np.random.default_rng(len(parent))
-    end = 0
-    several = np.flatnonzero(count > 1)
-    for k in several[np.argsort(-count[several], kind="stable")]:
-        own = symbol[first[k] : first[k] + count[k]]
-        offset = own - own[0]
-        tried = rng.integers(0, room, 48)
-        fits = free[np.minimum(tried[:, None] + offset, len(free) - 1)].all(axis=1) & (tried + offset[-1] < len(free))
-        if fits.any():
-            place = int(tried[np.argmax(fits)])
-        else:  # behind all that is taken
-            place = end
-            if place + offset[-1] >= len(free):
-                free = np.append(free, np.ones(len(free) + int(offset[-1]), bool))
-        free[place + offset] = False
-        end = max(end, place + int(offset[-1]) + 1)
-        child[first[k] : first[k] + count[k]] = start + place + offset
-    one = first[count == 1]
-    left = np.flatnonzero(free)
-    if len(left) < len(one):
-        left = np.append(left, np.arange(len(free), len(free) + len(one) - len(left)))
-    child[one] = start + left[: len(one)]
-    total = max(size, int(child.max(initial=-1)) + 1)
-    base = np.append(base, np.zeros(total - size, np.int64))
-    check = np.append(check, np.full(total - size, -1, np.int64))
-    base[parent] = child - symbol
-    check[child] = parent
-    return base, check, child
+    span = symbol[first + count - 1] - symbol[first] + 1
+    offset = symbol - np.repeat(symbol[first], count)
+    place = np.zeros(len(first), np.int64)
+    many = count > WIDE
+    place[many] = np.cumsum(span[many]) - span[many]
+    start = int(span[many].sum())
+    few = (count > 1) & ~many
+    room = 3 * int(count[few].sum()) + 1
+    free = np.ones(start + room + (1 << DIGIT), bool)
+    owner = np.zeros(len(free), np.int32)
+    free[(np.repeat(place, count) + offset)[np.repeat(many, count)]] = False
+    rng, rest = np.random.default_rng(len(parent)), []
+    for least, most in ((WIDE // 2, WIDE), (1, WIDE // 2)):
+        left = np.flatnonzero((count > least) & (count <= most))
+        for _ in range(ROUNDS):
+            if not len(left):
+                break
+            heads = np.cumsum(count[left]) - count[left]
+            who = np.repeat(np.arange(len(left), dtype=np.int32), count[left])
+            tried = start + rng.integers(0, room, len(left))
+            at = tried[who] + offset[first[left][who] + np.arange(len(who)) - heads[who]]
+            fits = np.logical_and.reduceat(free[at], heads)[who]
+            owner[at[fits]] = who[fits]  # of several parents the last has the cell
+            fits = np.logical_and.reduceat(fits & (owner[at] == who), heads)
+            place[left[fits]] = tried[fits]
+            free[at[fits[who]]] = False
+            left = left[~fits]
+        rest.append(left)
+    left = np.concatenate(rest)
+    place[left] = len(free) + np.cumsum(span[left]) - span[left]
+    one = np.flatnonzero(count == 1)
+    gaps = np.flatnonzero(free)[: len(one)]
+    end = len(free) + int(span[left].sum())
+    place[one] = np.append(gaps, np.arange(end, end + len(one) - len(gaps)))
+    cell = np.repeat(place, count) + offset
+    return cell, int(cell.max(initial=-1)) + 1
 
 
 class _Sums:
@@ -251,7 +275,8 @@ class _Sums:
     def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if self.size:
             self._join()
-            yield self.keys[0], self.counts[0]
+            for at in range(0, self.size, SENT):
+                yield self.keys[0][at : at + SENT], self.counts[0][at : at + SENT]
         self.keys, self.counts, self.size = [], [], 0
 
     def _join(self) -> None:
@@ -321,43 +346,52 @@ def _walk(numbers: DataFrame, candidates: DataFrame, n_candidates: int, length:
     """(w1..w4, n): candidates with their counts, and the next level's, which are a word longer."""
     spark = numbers.sparkSession
     blocks = max(1, -(-n_candidates // TRIE))
-    dealt = candidates.withColumn("block", F.pmod(F.xxhash64(*_KEY), F.lit(blocks)))
+    # By order, so that a place in the texts concerns few of the blocks.
+    dealt = numbered(candidates, [F.col(c) for c in _KEY]) if blocks > 1 else candidates.withColumn("nr", F.lit(1))
     out = None
     for block in range(blocks):
-        own = dealt.where(F.col("block") == block).select(*_KEY[:length]).toArrow()  # about TRIE rows
+        own = dealt.where(F.col("nr").between(block * TRIE + 1, (block + 1) * TRIE)).select(*_KEY[:length]).toArrow()  # TRIE rows at most
         phrases = np.stack([np.asarray(own.column(c), dtype=np.int32) for c in _KEY[:length]], axis=1)
         if not len(phrases):
             continue
         phrases = phrases[np.lexsort(phrases.T[::-1])]
-        sent = spark.sparkContext.broadcast((Trie(phrases, n_words), phrases))
+        # Only words of its phrases have a number in the trie.
+        heads, words = np.unique(phrases[:, 0]), np.unique(phrases[:, 1:])
+        within = np.concatenate([np.searchsorted(heads, phrases[:, :1]), np.searchsorted(words, phrases[:, 1:])], axis=1).astype(np.int32)
+        sent = spark.sparkContext.broadcast((Trie(within, len(heads)), phrases, heads, words))
+        del own, phrases, heads, words, within
 
         def run(batches, sent=sent):
-            trie, phrases = sent.value
-            held, sums = np.zeros(len(trie.check), np.int64), _Sums()
+            trie, phrases, heads, words = sent.value
+            held, sums = np.zeros(len(phrases), np.int64), _Sums()
+            head, other = np.full((2, n_words + 1), -1, np.int32)  # the last of each is for what parts the words
+            head[heads], other[words] = np.arange(len(heads)), np.arange(len(words))
 
             def extended():
                 for batch in batches:
                     for x in _held(batch):
-                        state = trie.states(x)
-                        held[:] += np.bincount(state[state >= 0], minlength=len(held))
+                        state = trie.states(other[x], head[x])
+                        at = np.flatnonzero(state >= 0)
+                        phrase = trie.base[state[at]]
+                        held[:] += np.bincount(phrase, minlength=len(held))
                         if last:
                             continue
-                        word = _ahead(x, length)
-                        grows = (state >= 0) & (word >= 0)
+                        word = _ahead(x, length)[at]
+                        grows = word >= 0
                         if blocks == 1:  # else the phrase without its first word may be in another trie
-                            grows &= _ahead(state, 1) >= 0
-                        at = np.flatnonzero(grows)
-                        yield from sums.add((state[at].astype(np.int64) << 32) | word[at])
+                            grows &= _ahead(state, 1)[at] >= 0
+                        yield from sums.add((phrase[grows].astype(np.int64) << 32) | word[grows])
                 yield from sums.rest()
 
-            phrase = np.zeros(len(held), np.int64)
-            phrase[trie.accepting] = np.arange(len(phrases))
             for key, n in extended():
-                yield _dealt([*phrases[phrase[key >> 32]].T, key & 0xFFFFFFFF], n, buckets)
-            met = np.flatnonzero(held[trie.accepting])
-            yield _dealt([*phrases[met].T], held[trie.accepting[met]], buckets)
+                yield _dealt([*phrases[key >> 32].T, key & 0xFFFFFFFF], n, buckets)
+            met = np.flatnonzero(held)
+            for at in range(0, len(met), SENT):
+                some = met[at : at + SENT]
+                yield _dealt([*phrases[some].T], held[some], buckets)
 
         found = stored(_enough(numbers.mapInArrow(run, _DEALT), least), "phrases")
+        sent.destroy()
         out = found if out is None else out.unionAll(found)
     return out if out is not None else spark.createDataFrame([], "w1 int, w2 int, w3 int, w4 int, n long")
 
